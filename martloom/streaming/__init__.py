@@ -1,0 +1 @@
+"""Empty on purpose: the marts are batch jobs, recomputed in full on every run."""
