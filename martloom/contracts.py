@@ -8,7 +8,6 @@ raw table, with the kind of type they accept.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -171,6 +170,4 @@ def check_contract(schema: T.StructType, mart: str) -> None:
 
 def conform(df: DataFrame, mart: str) -> DataFrame:
     """Select the mart's columns in contract order, spelling and type."""
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in CONTRACTS[mart]]
-    )
+    return df.to(CONTRACTS[mart])

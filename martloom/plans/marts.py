@@ -261,13 +261,13 @@ def _line_stats(lineitem: DataFrame, scale: int | None, *extra) -> DataFrame:
 
 
 def _balances(named: DataFrame, balance: Measure) -> DataFrame:
-    return named.withColumns(
-        {
-            "avg_acctbal": balance.average,
-            "mean_acctbal": balance.average,
-            "min_acctbal": balance.minimum,
-            "max_acctbal": balance.maximum,
-        }
+    average = balance.average
+    return named.select(
+        "*",
+        average.alias("avg_acctbal"),
+        average.alias("mean_acctbal"),
+        balance.minimum.alias("min_acctbal"),
+        balance.maximum.alias("max_acctbal"),
     )
 
 
