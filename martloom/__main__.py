@@ -1,7 +1,8 @@
 """Publish marts as a Spark application.
 
-    spark-submit --py-files martloom.zip -m martloom --input s3a://raw --output s3a://marts
+    python -m martloom --input s3a://raw --output s3a://marts
 
+or ``spark-submit --py-files martloom.zip martloom/__main__.py`` with the same arguments.
 Master, memory, credentials and packages come from the deployer's Spark configuration.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from martloom.plans.marts import MARTS
 from martloom.plans.run import run_marts
+from martloom.settings import apply_settings
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,10 +29,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--scale", type=int, help="decimals of money columns: exact sums")
     parser.add_argument("--order", choices=("global", "file", "none"), default="global")
     parser.add_argument("--num-files", type=int, help="at most this many files per mart")
-    parser.add_argument("--concurrent", type=int, default=1, help="marts at the same time")
+    parser.add_argument("--concurrent", type=int, help="marts at the same time, default all")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("martloom").getOrCreate()
+    apply_settings(spark)
     statuses = run_marts(
         spark,
         args.input,

@@ -125,9 +125,9 @@ def _surplus_rows(df: DataFrame, rule: Unique) -> DataFrame:
 
 
 def _orphan_rows(df: DataFrame, rule: HasParent) -> DataFrame:
-    # Counting per key needs no shuffle of its own: the join reuses it.
+    # Grouping both sides by key needs no shuffle of its own: the join reuses it.
     per_key = df.groupBy(F.col(rule.column).alias("child")).agg(F.count(F.lit(1)).alias("n"))
-    parents = rule.parent.select(F.col(rule.parent_column).alias("parent"))
+    parents = rule.parent.select(F.col(rule.parent_column).alias("parent")).distinct()
     orphans = per_key.join(parents, F.col("child") == F.col("parent"), "left_anti")
     return orphans.agg(F.sum("n").alias("violations"))
 

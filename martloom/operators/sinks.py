@@ -62,7 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
     setting gets a temporary folder on this machine, removed at exit.
     """
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base:
         return f"{base.rstrip('/')}/{context.applicationId}"
     if not context.master.startswith("local"):

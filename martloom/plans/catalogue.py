@@ -185,7 +185,7 @@ def agg_count_vs_distinct(spark: SparkSession, base: str) -> DataFrame:
 
 def agg_count(spark: SparkSession, base: str) -> DataFrame:
     """Counting a column skips its NULLs: here the part of each first line."""
-    part = F.when(F.col("l_linenumber") != 1, F.col("l_partkey"))
+    part = F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_partkey"))
     lines = read_table(spark, base, "lineitem").select("l_orderkey", part.alias("part"))
     return lines.groupBy("l_orderkey").agg(F.count("part").alias("cnt"))
 

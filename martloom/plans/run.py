@@ -39,13 +39,14 @@ def run_marts(
     scale: int | None = None,
     order: str = "global",
     num_files: int | None = None,
-    concurrent: int = 1,
+    concurrent: int | None = None,
 ) -> list[MartStatus]:
     """Publish marts from the raw tables under ``in_dir`` and report on each.
 
     A mart's table is recreated only after its files were written and their schema
-    equals the contract. ``concurrent`` marts run at the same time, so the long tail
-    of one fills with tasks of another. ``load`` replaces the plain table reader.
+    equals the contract. The marts are independent: ``concurrent`` of them, by default
+    all, run at the same time, so the tail of one leaves no executor idle. ``load``
+    replaces the plain table reader.
     """
     unknown = set(marts) - set(MARTS)
     if unknown:
@@ -78,7 +79,7 @@ def run_marts(
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
-        with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
+        with ThreadPoolExecutor(max_workers=concurrent or max(1, len(marts))) as pool:
             return list(pool.map(inheritable_thread_target(spark)(publish), marts))
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)

@@ -52,7 +52,7 @@ def _receipt_date() -> Column:
 def _container() -> Column:
     size = _word(CONTAINER_SIZES, F.col("p_partkey"))
     kind = _word(CONTAINER_KINDS, F.floor(F.col("p_partkey") / 5))
-    return F.concat_ws(" ", size, kind)
+    return F.concat(size, F.lit(" "), kind)
 
 
 def _word(words: tuple[str, ...], number: Column) -> Column:
