@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 from collections.abc import Iterable
@@ -81,5 +82,5 @@ def _local_dir() -> str:
 
 
 def _overlap(a: str, b: str) -> bool:
-    a, b = (p.removeprefix("file://").rstrip("/") + "/" for p in (a, b))
+    a, b = (re.sub("^file:/+", "/", p).rstrip("/") + "/" for p in (a, b))
     return a.startswith(b) or b.startswith(a)

@@ -48,9 +48,10 @@ def run_marts(
     all, run at the same time, so the tail of one leaves no executor idle. ``load``
     replaces the plain table reader.
     """
-    unknown = set(marts) - set(MARTS)
-    if unknown:
+    if unknown := set(marts) - set(MARTS):
         raise ValueError(f"unknown marts {sorted(unknown)}; known are {sorted(MARTS)}")
+    if len(set(marts)) < len(marts):
+        raise ValueError(f"a mart is named twice in {list(marts)}")
 
     def read(name: str) -> DataFrame:
         if load is not None:

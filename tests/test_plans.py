@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom import MARTS
 from martloom.plans.catalogue import catalogue, mart
+from martloom.sources.testdata import load
 from tests.conftest import SF_DIR
 from tests.rows import table
 
@@ -56,8 +57,6 @@ def test_lines_are_combined_before_their_only_shuffle(spark):
 
 
 def test_bucketed_lines_need_no_shuffle(spark, tmp_path):
-    from martloom.sources.testdata import load
-
     lines = load(spark, SF_DIR, "lineitem")
     (
         lines.write.bucketBy(8, "l_orderkey")
@@ -73,6 +72,32 @@ def test_bucketed_lines_need_no_shuffle(spark, tmp_path):
         spark.sql("DROP TABLE bucketed_lines")
 
 
+def test_bucketed_orders_and_customers_join_in_place(spark, no_broadcast, tmp_path):
+    keys = {"orders": "o_custkey", "customer": "c_custkey"}
+    for name, key in keys.items():
+        (
+            load(spark, SF_DIR, name)
+            .write.bucketBy(8, key)
+            .option("path", f"{tmp_path}/{name}")
+            .saveAsTable(f"bucketed_{name}")
+        )
+    try:
+        built = MARTS["orders"].build(
+            spark.table("bucketed_orders"),
+            spark.table("bucketed_customer"),
+            load(spark, SF_DIR, "nation"),
+            scale=2,
+        )
+        text = plan(built)
+        assert "SortMergeJoin [o_custkey" in text
+        assert not re.search(r"hashpartitioning\([oc]_custkey", text)
+        expected = mart(spark, SF_DIR, "orders")
+        assert sorted(map(str, built.collect())) == sorted(map(str, expected.collect()))
+    finally:
+        for name in keys:
+            spark.sql(f"DROP TABLE bucketed_{name}")
+
+
 @pytest.mark.parametrize("name", ["customers", "suppliers"])
 def test_facts_shrink_before_they_meet_the_dimension(spark, no_broadcast, name):
     """Raw facts cross one shuffle, already combined; every join sees groups only."""

@@ -16,6 +16,7 @@ from martloom.operators.sinks import (
     write_mart,
 )
 from martloom.plans.catalogue import mart
+from martloom.settings import SETTINGS, apply_settings
 from martloom.sources.testdata import load
 from tests.conftest import SF_DIR
 
@@ -27,6 +28,14 @@ def out(tmp_path):
     return str(tmp_path / "out")
 
 
+@pytest.fixture
+def same_settings_after(spark):
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def data_files(path: str) -> list[Path]:
     return list(Path(path).glob("part-*.parquet"))
 
@@ -61,7 +70,7 @@ def test_target_may_not_overlap_an_input(spark, tmp_path):
     df = spark.range(3)
     source = f"{tmp_path}/orders"
     df.write.parquet(source)
-    for target in (source, f"{source}/", f"{source}/mart", str(tmp_path), f"file://{source}"):
+    for target in (source, f"{source}/", f"{source}/mart", str(tmp_path), f"file://{source}", f"file:{source}"):
         with pytest.raises(ValueError, match="overlaps"):
             write_mart(df, target, inputs=[source])
     write_mart(df, f"{tmp_path}/orders_report", inputs=[source])
@@ -143,13 +152,23 @@ def test_one_failing_mart_stops_no_other(spark, out):
     assert spark.read.parquet(statuses["parts"].path).count() == 1421
 
 
-def test_unknown_mart_is_refused_before_anything_runs(spark, out):
+def test_wrong_mart_names_are_refused_before_anything_runs(spark, out):
     with pytest.raises(ValueError, match="nonsense"):
         run_marts(spark, SMALL, out, marts=["orders", "nonsense"])
+    with pytest.raises(ValueError, match="twice"):
+        run_marts(spark, SMALL, out, marts=["orders", "orders"])
     assert not Path(out).exists()
 
 
-def test_command_line(spark, out, capsys):
+def test_settings_leave_the_deployers_alone(spark, same_settings_after, monkeypatch):
+    zone, size = "spark.sql.session.timeZone", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    monkeypatch.setitem(SETTINGS, zone, "Asia/Tokyo")
+    apply_settings(spark)
+    assert spark.conf.get(zone) == "UTC"
+    assert spark.conf.get(size) == SETTINGS[size]
+
+
+def test_command_line(spark, same_settings_after, out, capsys):
     arguments = ["--input", SMALL, "--output", out, "--suffix", ".parquet", "--no-register"]
     assert main([*arguments, "--marts", "suppliers,customers", "--num-files", "1"]) == 0
     assert "suppliers: published" in capsys.readouterr().out
