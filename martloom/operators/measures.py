@@ -23,8 +23,8 @@ class Measure:
     Spark adds them. ``scale=n`` declares that values have at most n decimals and
     adds them as whole units of 10^-n in a long: the result is the same on every
     run, partitioning and retry. A total must then stay below 9.2e18 units (all
-    line prices of a 100 TB TPC-H database, in cents, are about 2.3e18); beyond
-    it ANSI mode raises.
+    line prices of a 100 TB TPC-H database, in cents, are about 2.3e18) and values
+    be finite; otherwise ANSI mode, Spark's default, raises.
     """
 
     column: str
