@@ -1,16 +1,16 @@
 """The five marts: DataFrames in, one contract-shaped DataFrame out.
 
 ``order`` says how the rows are laid out. ``"global"`` sorts the whole mart, as its
-published files are; ``"file"`` sorts inside each task and saves the range shuffle
-and its sampling pass; ``"none"`` leaves the rows as they come. The rows are the same.
+published files are; ``"file"`` sorts inside each task only; ``"none"`` leaves the
+rows as they come. The rows are the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.contracts import conform
@@ -29,14 +29,14 @@ def mart_lineitems(
     """
     days = day_diff(F.col("l_receiptdate"), F.col("l_shipdate"))
     stats = _line_stats(lineitem, scale, F.avg(days).alias("delivery_days"))
-    return _laid_out(conform(stats, "lineitems"), order, "L_ORDERKEY")
+    return _sorted_lines(conform(stats, "lineitems"), order)
 
 
 def mart_lineitems_core(
     lineitem: DataFrame, *, scale: int | None = None, order: str = "global"
 ) -> DataFrame:
     """``mart_lineitems`` without ``delivery_days``, for tables without receipt dates."""
-    return _laid_out(_line_stats(lineitem, scale), order, "L_ORDERKEY")
+    return _sorted_lines(_line_stats(lineitem, scale), order)
 
 
 def mart_orders(
@@ -80,15 +80,15 @@ def mart_orders(
             *price.first(),
         )
     )
-    named = (
-        by_nation.join(
-            nation.select("n_nationkey", "n_name"),
-            F.col("c_nationkey") == F.col("n_nationkey"),
-            "left",
-        )
-        .groupBy("o_month", "n_name", "o_orderpriority")
-        .agg(*merged_counts(*counts), *price.merge())
-        .select(
+    named = by_nation.join(
+        nation.select("n_nationkey", "n_name"),
+        F.col("c_nationkey") == F.col("n_nationkey"),
+        "left",
+    )
+    keys = ("n_name", "o_orderpriority", "o_month")
+    merged = _merge(named, keys, [*merged_counts(*counts), *price.merge()], order)
+    return conform(
+        merged.select(
             month_label(F.col("o_month")).alias("O_MONTH"),
             "n_name",
             "o_orderpriority",
@@ -97,9 +97,9 @@ def mart_orders(
             price.total.alias("sum_order_price"),
             price.minimum.alias("min_order_price"),
             price.maximum.alias("max_order_price"),
-        )
+        ),
+        "orders",
     )
-    return _laid_out(conform(named, "orders"), order, "N_NAME", "O_ORDERPRIORITY", "O_MONTH")
 
 
 def mart_customers(
@@ -118,15 +118,13 @@ def mart_customers(
     by_nation = customer.groupBy("c_nationkey", "c_mktsegment").agg(
         F.count("c_custkey").alias("unique_customers_count"), *balance.first()
     )
-    named = (
-        by_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .groupBy("r_name", "n_name", "c_mktsegment")
-        .agg(*merged_counts("unique_customers_count"), *balance.merge())
-    )
-    return _laid_out(
-        conform(_balances(named, balance), "customers"), order, "N_NAME", "C_MKTSEGMENT", "R_NAME"
+    named = by_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(
+        region, F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
+    keys = ("n_name", "c_mktsegment", "r_name")
+    counts = merged_counts("unique_customers_count")
+    merged = _merge(named, keys, [*counts, *balance.merge()], order)
+    return conform(_balances(merged, balance), "customers")
 
 
 def mart_suppliers(
@@ -145,13 +143,13 @@ def mart_suppliers(
     by_nation = supplier.groupBy("s_nationkey").agg(
         F.count("s_suppkey").alias("unique_supplers_count"), *balance.first()
     )
-    named = (
-        by_nation.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
-        .groupBy("r_name", "n_name")
-        .agg(*merged_counts("unique_supplers_count"), *balance.merge())
+    named = by_nation.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner").join(
+        region, F.col("n_regionkey") == F.col("r_regionkey"), "inner"
     )
-    return _laid_out(conform(_balances(named, balance), "suppliers"), order, "N_NAME", "R_NAME")
+    keys = ("n_name", "r_name")
+    counts = merged_counts("unique_supplers_count")
+    merged = _merge(named, keys, [*counts, *balance.merge()], order)
+    return conform(_balances(merged, balance), "suppliers")
 
 
 def mart_parts(
@@ -185,14 +183,13 @@ def mart_parts(
             *cost.first(),
         )
     )
-    named = (
-        by_nation.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-        .groupBy("n_name", "p_type", "p_container")
-        .agg(*merged_counts("parts_count", "size"), *price.merge(), *cost.merge())
-        .select(
-            "n_name",
-            "p_type",
-            "p_container",
+    named = by_nation.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
+    keys = ("n_name", "p_type", "p_container")
+    counts = merged_counts("parts_count", "size")
+    merged = _merge(named, keys, [*counts, *price.merge(), *cost.merge()], order)
+    return conform(
+        merged.select(
+            *keys,
             "parts_count",
             "size",
             price.average.alias("avg_retailprice"),
@@ -203,9 +200,9 @@ def mart_parts(
             cost.average.alias("mean_supplycost"),
             cost.minimum.alias("min_supplycost"),
             cost.maximum.alias("max_supplycost"),
-        )
+        ),
+        "parts",
     )
-    return _laid_out(conform(named, "parts"), order, "N_NAME", "P_TYPE", "P_CONTAINER")
 
 
 @dataclass(frozen=True)
@@ -228,7 +225,7 @@ MARTS: dict[str, Mart] = {
 }
 
 
-def _line_stats(lineitem: DataFrame, scale: int | None, *extra) -> DataFrame:
+def _line_stats(lineitem: DataFrame, scale: int | None, *extra: Column) -> DataFrame:
     price, discount, tax = (
         Measure(name, scale) for name in ("l_extendedprice", "l_discount", "l_tax")
     )
@@ -271,11 +268,28 @@ def _balances(named: DataFrame, balance: Measure) -> DataFrame:
     )
 
 
-def _laid_out(mart: DataFrame, order: str, *keys: str) -> DataFrame:
+def _merge(
+    groups: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], order: str
+) -> DataFrame:
+    """Merge partial results by name and lay them out by the same keys.
+
+    The rows are groups already and cannot pile up on one key, so one range shuffle
+    serves both the merge and the global sort.
+    """
+    _check(order)
+    if order == "global":
+        groups = groups.repartitionByRange(*keys)
+    merged = groups.groupBy(*keys).agg(*aggregates)
+    return merged if order == "none" else merged.sortWithinPartitions(*keys)
+
+
+def _sorted_lines(mart: DataFrame, order: str) -> DataFrame:
+    _check(order)
     if order == "global":
-        return mart.orderBy(*keys)
-    if order == "file":
-        return mart.sortWithinPartitions(*keys)
-    if order == "none":
-        return mart
-    raise ValueError(f"order must be global, file or none, not {order!r}")
+        return mart.orderBy("L_ORDERKEY")
+    return mart if order == "none" else mart.sortWithinPartitions("L_ORDERKEY")
+
+
+def _check(order: str) -> None:
+    if order not in ("global", "file", "none"):
+        raise ValueError(f"order must be global, file or none, not {order!r}")

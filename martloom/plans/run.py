@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -53,29 +54,31 @@ def run_marts(
     if len(set(marts)) < len(marts):
         raise ValueError(f"a mart is named twice in {list(marts)}")
 
-    def read(name: str) -> DataFrame:
-        if load is not None:
-            return load(spark, in_dir, name)
-        return read_table(spark, in_dir, name, suffix)
+    @cache
+    def table(name: str) -> DataFrame:
+        # Opened once for all marts: listing a big table's files takes a while.
+        opened = load(spark, in_dir, name) if load else read_table(spark, in_dir, name, suffix)
+        return check_input(opened, name)
 
     def publish(mart: str) -> MartStatus:
         path, started = report_path(out_dir, mart), time.monotonic()
-        table = f"{database}.{mart}" if database else mart
+        served = f"{database}.{mart}" if database else mart
         error = None
         try:
             inputs = MARTS[mart].inputs
-            tables = {name: check_input(read(name), name) for name in inputs}
-            built = MARTS[mart](tables, scale=scale, order=order)
+            built = MARTS[mart]({n: table(n) for n in inputs}, scale=scale, order=order)
             check_contract(built.schema, mart)
             sources = [table_path(in_dir, name, suffix) for name in inputs]
             write_mart(built, path, num_files=num_files, inputs=sources)
             if register:
-                register_mart(spark, mart, path, table)
+                register_mart(spark, mart, path, served)
         except Exception as failure:
             error = f"{type(failure).__name__}: {failure}"
         seconds = time.monotonic() - started
-        served = table if register and error is None else None
-        return MartStatus(mart, error is None, path, served, seconds, error)
+        published = error is None
+        return MartStatus(
+            mart, published, path, served if register and published else None, seconds, error
+        )
 
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")

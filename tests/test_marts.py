@@ -275,12 +275,29 @@ def test_layouts_hold_the_same_rows(spark, name):
     assert layouts[0] and sorted(layouts[0]) == sorted(layouts[1]) == sorted(layouts[2])
 
 
-def test_global_order(spark):
-    rows = mart(spark, SF_DIR, "orders").collect()
-    order = [(r.N_NAME, r.O_ORDERPRIORITY, r.O_MONTH) for r in rows]
-    assert order == sorted(order)
-    keys = [r.L_ORDERKEY for r in mart(spark, SF_DIR, "lineitems").collect()]
-    assert keys == sorted(keys)
+ORDERS = {
+    "lineitems": ("L_ORDERKEY",),
+    "orders": ("N_NAME", "O_ORDERPRIORITY", "O_MONTH"),
+    "customers": ("N_NAME", "C_MKTSEGMENT", "R_NAME"),
+    "suppliers": ("N_NAME", "R_NAME"),
+    "parts": ("N_NAME", "P_TYPE", "P_CONTAINER"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(MARTS))
+def test_global_order(spark, name):
+    found = [tuple(r) for r in mart(spark, SF_DIR, name).select(*ORDERS[name]).collect()]
+    assert len(set(found)) == len(found) > 1
+    assert found == sorted(found)
+
+
+@pytest.mark.parametrize("name", sorted(MARTS))
+def test_order_within_files(spark, name):
+    built = mart(spark, SF_DIR, name, order="file").withColumn("task", F.spark_partition_id())
+    tasks: dict[int, list] = {}
+    for row in built.select("task", *ORDERS[name]).collect():
+        tasks.setdefault(row.task, []).append(tuple(row)[1:])
+    assert all(keys == sorted(keys) for keys in tasks.values())
 
 
 def test_unknown_layout_is_refused(spark):

@@ -107,6 +107,12 @@ def test_facts_shrink_before_they_meet_the_dimension(spark, no_broadcast, name):
     assert below.count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("name", ["customers", "suppliers"])
+def test_one_range_shuffle_serves_merge_and_sort(spark, name):
+    text = plan(mart(spark, SF_DIR, name))
+    assert exchanges(text) == ["rangepartitioning", "hashpartitioning"]
+
+
 @pytest.mark.parametrize("name", sorted(MARTS))
 def test_nothing_is_broadcast_but_by_its_size(spark, no_broadcast, name):
     """No mart forces a broadcast: with the size limit off, none is left."""
