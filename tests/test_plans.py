@@ -177,12 +177,14 @@ def test_hot_customer_is_split(spark, small_skew_limits, hot):
     nation = table(spark, "nation", [(i, 0, f"N{i}") for i in range(25)])
     built = MARTS["orders"].build(spread(orders), customer, nation, scale=2, order="none")
     assert "Join(skew=true) [o_custkey" in plan(built, executed=True)
-    per_nation = {r.N_NAME: r.n for r in built.groupBy("N_NAME").agg(F.sum("orders_count").alias("n")).collect()}
+    summed = built.groupBy("N_NAME").agg(F.sum("orders_count").alias("n"))
+    per_nation = {r.N_NAME: r.n for r in summed.collect()}
     cold = {f"N{i}": 0 for i in range(25)}
     for i in range(60_000):
         if i % 3:
             cold[f"N{i % 1000 % 25}"] += 1
-    cold["N7" if hot == "7" else None] = cold.get("N7" if hot == "7" else None, 0) + 20_000
+    hot_name = "N7" if hot == "7" else None
+    cold[hot_name] = cold.get(hot_name, 0) + 20_000
     assert per_nation == cold
 
 

@@ -89,7 +89,11 @@ def test_dedup_equals_brute_force_however_rows_are_spread(spark):
     rng = random.Random(3)
     rows = [
         # One key holds a third of all rows.
-        (7 if rng.random() < 1 / 3 else rng.randrange(200), rng.choice([None, *range(40)]), rng.randrange(10**6))
+        (
+            7 if rng.random() < 1 / 3 else rng.randrange(200),
+            rng.choice([None, *range(40)]),
+            rng.randrange(10**6),
+        )
         for _ in range(5000)
     ]
     expected = {}
