@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.common import documents, fold
 from martloom.llm.language_ecoc import identify_languages, train_language_model
+from martloom.llm.license_rules import scan_licenses
+from martloom.llm.quartile_digest import digest_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +25,33 @@ def op4_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    found = scan_licenses(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_starts").cast("long").alias("n_base"),
+        F.array_min("base_starts").alias("first_word"),
+        F.array_max("base_starts").alias("last_word"),
+        joined(F.col("base_labels")).alias("base_labels"),
+        joined(F.concat("base_labels", "detections.label")).alias("labels"),
+        "score",
+    )
+
+
+def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_documents(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_language_ecoc": op4_language_ecoc}
+    return {
+        "op4_language_ecoc": op4_language_ecoc,
+        "op8_license_rules": op8_license_rules,
+        "op10_quartile_digest": op10_quartile_digest,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
