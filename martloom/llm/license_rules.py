@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -157,12 +156,11 @@ NOTICES: tuple[tuple[str, str, str, float], ...] = (
 class Rule:
     label: str
     keyword: bytes
-    pattern: re.Pattern[bytes]
+    pattern: bytes
     certainty: float
 
 
-@cache
-def rules() -> tuple[Rule, ...]:
+def rules() -> list[Rule]:
     """All rules, the one that wins a tie first: base phrases, then forms by certainty."""
     found = [(label, phrase.split()[0], phrase, 0.8) for phrase, label in BASE.items()]
     for _, form, certainty in sorted(FORMS, key=lambda x: -x[2]):
@@ -173,19 +171,10 @@ def rules() -> tuple[Rule, ...]:
                 label = label.removesuffix(ending)
             found.append((label, keyword, pattern, certainty))
     found += NOTICES
-    return tuple(
-        Rule(label, keyword.encode(), re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), certainty)
+    return [
+        Rule(label, keyword.encode(), rf"(?<= )(?:{pattern})(?= )".encode(), certainty)
         for label, keyword, pattern, certainty in found
-    )
-
-
-@cache
-def _gate() -> dict[bytes, tuple[int, ...]]:
-    """Rule numbers by keyword."""
-    by: dict[bytes, list[int]] = {}
-    for k, rule in enumerate(rules()):
-        by.setdefault(rule.keyword, []).append(k)
-    return {w: tuple(v) for w, v in by.items()}
+    ]
 
 
 #: A-Z to a-z; ASCII letters, digits and all bytes of other characters stay; the rest is space.
@@ -213,37 +202,51 @@ def settle(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return kept
 
 
-def scan(text: str) -> Scan:
-    """Everything found in one text, all of which is read."""
-    words = text.encode().translate(_WORDS).split()
-    line = b" ".join([b"", *words, b""]) if words else b""
-    base: list[tuple[int, str]] = []
-    for phrase, label in BASE.items():
-        wanted = f" {phrase} ".encode()
-        at = line.find(wanted)
-        while at >= 0:
-            base.append((at, label))
-            at = line.find(wanted, at + 1)
-    gate = _gate()
-    tried = sorted(k for w in gate.keys() & set(words) for k in gate[w])
-    found = [
-        (m.start(), m.end(), k) for k in tried for m in rules()[k].pattern.finditer(line)
-    ]
-    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) if base or found else ()
+class Scanner:
+    """The rules by keyword. A rule is compiled when a text first has its keyword."""
 
-    def word(at: int) -> int:
-        return int(np.searchsorted(gaps, at))
+    def __init__(self) -> None:
+        self.rules = rules()
+        self.compiled: dict[int, re.Pattern[bytes]] = {}
+        self.by_keyword: dict[bytes, list[int]] = {}
+        for k, rule in enumerate(self.rules):
+            self.by_keyword.setdefault(rule.keyword, []).append(k)
 
-    spots = [
-        (word(a) - 1, word(b) - word(a) + 1, rules()[k].label, rules()[k].certainty)
-        for a, b, k in settle(found)
-    ]
-    return Scan(
-        len(words),
-        tuple(sorted(word(at) for at, _ in base)),
-        tuple(sorted({label for _, label in base})),
-        tuple(spots),
-    )
+    def _detections(self, line: bytes, words: list[bytes]) -> list[tuple[int, int, int]]:
+        found = []
+        for k in (k for w in self.by_keyword.keys() & set(words) for k in self.by_keyword[w]):
+            if k not in self.compiled:
+                self.compiled[k] = re.compile(self.rules[k].pattern)
+            found += [(m.start(), m.end(), k) for m in self.compiled[k].finditer(line)]
+        return settle(found)
+
+    def scan(self, text: str) -> Scan:
+        """Everything found in one text, all of which is read."""
+        words = text.encode().translate(_WORDS).split()
+        line = b" ".join([b"", *words, b""]) if words else b""
+        base: list[tuple[int, str]] = []
+        for phrase, label in BASE.items():
+            wanted = f" {phrase} ".encode()
+            at = line.find(wanted)
+            while at >= 0:
+                base.append((at, label))
+                at = line.find(wanted, at + 1)
+        found = self._detections(line, words)
+        gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) if base or found else ()
+
+        def word(at: int) -> int:
+            return int(np.searchsorted(gaps, at))
+
+        spots = []
+        for a, b, k in found:
+            rule = self.rules[k]
+            spots.append((word(a) - 1, word(b) - word(a) + 1, rule.label, rule.certainty))
+        return Scan(
+            len(words),
+            tuple(sorted(word(at) for at, _ in base)),
+            tuple(sorted({label for _, label in base})),
+            tuple(spots),
+        )
 
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,8 +258,9 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ("certainty", pa.float64()),
         ]
     )
+    scanner = Scanner()
     for batch in batches:
-        found = [scan(x) for x in pc.fill_null(batch.column(1), "").to_pylist()]
+        found = [scanner.scan(x) for x in pc.fill_null(batch.column(1), "").to_pylist()]
         score = []
         for x in found:
             doubt = 1.0
