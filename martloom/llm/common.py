@@ -76,3 +76,47 @@ def slices(starts: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
         last = min(max(last, first + 1), n)
         yield first, last
         first = last
+
+
+def runs(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of marked bytes begins and ends; a run ends where its text does."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[starts] = True
+    before = np.concatenate([[False], inside[:-1]])
+    after = np.concatenate([inside[1:], [False]])
+    begins = np.flatnonzero(inside & (~before | edge[:-1]))
+    return begins, np.flatnonzero(inside & (~after | edge[1:])) + 1
+
+
+class SpanHasher:
+    """64-bit hashes of spans of an array, all spans at once.
+
+    The sum of ``(value + 1) * B**place`` up to every place gives any span's polynomial by one
+    subtraction; multiplying by ``B**-begin`` makes it independent of the span's place.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self) -> None:
+        self._powers = self._inverse = np.ones(0, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if n > len(self._powers):
+            for name, base in (("_powers", self.BASE), ("_inverse", pow(self.BASE, -1, 1 << 64))):
+                steps = np.full(n, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        self._grow(len(values) + 1)
+        out = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(
+            (values.astype(np.uint64) + np.uint64(1)) * self._powers[: len(values)], out=out[1:]
+        )
+        return out
+
+    def spans(self, sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = (sums[ends] - sums[begins]) * self._inverse[begins]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(29))

@@ -11,10 +11,21 @@ from martloom.llm.common import documents, fold
 from martloom.llm.language_ecoc import identify_languages, train_language_model
 from martloom.llm.license_rules import scan_licenses
 from martloom.llm.quartile_digest import digest_documents
+from martloom.llm.toxicity_nnpu import learn_from_labels, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    model = learn_from_labels(docs, labels, training=~held_out)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", predicted
+    )
+
+
 def op4_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
@@ -48,6 +59,7 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_toxicity_nnpu": op3_toxicity_nnpu,
         "op4_language_ecoc": op4_language_ecoc,
         "op8_license_rules": op8_license_rules,
         "op10_quartile_digest": op10_quartile_digest,
