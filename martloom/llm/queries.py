@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import documents, fold
+from martloom.llm.chunk_encoder import byte_bpe
+from martloom.llm.common import documents, fold, shared_dir
 from martloom.llm.language_ecoc import identify_languages, train_language_model
 from martloom.llm.license_rules import scan_licenses
 from martloom.llm.quartile_digest import digest_documents
+from martloom.llm.token_shards import read_token_shards, write_token_shards
 from martloom.llm.toxicity_nnpu import learn_from_labels, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/llm-shards-{uuid.uuid4().hex}"
+    write_token_shards(documents(spark, sf_dir), path, byte_bpe(), end_id=2)
+    return read_token_shards(spark, path).select(
+        "doc_id",
+        "start",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op3_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
@@ -59,6 +73,7 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_repair_shards": op1_repair_shards,
         "op3_toxicity_nnpu": op3_toxicity_nnpu,
         "op4_language_ecoc": op4_language_ecoc,
         "op8_license_rules": op8_license_rules,
