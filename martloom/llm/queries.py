@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.chunk_encoder import byte_bpe
+from martloom.llm.chunk_encoder import byte_bpe, word_bpe
 from martloom.llm.common import documents, fold, shared_dir
 from martloom.llm.language_ecoc import identify_languages, train_language_model
 from martloom.llm.license_rules import scan_licenses
+from martloom.llm.pattern_packing import pack_documents
 from martloom.llm.quartile_digest import digest_documents
 from martloom.llm.token_shards import read_token_shards, write_token_shards
 from martloom.llm.toxicity_nnpu import learn_from_labels, score_toxicity
@@ -50,6 +51,10 @@ def op4_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), word_bpe(), end_id=1)
+
+
 def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(labels: Column) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
@@ -76,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op1_repair_shards": op1_repair_shards,
         "op3_toxicity_nnpu": op3_toxicity_nnpu,
         "op4_language_ecoc": op4_language_ecoc,
+        "op7_pattern_packing": op7_pattern_packing,
         "op8_license_rules": op8_license_rules,
         "op10_quartile_digest": op10_quartile_digest,
     }
