@@ -1,14 +1,14 @@
 """Token ids by the tokenizers library, with each distinct chunk of text encoded once.
 
 The library's pre-tokenizers never join what stands on two sides of white space, nor a letter
-and the punctuation after it, so a text's ids are its chunks' ids one after another. Most chunks of a corpus repeat; a bounded table in each
-Python worker keeps the ids of those seen, and new ones are encoded many at a time with a
-special token between them.
+and the punctuation after it, so a text's ids are its chunks' ids one after another. Most chunks
+of a corpus repeat. Chunks are found and hashed many at a time; a bounded table in each Python worker
+keeps the ids of those seen, and new ones go to the library together, a special token between
+them. Texts with special tokens or rare white space go to the library as they are.
 """
 
 from __future__ import annotations
 
-import re
 import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -16,85 +16,154 @@ from types import ModuleType
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from martloom.llm.common import ragged
-
-_SPACE = r"\t-\r \x85\xa0  -     　"
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: A word of such letters alone, ahead of white space, plain punctuation or the end.
-_WORD = rf"[{_LETTER}]+(?=[.,;:!?{_SPACE}]|\Z)"
+from martloom.llm.common import SpanHasher, byte_view, ragged, slices
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A tokenizer file, how its chunks look, and a special token to put between them."""
+    """A tokenizer file and what of white space it keeps.
+
+    ``separator`` is one of its special tokens. ``keeps_space``: a space belongs to the word after it,
+    other white space to itself; else all white space is dropped and letters are lowered.
+    """
 
     path: str
-    chunk: str
     separator: str
     specials: tuple[str, ...]
-    lowers: bool = False
+    keeps_space: bool
 
 
 def byte_bpe(path: str | None = None) -> Vocabulary:
-    """Byte-level BPE: a chunk is a word with the space before it, or white space before such."""
-    chunk = rf" ?{_WORD}| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    """Byte-level BPE."""
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    return Vocabulary(path, chunk, "<|endoftext|>", ("<|endoftext|>",))
+    return Vocabulary(path, "<|endoftext|>", ("<|endoftext|>",), True)
 
 
 def word_bpe(path: str | None = None) -> Vocabulary:
-    """BPE with word ends, which drops white space: a chunk is what stands between it."""
+    """BPE with word ends, in lower case."""
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    specials = ("<|startoftext|>", "<|endoftext|>")
-    return Vocabulary(path, rf"{_WORD}|[^\t-\r ]+", "<|startoftext|>", specials, lowers=True)
+    return Vocabulary(path, "<|startoftext|>", ("<|startoftext|>", "<|endoftext|>"), False)
+
+
+def _class(members: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
+
+
+def _rare_space(data: np.ndarray) -> np.ndarray:
+    """Where white space outside ASCII begins (Unicode's White_Space in UTF-8)."""
+    found = []
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    two = np.flatnonzero(data == 0xC2)
+    found.append(two[np.isin(padded[two + 1], (0x85, 0xA0))])
+    three = np.flatnonzero((data >= 0xE1) & (data <= 0xE3))
+    code = padded[three].astype(int) << 16 | padded[three + 1].astype(int) << 8 | padded[three + 2]
+    rare = [0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080]
+    found.append(three[np.isin(code, rare)])
+    return np.concatenate(found)
+
+
+class ChunkFinder:
+    """Begins and ends of the chunks of texts without rare white space."""
+
+    def __init__(self, keeps_space: bool) -> None:
+        self.keeps_space = keeps_space
+        self.space = _class(b" \t\n\v\f\r")
+        self.letter = _class(bytes([*range(65, 91), *range(97, 123)]))
+        self.mark = _class(b".,;:!?")
+
+    def find(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(data)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        space = self.space[data]
+        edge = np.zeros(n + 1, bool)
+        edge[starts] = True
+        # A chunk begins where white space and other text meet ...
+        cut = np.ones(n, bool)
+        cut[1:] = space[1:] != space[:-1]
+        cut |= edge[:-1]
+        # ... and between a letter (ASCII or Latin-1) and plain punctuation.
+        letter = self.letter[data]
+        wide = np.zeros(n, bool)
+        wide[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        cut[1:] |= (letter | wide)[:-1] & self.mark[data[1:]]
+        if self.keeps_space:
+            # The last white space before a word is a chunk of its own, joined to the word if a space.
+            last = np.zeros(n, bool)
+            last[:-1] = space[:-1] & ~space[1:]
+            last &= ~edge[1:]
+            cut |= last
+            joined = np.flatnonzero(last & (data == 32)) + 1
+            cut[joined] = False
+        begins = np.flatnonzero(cut)
+        ends = np.append(begins[1:], n)
+        if not self.keeps_space:
+            word = ~space[begins]
+            begins, ends = begins[word], ends[word]
+        return begins, ends
 
 
 class ChunkEncoder:
     """Encodes texts as ``Tokenizer.encode(text, add_special_tokens=False)`` does."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 1_200_000) -> None:
+    #: Bytes of text worked on at a time, new chunks after which the table is sorted anew, and
+    #: chunks encoded at a time.
+    GROUP, FRESH, TOGETHER = 4_000_000, 100_000, 2_000
+
+    def __init__(self, vocabulary: Vocabulary, most: int = 1_500_000) -> None:
         self.vocabulary, self.most = vocabulary, most
-        self.tokenizer = Tokenizer.from_file(vocabulary.path)
+        self._open()
+        self.finder, self.hasher = ChunkFinder(vocabulary.keeps_space), SpanHasher()
+        self.specials = [x.encode() for x in vocabulary.specials]
+        self._clear()
+
+    def _open(self) -> None:
+        self.tokenizer = Tokenizer.from_file(self.vocabulary.path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.separator_id = self.tokenizer.token_to_id(vocabulary.separator)
-        self.find = re.compile(vocabulary.chunk).findall
-        self._clear()
+        self.separator_id = self.tokenizer.token_to_id(self.vocabulary.separator)
+        self.vocabulary_size = self.tokenizer.get_vocab_size()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.begins = np.zeros(1 << 16, np.int64)
+        #: Sorted hashes, and the entry of each: the large table and the fresh one.
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)) for _ in range(2)]
+        self.begins = np.zeros(1 << 16, np.int32)
         self.lengths = np.zeros(1 << 16, np.int32)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.ids = np.zeros(1 << 18, np.uint16 if self.vocabulary_size <= 1 << 16 else np.uint32)
+        self.entries = self.used = 0
 
     def _ids(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, np.uint32)
 
-    def _lowered(self, text: str) -> str:
-        """Lower case ahead of a tokenizer that lowers anyway, so that fewer chunks differ.
-
-        Only texts of Latin-1 characters, which are in normal form and lowered one by one.
-        """
-        if self.vocabulary.lowers:
-            try:
-                text.encode("latin-1")
-            except UnicodeEncodeError:
-                return text
-            return text.lower()
-        return text
-
-    def _learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 20_000):
-            some = chunks[at : at + 20_000]
-            ids = self._ids(self.vocabulary.separator.join(some))
-            ends = np.append(np.flatnonzero(ids == self.separator_id), len(ids))
-            lengths = np.diff(ends, prepend=-1) - 1
-            ids = ids[ids != self.separator_id]
-            n = len(self.known)
+    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks, and how many each has."""
+        ids = self._ids(self.vocabulary.separator.join(chunks))
+        ends = np.append(np.flatnonzero(ids == self.separator_id), len(ids))
+        return ids[ids != self.separator_id], np.diff(ends, prepend=-1) - 1
+
+    def _entry(self, hashes: np.ndarray) -> np.ndarray:
+        """Entries of sorted hashes, -1 where unknown."""
+        out = np.full(len(hashes), -1, np.int32)
+        for known, entry in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                out[hit] = entry[at[hit]]
+        return out
+
+    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> np.ndarray:
+        """Encode and keep new chunks, given with sorted hashes; their entries."""
+        first = self.entries
+        for at in range(0, len(chunks), self.TOGETHER):
+            some = chunks[at : at + self.TOGETHER]
+            ids, lengths = self._chunk_ids(some)
+            n = self.entries
             while n + len(some) > len(self.begins):
                 self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
                 self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
@@ -103,56 +172,103 @@ class ChunkEncoder:
             self.ids[self.used : self.used + len(ids)] = ids
             self.begins[n : n + len(some)] = self.used + np.cumsum(lengths) - lengths
             self.lengths[n : n + len(some)] = lengths
-            self.known.update(zip(some, range(n, n + len(some)), strict=True))
+            self.entries += len(some)
             self.used += len(ids)
+        entries = np.arange(first, self.entries, dtype=np.int32)
+        large, fresh = self.tables
+        fresh = _merged(fresh, (hashes, entries))
+        if len(fresh[0]) > self.FRESH:
+            large, fresh = _merged(large, fresh), (fresh[0][:0], fresh[1][:0])
+        self.tables = [large, fresh]
+        return entries
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """The ids of each text."""
+        return self.encode_bytes(*byte_view(pa.array(texts, pa.large_string())))
+
+    def encode_bytes(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text of a byte view."""
         out: list[np.ndarray] = []
-        for first, last in _groups(texts):
-            out += self._encode_some(texts[first:last])
+        for first, last in slices(starts, self.GROUP):
+            a = int(starts[first])
+            out += self._encode_some(data[a : int(starts[last])], starts[first : last + 1] - a)
         return out
 
-    def _encode_some(self, texts: Sequence[str]) -> list[np.ndarray]:
-        chunks: list[str] = []
-        ends = np.zeros(len(texts), np.int64)
-        special: dict[int, np.ndarray] = {}
-        for k, text in enumerate(texts):
-            if any(x in text for x in self.vocabulary.specials):
-                special[k] = self._ids(text)  # a special token splits the text before chunks do
-            else:
-                chunks += self.find(self._lowered(text))
-            ends[k] = len(chunks)
-        new = set(chunks).difference(self.known)
-        if len(self.known) + len(new) > self.most:
+    def _as_they_are(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Texts with special tokens, and with rare white space where white space counts."""
+        places = [_rare_space(data)] if self.vocabulary.keeps_space else []
+        raw = data.tobytes()
+        for special in self.specials:
+            at = raw.find(special)
+            while at >= 0:
+                places.append(np.array([at]))
+                at = raw.find(special, at + 1)
+        places = np.concatenate(places) if places else np.zeros(0, np.int64)
+        return np.unique(np.searchsorted(starts, places, "right") - 1)
+
+    def _encode_some(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        whole = {
+            int(k): self._ids(data[starts[k] : starts[k + 1]].tobytes().decode())
+            for k in self._as_they_are(data, starts)
+        }
+        if not self.vocabulary.keeps_space:
+            data = _lowered(data, starts)
+        begins, ends = self.finder.find(data, starts)
+        if whole:
+            done = np.isin(np.searchsorted(starts, begins, "right") - 1, list(whole))
+            begins, ends = begins[~done], ends[~done]
+        hashes = self.hasher.spans(self.hasher.sums(data), begins, ends)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        new = np.ones(len(ranked), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        distinct, example = ranked[new], order[new]
+        entry = self._entry(distinct)
+        unknown = np.flatnonzero(entry < 0)
+        if self.entries + len(unknown) > self.most:
             self._clear()
-            new = set(chunks)
-        self._learn(list(new))
-        places = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+            unknown, entry = np.arange(len(distinct)), np.full(len(distinct), -1, np.int32)
+        raw, at = data.tobytes(), example[unknown]
+        chunks = [
+            raw[a:b].decode("utf-8", "replace")
+            for a, b in zip(begins[at].tolist(), ends[at].tolist(), strict=True)
+        ]
+        entry[unknown] = self._learn(distinct[unknown], chunks)
+        places = np.empty(len(hashes), np.int32)
+        places[order] = entry[np.cumsum(new) - 1]
         lengths = self.lengths[places].astype(np.int64)
-        ids = self.ids[ragged(self.begins[places], lengths)]
-        after = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends])]
+        ids = self.ids[ragged(self.begins[places].astype(np.int64), lengths)].astype(np.uint32)
+        after = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = after[np.searchsorted(begins, starts)]
         return [
-            special[k] if k in special else ids[after[k] : after[k + 1]] for k in range(len(texts))
+            whole[k] if k in whole else ids[bounds[k] : bounds[k + 1]]
+            for k in range(len(starts) - 1)
         ]
 
 
-def _groups(texts: Sequence[str], most: int = 2_000_000):
-    """Runs [first, last) of texts with at most ``most`` characters, or one longer text."""
-    first = total = 0
-    for k, text in enumerate(texts):
-        if k > first and total + len(text) > most:
-            yield first, k
-            first, total = k, 0
-        total += len(text)
-    if first < len(texts):
-        yield first, len(texts)
+def _merged(a, b):
+    hashes, entries = (np.concatenate(x) for x in zip(a, b, strict=True))
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], entries[order]
+
+
+def _lowered(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """ASCII and Latin-1 capitals as small letters, ahead of a tokenizer that lowers anyway.
+
+    Only in texts without characters beyond Latin-1, which are in normal form.
+    """
+    plain = np.ones(len(data), bool)
+    if (high := np.flatnonzero(data >= 0xC4)).size:
+        texts = np.unique(np.searchsorted(starts, high, "right") - 1)
+        plain[ragged(starts[texts], starts[texts + 1] - starts[texts])] = False
+    capital = (data >= 65) & (data <= 90)
+    capital[1:] |= (data[:-1] == 0xC3) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return np.where(capital & plain, data + 32, data).astype(np.uint8)
 
 
-def worker_encoder(vocabulary: Vocabulary) -> ChunkEncoder:
+def worker_encoder(vocabulary: Vocabulary, kind: type[ChunkEncoder] = ChunkEncoder) -> ChunkEncoder:
     """This Python process's encoder, kept between tasks."""
     kept = sys.modules.setdefault("_chunk_encoders", ModuleType("_chunk_encoders"))
-    name = f"encoder_{vocabulary.path}"
+    name = f"{kind.__name__}_{vocabulary.path}"
     if not hasattr(kept, name):
-        setattr(kept, name, ChunkEncoder(vocabulary))
+        setattr(kept, name, kind(vocabulary))
     return getattr(kept, name)

@@ -22,13 +22,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.chunk_encoder import Vocabulary, worker_encoder
-from martloom.llm.common import stored
+from martloom.llm.common import byte_view, stored
 
 #: Length classes that a sequence is divided into, and documents in a pattern.
 CLASSES = 256
@@ -239,11 +238,12 @@ def _pieces(
     part = TaskContext.get().partitionId()
     seen: dict[int, int] = defaultdict(int)
     for batch in batches:
-        keys, texts = batch.column(0), pc.fill_null(batch.column(1), "").to_pylist()
-        for at in range(0, len(texts), 512):
+        keys, texts = batch.column(0), batch.column(1)
+        for at in range(0, len(texts), 1024):
             rows: list[tuple] = []
             raw: list[bytes] = []
-            for k, ids in enumerate(encoder.encode(texts[at : at + 512]), at):
+            some = encoder.encode_bytes(*byte_view(texts.slice(at, 1024)))
+            for k, ids in enumerate(some, at):
                 data = ids.astype("<u4").tobytes() + end_id.to_bytes(4, "little")
                 for piece, start in enumerate(range(0, len(ids) + 1, capacity)):
                     some = data[4 * start : 4 * (start + capacity)]

@@ -13,12 +13,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.chunk_encoder import Vocabulary, worker_encoder
+from martloom.llm.common import byte_view
 from martloom.llm.repair_grammar import compress, pack, unpack
 
 #: Ids after which a shard is closed; one longer document makes a longer shard.
@@ -29,7 +29,7 @@ def _shards(
     batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: int
 ) -> Iterator[pa.RecordBatch]:
     encoder = worker_encoder(vocabulary)
-    base = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
+    base = max(encoder.vocabulary_size, end_id + 1)
     part, shard, start = TaskContext.get().partitionId(), 0, 0
     held_keys: list[pa.Array] = []
     held: list[np.ndarray] = []
@@ -55,9 +55,10 @@ def _shards(
 
     end = np.array([end_id], np.uint32)
     for batch in batches:
-        keys, texts = batch.column(0), pc.fill_null(batch.column(1), "").to_pylist()
-        for at in range(0, len(texts), 256):
-            for k, ids in enumerate(encoder.encode(texts[at : at + 256]), at):
+        keys, texts = batch.column(0), batch.column(1)
+        for at in range(0, len(texts), 1024):
+            some = encoder.encode_bytes(*byte_view(texts.slice(at, 1024)))
+            for k, ids in enumerate(some, at):
                 held_keys.append(keys.slice(k, 1))
                 held.append(np.concatenate([ids, end]))
                 size += len(ids) + 1
