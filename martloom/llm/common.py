@@ -95,14 +95,13 @@ class SpanHasher:
     subtraction; multiplying by ``B**-begin`` makes it independent of the span's place.
     """
 
-    BASE = 0x9E3779B97F4A7C15
-
-    def __init__(self) -> None:
+    def __init__(self, base: int = 0x9E3779B97F4A7C15) -> None:
+        self.base = base  # odd
         self._powers = self._inverse = np.ones(0, np.uint64)
 
     def _grow(self, n: int) -> None:
         if n > len(self._powers):
-            for name, base in (("_powers", self.BASE), ("_inverse", pow(self.BASE, -1, 1 << 64))):
+            for name, base in (("_powers", self.base), ("_inverse", pow(self.base, -1, 1 << 64))):
                 steps = np.full(n, base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps, dtype=np.uint64))
@@ -116,7 +115,15 @@ class SpanHasher:
         return out
 
     def spans(self, sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = (sums[ends] - sums[begins]) * self._inverse[begins]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        return h ^ (h >> np.uint64(29))
+        return _mixed((sums[ends] - sums[begins]) * self._inverse[begins])
+
+    def windows(self, sums: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of all spans of one length."""
+        n = max(0, len(sums) - length)
+        return _mixed((sums[length:] - sums[:n]) * self._inverse[:n])
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
