@@ -8,12 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.llm.bpe_automaton import decode_ids, encode_with_automaton
 from martloom.llm.chunk_encoder import byte_bpe, word_bpe
 from martloom.llm.common import documents, fold, shared_dir
 from martloom.llm.language_ecoc import identify_languages, train_language_model
 from martloom.llm.license_rules import scan_licenses
 from martloom.llm.pattern_packing import pack_documents
 from martloom.llm.quartile_digest import digest_documents
+from martloom.llm.simhash_anchors import simhash_groups
+from martloom.llm.substring_sketch import remove_repeated_windows
 from martloom.llm.token_shards import read_token_shards, write_token_shards
 from martloom.llm.toxicity_nnpu import learn_from_labels, score_toxicity
 
@@ -31,6 +34,10 @@ def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir), shingle=4, distance=4)
+
+
 def op3_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
@@ -51,6 +58,15 @@ def op4_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_windows(documents(spark, sf_dir)).select(
+        "doc.doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), word_bpe(), end_id=1)
 
@@ -72,6 +88,17 @@ def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe()
+    encoded = encode_with_automaton(documents(spark, sf_dir), vocabulary)
+    return decode_ids(encoded, vocabulary).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(documents(spark, sf_dir))
 
@@ -79,10 +106,13 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_repair_shards": op1_repair_shards,
+        "op2_simhash_anchors": op2_simhash_anchors,
         "op3_toxicity_nnpu": op3_toxicity_nnpu,
         "op4_language_ecoc": op4_language_ecoc,
+        "op6_substring_sketch": op6_substring_sketch,
         "op7_pattern_packing": op7_pattern_packing,
         "op8_license_rules": op8_license_rules,
+        "op9_bpe_automaton": op9_bpe_automaton,
         "op10_quartile_digest": op10_quartile_digest,
     }
 
