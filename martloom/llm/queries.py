@@ -13,6 +13,7 @@ from martloom.llm.chunk_encoder import byte_bpe, word_bpe
 from martloom.llm.common import documents, fold, shared_dir
 from martloom.llm.language_ecoc import identify_languages, train_language_model
 from martloom.llm.license_rules import scan_licenses
+from martloom.llm.multiprobe_ann import nearest_neighbours
 from martloom.llm.pattern_packing import pack_documents
 from martloom.llm.quartile_digest import digest_documents
 from martloom.llm.simhash_anchors import simhash_groups
@@ -58,6 +59,11 @@ def op4_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest_neighbours(vectors, F.col("vec_id") % 50 == 0, nearest=5)
+
+
 def op6_substring_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(documents(spark, sf_dir)).select(
         "doc.doc_id",
@@ -109,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op2_simhash_anchors": op2_simhash_anchors,
         "op3_toxicity_nnpu": op3_toxicity_nnpu,
         "op4_language_ecoc": op4_language_ecoc,
+        "op5_multiprobe_ann": op5_multiprobe_ann,
         "op6_substring_sketch": op6_substring_sketch,
         "op7_pattern_packing": op7_pattern_packing,
         "op8_license_rules": op8_license_rules,
