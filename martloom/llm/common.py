@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.operators.sinks import shared_dir
 
@@ -27,6 +28,15 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % folds
 
 
+def fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
+
+def with_id(df: DataFrame, id_col: str, ddl: str) -> T.StructType:
+    """``id`` of the type of ``id_col``, which may be a struct of any names, and the fields of ``ddl``."""
+    return T.StructType([T.StructField("id", df.schema[id_col].dataType), *fields(ddl)])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back.
 

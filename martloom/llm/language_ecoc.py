@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE, byte_view, lower_ascii
+from martloom.llm.common import SLICE, byte_view, lower_ascii, with_id
 
 BUCKET_BITS = 14
 UNDETERMINED = "und"
@@ -228,10 +228,9 @@ def identify_languages(
     everything if no language was learned. Repeated rows give repeated results, a NULL id
     stays NULL, an empty table gives no rows, and other columns are not looked at.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), has_letter(text_col).alias("ok")
     ).mapInArrow(
         partial(_predict, model=model),
-        f"id {kind}, lang_pred string, score double, ambiguous boolean",
+        with_id(docs, id_col, "lang_pred string, score double, ambiguous boolean"),
     ).withColumnRenamed("id", id_col)

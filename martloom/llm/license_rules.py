@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.common import with_id
+
 #: Phrases that are always looked for, and their labels. Fixed values.
 BASE = {
     "gnu general public license": "gpl",
@@ -283,6 +285,13 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+FOUND = (
+    "n_words long, base_starts array<long>, base_labels array<string>, "
+    "detections array<struct<first_word:long,n_words:long,label:string,certainty:double>>, "
+    "score double"
+)
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Words, places of base phrases (word numbers from 0), detections and a score of every text.
 
@@ -291,14 +300,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty texts have no words and empty lists. Repeated rows give repeated results, NULL
     ids stay, no rows give no rows, and columns besides id and text are not looked at.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .mapInArrow(
             _scan_batches,
-            f"id {kind}, n_words long, base_starts array<long>, base_labels array<string>, "
-            "detections array<struct<first_word:long,n_words:long,label:string,certainty:double>>, "
-            "score double",
+            with_id(docs, id_col, FOUND),
         )
         .withColumnRenamed("id", id_col)
     )

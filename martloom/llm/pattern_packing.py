@@ -25,9 +25,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.llm.chunk_encoder import Vocabulary, worker_encoder
-from martloom.llm.common import byte_view, stored
+from martloom.llm.common import byte_view, fields, stored, with_id
 
 #: Length classes that a sequence is divided into, and documents in a pattern.
 CLASSES = 256
@@ -283,6 +284,11 @@ def _assign(
         )
 
 
+PIECE = (
+    "piece int, start long, length long, ids_crc32 long, number long, part int, ids binary"
+)
+
+
 def pack_documents(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -300,7 +306,6 @@ def pack_documents(
     full pieces and a last one. NULL text is empty: the end id alone. Repeated rows are packed
     each, NULL ids stay, no rows give no rows, and columns besides id and text are not kept.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     pieces = stored(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
             partial(
@@ -310,8 +315,7 @@ def pack_documents(
                 capacity=capacity,
                 keep_ids=keep_ids,
             ),
-            f"id {kind}, piece int, start long, length long, ids_crc32 long, number long, "
-            "part int, ids binary",
+            with_id(docs, id_col, PIECE),
         ),
         "pieces",
     )
@@ -330,8 +334,7 @@ def pack_documents(
         *(["ids"] if keep_ids else []),
         (F.col("ahead") + F.col("number")).alias("number"),
     )
-    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in numbered.schema][:-1]
+    placed = fields("sequence_id long, offset long")
     return numbered.mapInArrow(
-        partial(_assign, table=plan.table()),
-        ", ".join([*kinds, "sequence_id long", "offset long"]),
+        partial(_assign, table=plan.table()), T.StructType([*numbered.schema.fields[:-1], *placed])
     ).withColumnRenamed("id", id_col)

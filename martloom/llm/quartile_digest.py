@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE, byte_view, slices, stored
+from martloom.llm.common import SLICE, byte_view, slices, stored, with_id
 
 BUCKETS = 256
 HEADER = 3
@@ -189,13 +189,12 @@ def digest_documents(
     most two a task, are joined to finish the rows where tasks meet.
     """
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
     order = [F.col("id").desc_nulls_last(), F.xxhash64("text")]
     walked = stored(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_walk, f"id {kind}, {RESULT}, part int, edge string, text string"),
+        .mapInArrow(_walk, with_id(docs, id_col, f"{RESULT}, part int, edge string, text string")),
         "digests",
     )
     done = walked.where("edge IS NULL").drop("part", "edge", "text")
@@ -213,6 +212,6 @@ def digest_documents(
         .join(after, "part")
         .join(firsts, "next_part")
         .select("id", "text", "next_text")
-        .mapInArrow(_pairs, f"id {kind}, {RESULT}")
+        .mapInArrow(_pairs, with_id(docs, id_col, RESULT))
     )
     return done.unionByName(met).withColumnRenamed("id", id_col)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import byte_view, lower_ascii, ragged, slices, stored
+from martloom.llm.common import byte_view, lower_ascii, ragged, slices, stored, with_id
 from martloom.llm.components import connected_components
 
 BITS = 64
@@ -283,10 +283,9 @@ def simhash_groups(
     shingle; one without words, NULL too, has fingerprint 0. Rows with a NULL id are linked
     like others, and NULL is a component's id only if it has no other. No rows give no rows.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     marked = stored(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-            partial(_fingerprints, shingle=shingle), f"id {kind}, fp long"
+            partial(_fingerprints, shingle=shingle), with_id(docs, id_col, "fp long")
         ),
         "fingerprints",
     )

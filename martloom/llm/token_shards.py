@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.llm.chunk_encoder import Vocabulary, worker_encoder
-from martloom.llm.common import byte_view
+from martloom.llm.common import byte_view, fields
 from martloom.llm.repair_grammar import compress, pack, unpack
 
 #: Ids after which a shard is closed; one longer document makes a longer shard.
@@ -84,14 +85,18 @@ def write_token_shards(
     NULL text is empty: the end id alone. NULL ids come first, and rows that share an id follow
     each other by their text's hash. No rows make an empty table. Other columns are not kept.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartitionByRange(
         *order
     ).sortWithinPartitions(*order).mapInArrow(
         partial(_shards, vocabulary=vocabulary, end_id=end_id),
-        "part int, shard long, start long, n_ids long, "
-        f"keys array<{kind}>, counts array<long>, grammar binary",
+        T.StructType(
+            [
+                *fields("part int, shard long, start long, n_ids long"),
+                T.StructField("keys", T.ArrayType(docs.schema[id_col].dataType)),
+                *fields("counts array<long>, grammar binary"),
+            ]
+        ),
     ).write.parquet(path)
 
 
@@ -129,10 +134,10 @@ def _with_first_ids(spark: SparkSession, path: str) -> DataFrame:
 def read_token_shards(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """id, start (ids of all documents before it) and ids (binary) of every document."""
     shards = _with_first_ids(spark, path)
-    kind = shards.schema["keys"].dataType.elementType.simpleString()
+    kind = shards.schema["keys"].dataType.elementType
     return (
         shards.select("first_id", "keys", "counts", "grammar")
-        .mapInArrow(_documents, f"id {kind}, start long, ids binary")
+        .mapInArrow(_documents, T.StructType([T.StructField("id", kind), *fields("start long, ids binary")]))
         .withColumnRenamed("id", id_col)
     )
 

@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martloom.llm.common import SpanHasher, byte_view, lower_ascii, runs, slices
+from martloom.llm.common import SpanHasher, byte_view, lower_ascii, runs, slices, with_id
 
 BUCKET_BITS = 22
 #: A word's first so many bytes are features beside the whole word.
@@ -118,13 +119,12 @@ def train_toxicity(
     toxic = positives.select(F.col(id_col).alias("id")).join(rows.select("id"), "id", "left_semi")
     p, u = smallest(toxic, most_positive), smallest(rows.select("id"), most_unlabelled)
     # p and u have at most most_positive + most_unlabelled ids, whatever the corpus is.
-    kind = rows.schema["id"].dataType
     chosen = docs.sparkSession.createDataFrame(
-        [(x,) for x in sorted(p | u)], f"id {kind.simpleString()}"
+        [(x,) for x in sorted(p | u)], T.StructType([rows.schema["id"]])
     )
     sample = (
         rows.join(F.broadcast(chosen), "id", "left_semi")
-        .mapInArrow(_sample, f"id {kind.simpleString()}, buckets binary, likeness long")
+        .mapInArrow(_sample, with_id(rows, "id", "buckets binary, likeness long"))
         .collect()
     )
     sample.sort(key=lambda r: (r.id, r.buckets))
@@ -212,10 +212,9 @@ def score_toxicity(
     feature. Repeated rows give repeated results, NULL ids stay, no rows give no rows,
     and columns besides id and text are not looked at.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInArrow(partial(_score, model=model), f"id {kind}, score double")
+        .mapInArrow(partial(_score, model=model), with_id(docs, id_col, "score double"))
         .withColumnRenamed("id", id_col)
     )
 
