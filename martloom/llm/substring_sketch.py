@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martloom.llm.common import SLICE, SpanHasher, byte_view, ragged, runs, slices, stored
+from martloom.llm.common import SpanHasher, byte_view, fields, ragged, runs, slices, stored
 
 GRAM = 8
 DEPTH = 3
@@ -212,30 +213,34 @@ def _suspects(
     for batch in batches:
         ids, marks = batch.column(0), batch.column(1).to_numpy()
         data, starts = byte_view(batch.column(2))
-        for a, b in slices(starts, 16 * SLICE):
+        found: list[tuple[np.ndarray, ...]] = []
+        for a, b in slices(starts):
             at = starts[a]
             w = finder.find(data[at : starts[b]], starts[a : b + 1] - at)
             places = np.flatnonzero(_estimated(w, sketch.value, bits))
-            one, two = finder.keys(w, places)
-            order = np.lexsort((two, one))
-            new = np.ones(len(order), bool)
-            x, y = one[order], two[order]
-            new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            head = np.flatnonzero(new)
-            count = np.minimum(np.diff(head, append=len(order)), 2)
-            places = places[order[head]]
             text = np.searchsorted(w.first, places, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(x[head].view(np.int64)),
-                    pa.array(y[head].view(np.int64)),
-                    pa.array(count.astype(np.int8)),
-                    ids.take(pa.array(a + text)),
-                    pa.array(marks[a + text]),
-                    pa.array((places - w.first[text]).astype(np.int32)),
-                ],
-                names=["one", "two", "n", "id", "mark", "place"],
-            )
+            found.append((*finder.keys(w, places), a + text, places - w.first[text]))
+        if not found:
+            continue
+        one, two, text, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        head = np.flatnonzero(new)
+        count = np.minimum(np.diff(head, append=len(order)), 2)
+        text, place = text[order[head]], place[order[head]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(one[head].view(np.int64)),
+                pa.array(two[head].view(np.int64)),
+                pa.array(count.astype(np.int8)),
+                ids.take(pa.array(text)),
+                pa.array(marks[text]),
+                pa.array(place.astype(np.int32)),
+            ],
+            names=["one", "two", "n", "id", "mark", "place"],
+        )
 
 
 def covered(w: Windows, repeated: np.ndarray, window: int) -> np.ndarray:
@@ -254,7 +259,7 @@ def _removal(
     for batch in batches:
         data, starts = byte_view(batch.column(1))
         alone = batch.column(2)
-        for a, b in slices(starts, 4 * SLICE):
+        for a, b in slices(starts):
             at = starts[a]
             w = finder.find(data[at : starts[b]], starts[a : b + 1] - at)
             repeated = _estimated(w, sketch.value, bits)
@@ -315,10 +320,15 @@ def remove_repeated_windows(
     )
     bits = sketch_bits(rows)
     sketch = docs.sparkSession.sparkContext.broadcast(merged_sketch(rows, window, bits))
-    kind = rows.schema["id"].dataType.simpleString()
     suspects = rows.select("id", "mark", "text").mapInArrow(
         partial(_suspects, window=window, bits=bits, sketch=sketch),
-        f"one long, two long, n tinyint, id {kind}, mark long, place int",
+        T.StructType(
+            [
+                *fields("one long, two long, n tinyint"),
+                rows.schema["id"],
+                *fields("mark long, place int"),
+            ]
+        ),
     )
     # A window counted once in all stands alone: its one row says where. Id and text hash name its
     # document, for two rows equal in both would have had all their windows twice.
@@ -335,8 +345,7 @@ def remove_repeated_windows(
         F.col("d.id").eqNullSafe(F.col("a.id")) & (F.col("d.mark") == F.col("a.mark")),
         "left",
     )
-    doc = rows.schema["doc"].dataType.simpleString()
     return matched.select("d.doc", "d.text", "a.alone").mapInArrow(
         partial(_removal, window=window, bits=bits, sketch=sketch),
-        f"doc {doc}, kept string, n_words long, n_removed long",
+        T.StructType([rows.schema["doc"], *fields("kept string, n_words long, n_removed long")]),
     )
