@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from martloom.llm.chunk_encoder import word_bpe
+from martloom.llm.pattern_packing import make_plan, nnls, pack_documents, patterns
+from tests.llm.data import edge_docs, empty_docs, texts
+
+
+def spread(plan, histogram):
+    """(sequence, offset, length) of every piece of a plan."""
+    keys, sequences, offsets = plan.table()
+    out = []
+    for length, n in histogram.items():
+        for number in range(n):
+            k = int(np.searchsorted(keys, length << 40 | number, "right")) - 1
+            out.append((int(sequences[k] + (length << 40 | number) - keys[k]), int(offsets[k]), length))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plans_place_every_piece_without_gap_or_overlap(seed):
+    r = random.Random(seed)
+    capacity = r.choice([8, 64, 100, 4096])
+    pieces = [min(capacity, max(1, int(r.lognormvariate(4, 1.2)))) for _ in range(3000)]
+    histogram = Counter(pieces)
+    plan = make_plan(dict(histogram), capacity)
+    placed = spread(plan, histogram)
+    end = {}
+    for sequence, offset, length in placed:
+        assert offset == end.get(sequence, 0)
+        end[sequence] = offset + length
+    assert max(end.values()) <= capacity
+    assert len(end) == plan.sequences
+    assert plan.sequences <= 1.05 * -(-sum(pieces) // capacity) + 2
+
+
+def test_plans_of_nothing_and_of_one_length():
+    assert make_plan({}, 4096).sequences == 0
+    assert make_plan({4096: 5}, 4096).sequences == 5
+    assert make_plan({2048: 5}, 4096).sequences == 3
+    assert make_plan({1: 10_000}, 4096).sequences == 3
+
+
+def test_patterns_fill_a_sequence():
+    ways = patterns(12, 3)
+    assert (np.arange(1, 13) @ ways == 12).all()
+    assert ways.sum(0).max() <= 3
+    assert len({tuple(x) for x in ways.T}) == ways.shape[1] == 19
+
+
+def test_nnls_is_optimal():
+    r = np.random.default_rng(0)
+    for _ in range(20):
+        a, b = r.random((8, 15)), r.random(8) * 10
+        x = nnls(a, b)
+        slope = a.T @ (b - a @ x)
+        assert (x >= 0).all()
+        assert slope.max() < 1e-6
+        assert abs(slope[x > 0]).max(initial=0) < 1e-6
+
+
+def test_packed_documents(spark):
+    known = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = pack_documents(edge_docs(spark), word_bpe(), end_id=1, keep_ids=True).collect()
+    want = []
+    for i, text in texts():
+        ids = np.array(known.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        for start in range(0, len(ids), 4096):
+            some = ids[start : start + 4096]
+            want.append((i, start // 4096, start, len(some), zlib.crc32(some), some.tobytes()))
+    found = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, bytes(r.ids)) for r in rows]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    end = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == end.get(r.sequence_id, 0)
+        end[r.sequence_id] = r.offset + r.length
+    assert max(end.values()) <= 4096
+    assert pack_documents(empty_docs(spark), word_bpe(), end_id=1).count() == 0

@@ -1,0 +1,270 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.llm import quartile_digest
+from martloom.llm.common import byte_view
+from martloom.llm.license_rules import BASE, Scanner, rules, scan_licenses, settle
+from martloom.llm.multiprobe_ann import Settings, nearest_neighbours, probe_order
+from martloom.llm.quartile_digest import (
+    BUCKETS,
+    FARTHEST,
+    bucket_counts,
+    difference,
+    digest_documents,
+    digests,
+    likeness,
+)
+from martloom.llm.queries import queries
+from tests.conftest import SF_DIR
+from tests.llm.data import edge_docs, empty_docs, texts
+
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+# Nearest neighbours
+
+
+def test_probe_sets_are_valid_distinct_and_in_order():
+    m = 5
+    sets = probe_order(m, 200)
+    assert not sets[0].any()
+    assert len({tuple(x) for x in sets.tolist()}) == len(sets) == 200
+    assert not (sets[:, :m] & sets[:, ::-1][:, :m]).any()
+    assert sets[1].tolist() == [1] + [0] * (2 * m - 1)
+    assert len(probe_order(2, 100)) == 9  # every step of two projections
+
+
+def brute(ids, vectors, query, nearest):
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    cos = unit @ unit[query]
+    order = [k for k in np.lexsort((ids, -cos)) if ids[k] != ids[query]]
+    return [(int(ids[k]), cos[k]) for k in order[:nearest]]
+
+
+def test_recall_on_the_supplied_vectors(spark):
+    found = queries()["op5_multiprobe_ann"](spark, SF_DIR).collect()
+    table = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").toPandas()
+    ids, vectors = table.vec_id.to_numpy(), np.stack(table.embedding).astype(float)
+    got = {(r.query_id, r.vec_id): r.score for r in found}
+    want = {
+        (int(ids[q]), i): c
+        for q in np.flatnonzero(ids % 50 == 0)
+        for i, c in brute(ids, vectors, q, 5)
+    }
+    both = got.keys() & want.keys()
+    assert len(both) >= 0.9 * len(want)
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in both)
+
+
+def test_blocks_do_not_change_what_near_queries_find(spark):
+    r = np.random.default_rng(4)
+    base = r.standard_normal((300, 16))
+    vectors = np.concatenate([base, base + 0.01 * r.standard_normal(base.shape)])
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    settings = Settings(vectors=64, queries=7)
+    found = nearest_neighbours(table, F.col("vec_id") % 10 == 0, nearest=1, settings=settings)
+    assert {r.query_id: r.vec_id for r in found.collect()} == {
+        k: (k + 300) % 600 for k in range(0, 600, 10)
+    }
+
+
+def test_edge_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0], "x"),
+        (1, [2.0, 0.0], "x"),
+        (2, [3.0, 0.0], None),
+        (3, [0.0, 1.0], "x"),
+        (3, [1.0, 1.0], "x"),
+        (4, None, "x"),
+        (5, [], "x"),
+        (6, [0.0, 0.0], "x"),
+        (7, [nan, 1.0], "x"),
+        (8, [inf, 1.0], "x"),
+        (9, [None, 1.0], "x"),
+        (10, [1.0, 0.0, 0.0], "x"),
+        (None, [1.0, 0.0], "x"),
+        (50, [1e200, 1e-200], "x"),
+        (100, None, "x"),
+        (150, [1.0, 2.0, 3.0, 4.0], "x"),
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
+    found = nearest_neighbours(table, F.col("vec_id") % 50 == 0, nearest=3).orderBy("query_id", "rank")
+    assert [(r.query_id, r.rank, r.vec_id) for r in found.collect()] == [
+        (0, 1, 1), (0, 2, 2), (0, 3, 50), (50, 1, 0), (50, 2, 1), (50, 3, 2),
+    ]
+    assert [r.score for r in found.collect()][:3] == [1.0, 1.0, 1.0]
+    all_ = nearest_neighbours(table, F.col("vec_id") == 0, nearest=9).orderBy("rank").collect()
+    assert [r.vec_id for r in all_] == [1, 2, 50, 3]
+    assert all_[3].score == pytest.approx(0.5**0.5, abs=1e-15)
+    nothing = table.limit(0)
+    assert nearest_neighbours(nothing, F.col("vec_id") % 50 == 0).count() == 0
+
+
+# Licences
+
+
+def scanned(text: str | None):
+    found = [w.decode() for w in WORD.findall(lowered(text or "").encode())]
+    places, labels = [], set()
+    for phrase, label in BASE.items():
+        wanted = phrase.split()
+        for k in range(len(found) - len(wanted) + 1):
+            if found[k : k + len(wanted)] == wanted:
+                places.append(k)
+                labels.add(label)
+    return len(found), sorted(places), sorted(labels)
+
+
+def lowered(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+LICENCES = [
+    ("This is licensed under the GNU General Public License, version 3.", {"gpl"}, {"gpl"}),
+    ("Released under the MIT License.", {"mit"}, {"mit"}),
+    ("licensed under CC BY-NC 4.0", {"cc-by"}, {"cc-by-nc"}),
+    ("SPDX-License-Identifier: BSD-3-Clause", set(), {"bsd-3-clause"}),
+    ("the GNU Lesser General Public License v2.1", set(), {"lgpl"}),
+    ("Mozilla Public License 2.0", set(), {"mpl"}),
+    ("distributed under the terms of the Eclipse Public License 2.0", set(), {"epl"}),
+    ("All rights reserved.", set(), {"all-rights-reserved"}),
+    ("permit license limit cc bye", set(), set()),
+    ("a driving license", set(), set()),
+]
+
+
+@pytest.mark.parametrize(("text", "base", "labels"), LICENCES)
+def test_licences(text, base, labels):
+    found = Scanner().scan(text)
+    assert set(found.base_labels) == base
+    assert {label for _, _, label, _ in found.detections} == labels
+
+
+def test_there_are_hundreds_of_rules_that_compile():
+    assert len(rules()) > 300
+    for rule in rules():
+        re.compile(rule.pattern)
+
+
+def test_a_keyword_occurs_in_whatever_its_rule_matches():
+    """The gate must not hide a match: each form of each name is found with the gate on."""
+    scanner = Scanner()
+    for label, names in {
+        "gpl": ["GPL v2", "GNU GPL 3.0"],
+        "zlib": ["zlib", "zlib/libpng"],
+        "cc-by-sa": ["CC BY-SA 4.0"],
+        "boost": ["Boost Software", "Boost"],
+        "python": ["PSF"],
+    }.items():
+        for name in names:
+            found = scanner.scan(f"It is licensed under the {name} license.").detections
+            if name == "PSF":
+                continue  # its keyword is the full name
+            assert label in {x[2] for x in found}, name
+
+
+def test_overlaps_are_settled_by_containment_then_priority():
+    assert settle([(0, 10, 5), (2, 6, 1), (0, 10, 3), (5, 15, 9)]) == [(0, 10, 3), (5, 15, 9)]
+    assert settle([]) == []
+    assert settle([(0, 3, 1), (3, 6, 1)]) == [(0, 3, 1), (3, 6, 1)]
+
+
+def test_licences_of_edge_rows(spark):
+    rows = scan_licenses(edge_docs(spark)).collect()
+    found = [(r.doc_id, r.n_words, r.base_starts, r.base_labels) for r in rows]
+    want = [(i, *scanned(t)) for i, t in texts()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    assert all(0 <= r.score <= 1 and (r.score > 0) == bool(r.detections) for r in rows)
+    assert scan_licenses(empty_docs(spark)).count() == 0
+
+
+def test_licences_of_a_long_text_are_found_at_their_words():
+    text = "MIT license. " * 5000 + "x " * 1000 + "cc by"
+    found = Scanner().scan(text)
+    assert found.n_words == 11_002
+    assert found.base_starts == (*range(0, 10_000, 2), 11_000)
+
+
+# Digests
+
+
+def test_counts_do_not_depend_on_slices(monkeypatch):
+    some = ["", "a", "abc", "abcd", "Hello wörld " * 40, "x" * 999, "tail of it"]
+    data, starts = byte_view(pa.array(some))
+    whole = bucket_counts(data, starts)
+    assert whole.shape == (len(some), BUCKETS)
+    assert (whole.sum(1) == [3 * max(0, len(t.encode()) - 3) for t in some]).all()
+    monkeypatch.setattr(quartile_digest, "SLICE", 13)
+    assert (bucket_counts(data, starts) == whole).all()
+
+
+def test_difference_is_bounded_symmetric_and_zero_for_equals():
+    r = np.random.default_rng(0)
+    a, b = (r.integers(0, 256, (500, digests(*byte_view(pa.array(["x"]))).shape[1])).astype(np.uint8) for _ in "ab")
+    assert (difference(a, a) == 0).all()
+    assert (difference(a, b) == difference(b, a)).all()
+    assert difference(a, b).max() <= FARTHEST
+    assert (likeness(a, b) >= 0).all()
+
+
+def test_likeness_falls_with_edits():
+    text = texts()[0][1] * 3
+    some = [text, text.replace("w1", "v9", 3), text[: len(text) // 2] + "zz qq " * 200, "other " * 300]
+    d = digests(*byte_view(pa.array(some)))
+    near = [float(likeness(d[:1], d[k : k + 1])[0]) for k in range(4)]
+    assert near[0] == 1
+    assert near[0] > near[1] > near[2] > near[3]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_digests_of_edge_rows(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = digest_documents(edge_docs(spark).where("NOT (doc_id = 2) OR doc_id IS NULL")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ordered = sorted(
+        (x for x in texts() if x[0] != 2), key=lambda x: (x[0] is None, -(x[0] or 0))
+    )
+    known = [(i, t or "") for i, t in ordered]
+    # The two rows without an id may come in either order of their texts' hashes.
+    wants = []
+    for tail in (known[-2:], known[-2:][::-1]):
+        line = known[:-2] + tail
+        want = []
+        for k, (i, text) in enumerate(line):
+            following = line[(k + 1) % len(line)][1]
+            half = len(text) // 2
+            edit = text[: len(text) - half] + following[:half]
+            d = digests(*byte_view(pa.array([text, edit, following])))
+            want.append(
+                (
+                    i,
+                    len(text),
+                    hashlib.sha256(edit.encode()).hexdigest(),
+                    d[0].tobytes().hex(),
+                    d[1].tobytes().hex(),
+                    float(likeness(d[:1], d[1:2])[0]),
+                    float(likeness(d[:1], d[2:3])[0]),
+                )
+            )
+        wants.append(sorted(want, key=repr))
+    assert sorted((tuple(r) for r in rows), key=repr) in wants
+
+
+def test_digests_of_one_row_and_of_none(spark):
+    one = spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")
+    (row,) = digest_documents(one).collect()
+    assert row.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest()
+    assert row.near_next == 1.0
+    assert digest_documents(empty_docs(spark)).count() == 0
