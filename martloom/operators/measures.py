@@ -9,45 +9,76 @@ twice.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Decimals of all measures, or of each by column name; columns not named are added as doubles.
+Scale = int | Mapping[str, int] | None
+
 
 @dataclass(frozen=True)
 class Measure:
     """Count, total, average, minimum and maximum of one numeric column.
 
     ``scale=None`` adds doubles, so the last bits depend on the order in which
-    Spark adds them. ``scale=n`` declares that values have at most n decimals and
-    adds them as whole units of 10^-n in a long: the result is the same on every
-    run, partitioning and retry. A total must then stay below 9.2e18 units (all
-    line prices of a 100 TB TPC-H database, in cents, are about 2.3e18) and values
-    be finite; otherwise ANSI mode, Spark's default, raises.
+    Spark adds them. ``scale=n`` says that values have at most n decimals and adds
+    them as whole units of 10^-n in a long: the result is the same on every run,
+    partitioning and retry. A value with more decimals, NaN, an infinity, or a
+    total beyond 9.2e18 units (all line prices of a 100 TB TPC-H database, in
+    cents, are about 2.3e18) raises, whether ANSI mode is on or off; nothing is
+    rounded. A mapping gives each column's own scale.
     """
 
     column: str
-    scale: int | None = None
+    scale: Scale = None
+
+    @property
+    def decimals(self) -> int | None:
+        if isinstance(self.scale, Mapping):
+            return self.scale.get(self.column)
+        return self.scale
+
+    def _units(self, col: Column) -> Column:
+        """Whole units; equal to the value again when divided, or an error."""
+        value, one = col.cast("double"), float(10**self.decimals)
+        units = F.rint(value * one).try_cast("long")
+        exact = F.coalesce(units.cast("double") / one == value, F.lit(False))
+        problem = F.concat(
+            F.lit(f"{self.column} is not a number of at most {self.decimals} decimals: "),
+            value.cast("string"),
+        )
+        return F.when(value.isNull(), F.lit(None)).when(exact, units).otherwise(
+            F.raise_error(problem).cast("long")
+        )
+
+    def _checked(self) -> Column:
+        """The sum, which is NULL without values; NULL with values is an overflow."""
+        total, n = F.col(self._part("sum")), F.col(self._part("n"))
+        if self.decimals is None:
+            return total
+        overflow = F.raise_error(F.lit(f"the total of {self.column} does not fit a long"))
+        return F.when(total.isNull() & (n > 0), overflow.cast("long")).otherwise(total)
 
     def first(self) -> list[Column]:
         """Partial aggregates over raw rows."""
         col = F.col(self.column)
-        units = col
-        if self.scale is not None:
-            units = F.rint(col.cast("double") * float(10**self.scale)).cast("long")
+        total = F.sum(col) if self.decimals is None else F.try_sum(self._units(col))
         return [
             F.count(col).alias(self._part("n")),
-            F.sum(units).alias(self._part("sum")),
+            total.alias(self._part("sum")),
             F.min(col).alias(self._part("min")),
             F.max(col).alias(self._part("max")),
         ]
 
     def merge(self) -> list[Column]:
         """The same aggregates over rows that ``first`` or ``merge`` produced."""
+        add = F.sum if self.decimals is None else F.try_sum
         return [
             F.sum(self._part("n")).alias(self._part("n")),
-            F.sum(self._part("sum")).alias(self._part("sum")),
+            add(self._checked()).alias(self._part("sum")),
             F.min(self._part("min")).alias(self._part("min")),
             F.max(self._part("max")).alias(self._part("max")),
         ]
@@ -55,8 +86,8 @@ class Measure:
     @property
     def total(self) -> Column:
         """NULL when the group has no value."""
-        units = F.col(self._part("sum"))
-        return units.cast("double") if self.scale is None else units / float(10**self.scale)
+        total = self._checked()
+        return total.cast("double") if self.decimals is None else total / float(10**self.decimals)
 
     @property
     def average(self) -> Column:

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from martloom.contracts import conform
 from martloom.functions.exprs import count_value, day_diff, month_label, month_start
-from martloom.operators.measures import Measure, merged_counts
+from martloom.operators.measures import Measure, Scale, merged_counts
 
 
 def mart_lineitems(
-    lineitem: DataFrame, *, scale: int | None = None, order: str = "global"
+    lineitem: DataFrame, *, scale: Scale = None, order: str = "global"
 ) -> DataFrame:
     """Line statistics per order.
 
@@ -33,7 +33,7 @@ def mart_lineitems(
 
 
 def mart_lineitems_core(
-    lineitem: DataFrame, *, scale: int | None = None, order: str = "global"
+    lineitem: DataFrame, *, scale: Scale = None, order: str = "global"
 ) -> DataFrame:
     """``mart_lineitems`` without ``delivery_days``, for tables without receipt dates."""
     return _sorted_lines(_line_stats(lineitem, scale), order)
@@ -44,7 +44,7 @@ def mart_orders(
     customer: DataFrame,
     nation: DataFrame,
     *,
-    scale: int | None = None,
+    scale: Scale = None,
     order: str = "global",
 ) -> DataFrame:
     """Order statistics per month, customer nation and priority.
@@ -107,7 +107,7 @@ def mart_customers(
     nation: DataFrame,
     region: DataFrame,
     *,
-    scale: int | None = None,
+    scale: Scale = None,
     order: str = "global",
 ) -> DataFrame:
     """Customer statistics per region, nation and market segment; unknown ones kept as NULL.
@@ -132,7 +132,7 @@ def mart_suppliers(
     nation: DataFrame,
     region: DataFrame,
     *,
-    scale: int | None = None,
+    scale: Scale = None,
     order: str = "global",
 ) -> DataFrame:
     """Supplier statistics per region and nation; suppliers without either are dropped.
@@ -158,7 +158,7 @@ def mart_parts(
     supplier: DataFrame,
     nation: DataFrame,
     *,
-    scale: int | None = None,
+    scale: Scale = None,
     order: str = "global",
 ) -> DataFrame:
     """Part and supply-cost statistics per supplier nation, part type and container.
@@ -225,7 +225,7 @@ MARTS: dict[str, Mart] = {
 }
 
 
-def _line_stats(lineitem: DataFrame, scale: int | None, *extra: Column) -> DataFrame:
+def _line_stats(lineitem: DataFrame, scale: Scale, *extra: Column) -> DataFrame:
     price, discount, tax = (
         Measure(name, scale) for name in ("l_extendedprice", "l_discount", "l_tax")
     )
