@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.chunk_encoder import ChunkEncoder, Vocabulary, worker_encoder
-from martloom.llm.common import byte_view, ragged
+from martloom.llm.common import byte_view, ragged, with_id
 
 #: How byte-level BPE splits text ahead of the merges. A fixed value of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -44,6 +44,24 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+class ArcLabels:
+    """The bytes of every token."""
+
+    def __init__(self, labels: dict[int, bytes]) -> None:
+        n = max(labels, default=-1) + 1
+        self.lengths = np.array([len(labels.get(t, b"")) for t in range(n)], np.int32)
+        self.begins = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        self.bytes = np.frombuffer(b"".join(labels.get(t, b"") for t in range(n)), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The labels of the arcs of a path, one after another."""
+        ids = ids.astype(np.int64)
+        return self.bytes[ragged(self.begins[ids], self.lengths[ids].astype(np.int64))]
+
+    def text(self, ids: np.ndarray) -> str:
+        return self.decode(ids).tobytes().decode("utf-8", "replace")
+
+
 class TokenAutomaton:
     """Compiled from merges over byte strings; token ids are the vocabulary's."""
 
@@ -59,13 +77,12 @@ class TokenAutomaton:
         """
         n = max(labels, default=-1) + 1
         self.label_lengths = np.array([len(labels.get(t, b"")) for t in range(n)], np.int32)
-        self.label_begins = np.cumsum(self.label_lengths, dtype=np.int64) - self.label_lengths
-        self.label_bytes = np.frombuffer(b"".join(labels.get(t, b"") for t in range(n)), np.uint8)
-        self._compile(n, merges)
-        self._index({t: x for t, x in labels.items() if x and t not in special})
-        self._remember(22)
+        there = self._compile(n, merges)
+        self._index({t: x for t, x in labels.items() if x and there[t] and t not in special})
+        self._remember(21)
 
-    def _compile(self, n: int, merges: list[tuple[int, int, int]]) -> None:
+    def _compile(self, n: int, merges: list[tuple[int, int, int]]) -> list[bool]:
+        """The tables, and which tokens have any arc: a merge adds none where u is not followed by v."""
         self.made = np.full(n, -1, np.int32)  # rank of the merge that made a token; -1: a byte
         self.from_arc = np.arange(n, dtype=np.int32)  # the arc that an arc was added along
         self.from_state = np.arange(n, dtype=np.int32)  # whose state a state was split from
@@ -79,6 +96,12 @@ class TokenAutomaton:
         order = np.argsort(keys)
         self.removed = keys[order]
         self.removed_at = np.array(list(removed.values()), np.int32)[order]
+        there = [True] * n
+        u, v, _ = np.array(merges, np.int64).reshape(-1, 3).T
+        followed = self._looked_up(u, v, np.arange(len(merges)))
+        for (u, v, uv), path in zip(merges, followed.tolist(), strict=True):
+            there[uv] = there[u] and there[v] and path
+        return there
 
     def _index(self, labels: dict[int, bytes]) -> None:
         """Byte trie of the labels with failure links worked into its transitions."""
@@ -100,23 +123,29 @@ class TokenAutomaton:
         rows = [(a, byte, b) for a, kids in enumerate(children) for byte, b in kids.items()]
         parent, byte, child = np.array(rows, np.int64).reshape(-1, 3).T
         level = np.array(depth)[child] if size > 1 else np.zeros(0, int)
-        self.goto = np.zeros((size, 256), np.int32)
+        # A node without children moves as its failure link does, so it has that one's row.
+        inner = np.unique(np.append(parent, 0))
+        self.goto = np.zeros((len(inner), 256), np.int32)
+        self.row = np.zeros(size, np.int32)
+        self.row[inner] = np.arange(len(inner))
+        is_inner = np.zeros(size, bool)
+        is_inner[inner] = True
         failure = np.zeros(size, np.int64)
         ends = np.array(token)  # the longest token that ends at a node
         self.shorter = np.full(len(self.label_lengths), -1, np.int32)
         for d in range(1, int(level.max(initial=0)) + 1):
             some = np.flatnonzero(level == d)
             p, b, c = parent[some], byte[some], child[some]
-            failure[c] = self.goto[failure[p], b] if d > 1 else 0
-            if d > 1:
-                self.goto[p, b] = c
-            else:
-                self.goto[0, b] = c
+            failure[c] = self.goto[self.row[failure[p]], b] if d > 1 else 0
+            self.goto[self.row[p], b] = c
             own = ends[c] >= 0
             self.shorter[ends[c][own]] = ends[failure[c][own]]
             ends[c[~own]] = ends[failure[c[~own]]]
             # The next level's transitions, until its own children are put in.
-            self.goto[c] = self.goto[failure[c]]
+            deep = c[is_inner[c]]
+            self.goto[self.row[deep]] = self.goto[self.row[failure[deep]]]
+            leaf = c[~is_inner[c]]
+            self.row[leaf] = self.row[failure[leaf]]
         self.longest = ends.astype(np.int32)
 
     def _remember(self, bits: int) -> None:
@@ -124,8 +153,10 @@ class TokenAutomaton:
         self._known = np.full(1 << bits, _EMPTY, np.uint64)
         self._there = np.zeros(1 << bits, bool)
 
-    def _looked_up(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Whether the arc is there, by following what state and arc were made from.
+    def _looked_up(
+        self, state: np.ndarray, token: np.ndarray, as_of: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Whether the arc is there, or was ahead of a merge, by following what both were made from.
 
         Going back in time, the younger of the two is undone first. The arc is missing if,
         while both of them stood, the arc between them was removed.
@@ -133,7 +164,9 @@ class TokenAutomaton:
         there = np.ones(len(state), bool)
         at = np.arange(len(state))
         a, t = state.astype(np.int64), token.astype(np.int64)
-        limit = np.full(len(state), _NEVER, np.int64)
+        limit = np.full(len(state), _NEVER, np.int64) if as_of is None else as_of
+        if not len(self.removed):
+            return there
         while len(at):
             key = a << 32 | t
             place = np.minimum(np.searchsorted(self.removed, key), len(self.removed) - 1)
@@ -208,7 +241,7 @@ class TokenAutomaton:
         node = np.zeros(words, np.int64)
         for i in range(1, most + 1):
             n = int(np.searchsorted(-lengths, -i, "right"))  # words that are long enough
-            node = self.goto[node[:n], data[begins[:n] + (i - 1)]].astype(np.int64)
+            node = self.goto[self.row[node[:n]], data[begins[:n] + (i - 1)]]
             open_ = np.arange(n)
             token = self.longest[node]
             while len(open_):
@@ -235,30 +268,34 @@ class TokenAutomaton:
             ids[end[some] - step] = token
         return ids, counts
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The labels of the arcs of a path, as bytes."""
-        ids = ids.astype(np.int64)
-        lengths = self.label_lengths[ids].astype(np.int64)
-        return self.label_bytes[ragged(self.label_begins[ids], lengths)]
-
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def load_automaton(path: str) -> tuple[TokenAutomaton, dict[str, int]]:
-    """The automaton of a byte-level BPE file, and its special tokens."""
+def _read(path: str) -> tuple[dict, dict[int, bytes], dict[str, int]]:
+    """A byte-level BPE file, the bytes of its tokens, and its special tokens."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     byte_of = byte_characters()
-    ids = spec["model"]["vocab"]
-    labels = {t: bytes(byte_of[c] for c in text) for text, t in ids.items()}
+    labels = {t: bytes(byte_of[c] for c in x) for x, t in spec["model"]["vocab"].items()}
     special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+    return spec, labels | {t: x.encode() for x, t in special.items()}, special
+
+
+def load_labels(path: str) -> ArcLabels:
+    return ArcLabels(_read(path)[1])
+
+
+def load_automaton(path: str) -> tuple[TokenAutomaton, ArcLabels, dict[str, int]]:
+    """The automaton of a byte-level BPE file, its labels, and its special tokens."""
+    spec, labels, special = _read(path)
+    ids = spec["model"]["vocab"]
     merges = []
     for merge in spec["model"]["merges"]:
         u, v = merge.split(" ") if isinstance(merge, str) else merge
         merges.append((ids[u], ids[v], ids[u + v]))
-    labels |= {t: text.encode() for text, t in special.items()}
-    return TokenAutomaton(labels, merges, frozenset(special.values())), special
+    automaton = TokenAutomaton(labels, merges, frozenset(special.values()))
+    return automaton, ArcLabels(labels), special
 
 
 class AutomatonEncoder(ChunkEncoder):
@@ -267,7 +304,7 @@ class AutomatonEncoder(ChunkEncoder):
     TOGETHER = 50_000
 
     def _open(self) -> None:
-        self.automaton, self.special_ids = load_automaton(self.vocabulary.path)
+        self.automaton, self.labels, self.special_ids = load_automaton(self.vocabulary.path)
         self.vocabulary_size = len(self.automaton.label_lengths)
         self.split = regex.compile(PATTERN).findall
         either = "|".join(regex.escape(x) for x in self.special_ids)
@@ -294,43 +331,54 @@ class AutomatonEncoder(ChunkEncoder):
         return np.concatenate(out)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+def _encode(
+    batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, decoded: bool
+) -> Iterator[pa.RecordBatch]:
     encoder = worker_encoder(vocabulary, AutomatonEncoder)
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            found = encoder.encode_bytes(*byte_view(batch.column(1).slice(at, 1024)))
-            raw = pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())
+        for at in range(0, batch.num_rows, 512):
+            found = encoder.encode_bytes(*byte_view(batch.column(1).slice(at, 512)))
+            raw = [pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())]
+            if decoded:
+                raw.append(pa.array([encoder.labels.text(x) for x in found], pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, 1024), raw], names=["id", "ids"]
+                [batch.column(0).slice(at, 512), *raw], names=["id", "ids", "decoded"][: 1 + len(raw)]
             )
 
 
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-    automaton = worker_encoder(vocabulary, AutomatonEncoder).automaton
+    labels = load_labels(vocabulary.path)
     for batch in batches:
-        *kept, ids = batch.columns
-        texts = [
-            automaton.decode(np.frombuffer(x or b"", "<u4")).tobytes().decode("utf-8", "replace")
-            for x in ids.to_pylist()
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, ids, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
-        )
+        for at in range(0, batch.num_rows, 1024):
+            some = batch.slice(at, 1024)
+            raw = (np.frombuffer(x or b"", "<u4") for x in some.column("ids").to_pylist())
+            texts = [labels.text(x) for x in raw]
+            yield pa.RecordBatch.from_arrays(
+                [*some.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
+            )
 
 
 def encode_with_automaton(
-    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    *,
+    decoded: bool = False,
 ) -> DataFrame:
-    """id and ids (binary: little-endian unsigned 32-bit integers) of every whole text.
+    """id and ids (binary: little-endian unsigned 32-bit integers) of every whole text, and, if
+    asked for, the text that the ids decode to.
 
     NULL and empty texts have no ids. The strings of special tokens become their ids. Repeated rows
     give repeated results, NULL ids stay, no rows give no rows, and columns besides id and text
     are not looked at.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInArrow(partial(_encode, vocabulary=vocabulary), f"id {kind}, ids binary")
+        .mapInArrow(
+            partial(_encode, vocabulary=vocabulary, decoded=decoded),
+            with_id(docs, id_col, "ids binary" + ", decoded string" * decoded),
+        )
         .withColumnRenamed("id", id_col)
     )
 
@@ -340,11 +388,11 @@ def decode_ids(encoded: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
 
     Bytes that are not UTF-8 become replacement characters, as the vocabulary's library does.
     """
-    kind = encoded.schema[id_col].dataType.simpleString()
     return (
         encoded.select(F.col(id_col).alias("id"), "ids")
         .mapInArrow(
-            partial(_decode, vocabulary=vocabulary), f"id {kind}, ids binary, decoded string"
+            partial(_decode, vocabulary=vocabulary),
+            with_id(encoded, id_col, "ids binary, decoded string"),
         )
         .withColumnRenamed("id", id_col)
     )

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.bpe_automaton import decode_ids, encode_with_automaton
+from martloom.llm.bpe_automaton import encode_with_automaton
 from martloom.llm.chunk_encoder import byte_bpe, word_bpe
 from martloom.llm.common import documents, fold, shared_dir
 from martloom.llm.language_ecoc import identify_languages, train_language_model
@@ -95,9 +95,8 @@ def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = byte_bpe()
-    encoded = encode_with_automaton(documents(spark, sf_dir), vocabulary)
-    return decode_ids(encoded, vocabulary).select(
+    docs = documents(spark, sf_dir)
+    return encode_with_automaton(docs, byte_bpe(), decoded=True).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
