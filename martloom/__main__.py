@@ -10,12 +10,24 @@ from __future__ import annotations
 
 import argparse
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
 from martloom.plans.marts import MARTS
 from martloom.plans.run import run_marts
-from martloom.settings import apply_settings
+
+
+def _option(kind: type) -> Callable[[str], object]:
+    """One value, or several by name as in ``a=1,b=2``."""
+
+    def parse(text: str) -> object:
+        if "=" not in text:
+            return kind(text)
+        pairs = (part.split("=", 1) for part in text.split(","))
+        return {name.strip(): kind(value) for name, value in pairs}
+
+    return parse
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -26,14 +38,21 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--suffix", default="", help="after table names, e.g. .parquet")
     parser.add_argument("--database", help="catalog database of the served tables")
     parser.add_argument("--no-register", action="store_true", help="write files only")
-    parser.add_argument("--scale", type=int, help="decimals of money columns: exact sums")
-    parser.add_argument("--order", choices=("global", "file", "none"), default="global")
-    parser.add_argument("--num-files", type=int, help="at most this many files per mart")
+    parser.add_argument("--layout", choices=("runs", "flat"), help="a folder per run, or one")
+    parser.add_argument(
+        "--scale", type=_option(int), help="decimals for exact sums: 2, or o_totalprice=2,l_tax=4"
+    )
+    parser.add_argument(
+        "--order", type=_option(str), help="global, file or none, or by mart: orders=none"
+    )
+    parser.add_argument(
+        "--num-files", type=_option(int), help="at most so many files, or by mart: orders=4,parts=8"
+    )
+    parser.add_argument("--shuffle-partitions", type=int, help="largest shuffle / 128 MB")
     parser.add_argument("--concurrent", type=int, help="marts at the same time, default all")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("martloom").getOrCreate()
-    apply_settings(spark)
     statuses = run_marts(
         spark,
         args.input,
@@ -42,9 +61,11 @@ def main(argv: list[str] | None = None) -> int:
         suffix=args.suffix,
         database=args.database,
         register=not args.no_register,
+        layout=args.layout,
         scale=args.scale,
         order=args.order,
         num_files=args.num_files,
+        shuffle_partitions=args.shuffle_partitions,
         concurrent=args.concurrent,
     )
     for status in statuses:

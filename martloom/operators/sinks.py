@@ -1,12 +1,20 @@
-"""Publishing a mart: overwrite its parquet directory, then serve it as a table."""
+"""Publishing a mart: write its parquet files, then serve them as a table.
+
+What was published before stays whole until the new files are complete: a write that
+fails half way leaves it as it was.
+"""
 
 from __future__ import annotations
 
 import atexit
-import re
+import posixpath
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterable
+from urllib.parse import urlsplit
+
+from py4j.java_gateway import JavaObject
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -14,6 +22,10 @@ from pyspark.sql import types as T
 from martloom.contracts import CONTRACTS, ContractError, schema_issues
 
 
+#: Begins the names of run folders.
+RUN = "run-"
+
+
 def report_path(out_dir: str, mart: str) -> str:
     return f"{out_dir.rstrip('/')}/{mart}_report"
 
@@ -23,16 +35,63 @@ def write_mart(
 ) -> None:
     """Replace the parquet directory ``path`` with the mart.
 
+    The files are written beside the target and moved once they are complete.
     ``num_files`` bounds the number of files for marts known to be small. It also
     bounds the tasks of the last stage, so leave it unset for a mart that grows
-    with the data. ``inputs`` are paths that must not overlap the target: an
-    overwrite deletes before it writes.
+    with the data. ``inputs`` are paths that must not overlap the target, which is
+    deleted before the move. Where a move copies (object stores), use ``write_run``.
     """
-    for source in inputs:
-        if _overlap(path, source):
-            raise ValueError(f"refusing to overwrite {path}: it overlaps the input {source}")
+    spark = df.sparkSession
+    _refuse_overlap(spark, path, inputs)
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        _write(df, staging, num_files)
+        files, target = _files(spark, path)
+        files.delete(target, True)
+        if not files.rename(_files(spark, staging)[1], target):
+            raise OSError(f"could not move {staging} to {path}")
+    except BaseException:
+        remove(spark, staging)
+        raise
+    spark.catalog.refreshByPath(path)
+
+
+def write_run(
+    df: DataFrame, path: str, *, num_files: int | None = None, inputs: Iterable[str] = ()
+) -> str:
+    """Write the mart to a new folder under ``path`` and return it; older runs stay.
+
+    Nothing is moved or deleted, so it suits object stores. ``remove_old_runs`` tidies up
+    once readers have been pointed to the new folder.
+    """
+    spark = df.sparkSession
+    _refuse_overlap(spark, path, inputs)
+    target = f"{path.rstrip('/')}/{RUN}{uuid.uuid4().hex}"
+    try:
+        _write(df, target, num_files)
+    except BaseException:
+        remove(spark, target)
+        raise
+    return target
+
+
+def remove_old_runs(spark: SparkSession, path: str, keep: str) -> None:
+    """Delete every run under ``path`` but ``keep``."""
+    files, root = _files(spark, path)
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(RUN) and name != posixpath.basename(keep):
+            files.delete(status.getPath(), True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _files(spark, path)
+    files.delete(target, True)
+
+
+def _write(df: DataFrame, path: str, num_files: int | None) -> None:
     out = df if num_files is None else df.coalesce(num_files)
-    out.write.mode("overwrite").parquet(path)
+    out.write.parquet(path)
 
 
 def register_table(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
@@ -56,6 +115,15 @@ def register_mart(spark: SparkSession, mart: str, path: str, table: str) -> None
     register_table(spark, table, path, CONTRACTS[mart])
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder under ``shared_dir``, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    files, folder = _files(spark, path)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder of this application that every executor can reach.
 
@@ -81,6 +149,32 @@ def _local_dir() -> str:
     return _LOCAL[0]
 
 
-def _overlap(a: str, b: str) -> bool:
-    a, b = (re.sub("^file:/+", "/", p).rstrip("/") + "/" for p in (a, b))
-    return a.startswith(b) or b.startswith(a)
+def _files(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system of a path, and the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def _refuse_overlap(spark: SparkSession, path: str, inputs: Iterable[str]) -> None:
+    target = _place(spark, path)
+    for source in inputs:
+        place = _place(spark, source)
+        if target[:2] == place[:2] and (
+            target[2].startswith(place[2]) or place[2].startswith(target[2])
+        ):
+            raise ValueError(f"refusing to overwrite {path}: it overlaps the input {source}")
+
+
+def _place(spark: SparkSession, path: str) -> tuple[str, str, str]:
+    """Store, authority and folder of a path, however it is spelt.
+
+    A path without a scheme is completed as Spark would, with the default file system and
+    working folder; ``.`` and ``..`` are resolved; all schemes of one store count as one.
+    """
+    if not urlsplit(path).scheme:
+        files, target = _files(spark, path)
+        path = files.makeQualified(target).toString()
+    parts = urlsplit(path)
+    scheme = "s3" if parts.scheme in ("s3", "s3a", "s3n") else parts.scheme
+    folder = posixpath.normpath("/" + parts.path.lstrip("/"))
+    return scheme, parts.netloc, folder.rstrip("/") + "/"

@@ -36,7 +36,7 @@ def mart_lineitems_core(
     lineitem: DataFrame, *, scale: Scale = None, order: str = "global"
 ) -> DataFrame:
     """``mart_lineitems`` without ``delivery_days``, for tables without receipt dates."""
-    return _sorted_lines(_line_stats(lineitem, scale), order)
+    return _sorted_lines(conform(_line_stats(lineitem, scale), "lineitems_core"), order)
 
 
 def mart_orders(
@@ -225,6 +225,13 @@ MARTS: dict[str, Mart] = {
 }
 
 
+#: What can be published: the five marts, and the line mart of tables without receipt dates.
+PUBLISHABLE: dict[str, Mart] = {
+    **MARTS,
+    "lineitems_core": Mart(mart_lineitems_core, ("lineitem",)),
+}
+
+
 def _line_stats(lineitem: DataFrame, scale: Scale, *extra: Column) -> DataFrame:
     price, discount, tax = (
         Measure(name, scale) for name in ("l_extendedprice", "l_discount", "l_tax")

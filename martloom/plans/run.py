@@ -3,19 +3,32 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import cache
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.contracts import check_contract, check_input
-from martloom.operators.sinks import register_mart, report_path, write_mart
-from martloom.plans.marts import MARTS
+from martloom.operators.measures import Scale
+from martloom.operators.sinks import (
+    register_mart,
+    remove_old_runs,
+    report_path,
+    write_mart,
+    write_run,
+)
+from martloom.plans.marts import MARTS, PUBLISHABLE
+from martloom.settings import apply_settings
 from martloom.sources.tables import read_table, table_path
 
+Option = TypeVar("Option")
+
+#: Marts that grow with the data: files sorted inside, without a shuffle for the order of all.
+GROWING = ("lineitems", "lineitems_core")
+
 
 @dataclass(frozen=True)
 class MartStatus:
@@ -37,41 +50,66 @@ def run_marts(
     load: Callable[[SparkSession, str, str], DataFrame] | None = None,
     database: str | None = None,
     register: bool = True,
-    scale: int | None = None,
-    order: str = "global",
-    num_files: int | None = None,
+    layout: str | None = None,
+    scale: Scale | Mapping[str, Scale] = None,
+    order: str | Mapping[str, str] | None = None,
+    num_files: int | Mapping[str, int] | None = None,
+    shuffle_partitions: int | None = None,
     concurrent: int | None = None,
 ) -> list[MartStatus]:
     """Publish marts from the raw tables under ``in_dir`` and report on each.
 
     A mart's table is recreated only after its files were written and their schema
-    equals the contract. The marts are independent: ``concurrent`` of them, by default
+    equals the contract; a write that fails leaves the old files and table as they were.
+    ``layout="runs"``, the default with a table, writes each run to a new folder under
+    ``<mart>_report`` and points the table there; ``"flat"``, the default without one, replaces
+    the folder itself. The marts are independent: ``concurrent`` of them, by default
     all, run at the same time, so the tail of one leaves no executor idle. ``load``
     replaces the plain table reader.
+
+    ``scale``, ``order`` and ``num_files`` take one value or a mapping by mart. ``order`` is
+    ``"file"`` for the line marts if not given, else ``"global"``. ``num_files`` has to name a line
+    mart to bound its files, since that bounds its tasks too.
+
+    Runs in a session of its own with the caller's settings, UTC, and the advice of
+    ``martloom.settings`` where nothing else was set; ``shuffle_partitions`` is for the largest
+    shuffle, AQE merges them for the small ones.
     """
-    if unknown := set(marts) - set(MARTS):
-        raise ValueError(f"unknown marts {sorted(unknown)}; known are {sorted(MARTS)}")
+    if unknown := set(marts) - set(PUBLISHABLE):
+        raise ValueError(f"unknown marts {sorted(unknown)}; known are {sorted(PUBLISHABLE)}")
     if len(set(marts)) < len(marts):
         raise ValueError(f"a mart is named twice in {list(marts)}")
-
-    @cache
-    def table(name: str) -> DataFrame:
-        # Opened once for all marts: listing a big table's files takes a while.
-        opened = load(spark, in_dir, name) if load else read_table(spark, in_dir, name, suffix)
-        return check_input(opened, name)
+    if isinstance(num_files, int) and (growing := [m for m in marts if m in GROWING]):
+        raise ValueError(
+            f"{growing} grow with the data: give num_files by mart, as in {{'orders': {num_files}}}"
+        )
+    layout = layout or ("runs" if register else "flat")
+    if layout not in ("runs", "flat"):
+        raise ValueError(f"layout must be runs or flat, not {layout!r}")
+    session = _session(spark, shuffle_partitions)
+    tables = _open(session, marts, lambda name: _load(session, in_dir, name, suffix, load))
 
     def publish(mart: str) -> MartStatus:
         path, started = report_path(out_dir, mart), time.monotonic()
         served = f"{database}.{mart}" if database else mart
         error = None
         try:
-            inputs = MARTS[mart].inputs
-            built = MARTS[mart]({n: table(n) for n in inputs}, scale=scale, order=order)
+            inputs = {n: check_input(_opened(tables[n]), n, mart) for n in PUBLISHABLE[mart].inputs}
+            laid_out = _for_mart(order, mart) or ("file" if mart in GROWING else "global")
+            built = PUBLISHABLE[mart](inputs, scale=_for_mart(scale, mart), order=laid_out)
             check_contract(built.schema, mart)
-            sources = [table_path(in_dir, name, suffix) for name in inputs]
-            write_mart(built, path, num_files=num_files, inputs=sources)
+            options = {
+                "num_files": _for_mart(num_files, mart),
+                "inputs": [table_path(in_dir, name, suffix) for name in inputs],
+            }
+            if layout == "runs":
+                path = write_run(built, path, **options)
+            else:
+                write_mart(built, path, **options)
             if register:
-                register_mart(spark, mart, path, served)
+                register_mart(spark, mart, path, served)  # the caller's, which may know the old
+            if layout == "runs":
+                remove_old_runs(session, report_path(out_dir, mart), keep=path)
         except Exception as failure:
             error = f"{type(failure).__name__}: {failure}"
         seconds = time.monotonic() - started
@@ -80,10 +118,49 @@ def run_marts(
             mart, published, path, served if register and published else None, seconds, error
         )
 
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        with ThreadPoolExecutor(max_workers=concurrent or max(1, len(marts))) as pool:
-            return list(pool.map(inheritable_thread_target(spark)(publish), marts))
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+    with ThreadPoolExecutor(max_workers=concurrent or max(1, len(marts))) as pool:
+        return list(pool.map(inheritable_thread_target(session)(publish), marts))
+
+
+def _session(spark: SparkSession, shuffle_partitions: int | None) -> SparkSession:
+    """A session of the same application, so that settings for the marts stay with them."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    apply_settings(session, keep=spark.conf.getAll)
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    if shuffle_partitions:
+        session.conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return session
+
+
+def _load(session, in_dir, name, suffix, load) -> DataFrame:
+    return load(session, in_dir, name) if load else read_table(session, in_dir, name, suffix)
+
+
+def _open(
+    session: SparkSession, marts: Sequence[str], load: Callable[[str], DataFrame]
+) -> dict[str, DataFrame | Exception]:
+    """Every table once, ahead of all marts; what goes wrong is kept for the marts that need it."""
+    tables: dict[str, DataFrame | Exception] = {}
+    for name in dict.fromkeys(n for m in marts for n in PUBLISHABLE[m].inputs):
+        try:
+            tables[name] = load(name)
+        except Exception as failure:
+            tables[name] = failure
+    return tables
+
+
+def _opened(table: DataFrame | Exception) -> DataFrame:
+    if isinstance(table, Exception):
+        raise table
+    return table
+
+
+def _for_mart(option: Option | Mapping[str, Option], mart: str) -> Option | None:
+    """The mart's own value of an option that may be given by mart."""
+    if isinstance(option, Mapping) and option.keys() <= PUBLISHABLE.keys():
+        return option.get(mart)
+    return option

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -18,9 +20,9 @@ SETTINGS = {
 }
 
 
-def apply_settings(spark: SparkSession) -> None:
-    """Apply each setting the deployer has not made."""
+def apply_settings(spark: SparkSession, keep: Mapping[str, str] | None = None) -> None:
+    """Apply each setting that neither the deployer has made nor ``keep`` holds."""
     deployed = spark.sparkContext.getConf()
     for key, value in SETTINGS.items():
-        if not deployed.contains(key):
+        if not deployed.contains(key) and key not in (keep or ()):
             spark.conf.set(key, value)

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from martloom import CONTRACTS, MARTS, ContractError, run_marts
 from martloom.__main__ import main
 from martloom.operators.sinks import (
+    _refuse_overlap,
     register_mart,
     register_table,
     report_path,
+    scratch_dir,
     shared_dir,
     write_mart,
+    write_run,
 )
 from martloom.plans.catalogue import mart
 from martloom.settings import SETTINGS, apply_settings
@@ -70,7 +76,17 @@ def test_target_may_not_overlap_an_input(spark, tmp_path):
     df = spark.range(3)
     source = f"{tmp_path}/orders"
     df.write.parquet(source)
-    for target in (source, f"{source}/", f"{source}/mart", str(tmp_path), f"file://{source}", f"file:{source}"):
+    for target in (
+        source,
+        f"{source}/",
+        f"{source}/mart",
+        str(tmp_path),
+        f"file://{source}",
+        f"file:{source}",
+        f"{tmp_path}/./orders",
+        f"{tmp_path}/other/../orders",
+        os.path.relpath(source),
+    ):
         with pytest.raises(ValueError, match="overlaps"):
             write_mart(df, target, inputs=[source])
     write_mart(df, f"{tmp_path}/orders_report", inputs=[source])
@@ -122,6 +138,9 @@ def test_managed_table_is_not_dropped(spark, out):
 def test_scratch_lies_in_the_folder_the_session_names(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == f"{base}/{spark.sparkContext.applicationId}"
+    first, second = scratch_dir(spark), scratch_dir(spark)
+    assert first != second
+    assert first.startswith(shared_dir(spark))
 
 
 def test_run_publishes_every_mart(spark, out):
@@ -132,7 +151,7 @@ def test_run_publishes_every_mart(spark, out):
         (m, True, f"dm.{m}", None) for m in MARTS
     ]
     for status in statuses:
-        assert status.path == report_path(out, status.mart)
+        assert status.path.startswith(report_path(out, status.mart) + "/run-")
         expected = mart(spark, SMALL, status.mart)
         assert sorted(map(str, spark.table(status.table).collect())) == sorted(
             map(str, expected.collect())
@@ -140,6 +159,155 @@ def test_run_publishes_every_mart(spark, out):
     assert spark.conf.get("spark.sql.session.timeZone") == zone
 
 
+def failing(df, after: int):
+    """Raises in a task once ``after`` rows have been written."""
+    bad = F.when(F.monotonically_increasing_id() >= after, F.raise_error(F.lit("disk on fire")))
+    return df.withColumn(df.columns[-1], F.coalesce(bad.cast("double"), F.col(df.columns[-1])))
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_files(spark, out):
+    built = mart(spark, SMALL, "suppliers")
+    write_mart(built, out)
+    register_mart(spark, "suppliers", out, "t_half")
+    many = built.crossJoin(spark.range(50_000)).select(*built.columns).coalesce(1)
+    with pytest.raises(PySparkException, match="disk on fire"):
+        write_mart(failing(many, 400_000), out)
+    assert spark.table("t_half").count() == 10
+    assert spark.read.parquet(out).count() == 10
+    assert [p.name for p in Path(out).parent.iterdir()] == ["out"]
+
+
+def test_a_run_that_fails_leaves_the_old_table(spark, out):
+    options = {"marts": ["suppliers"], "load": load, "database": "default"}
+    (first,) = run_marts(spark, SMALL, out, **options)
+    assert first.published
+
+    def broken(session, base, name):
+        df = load(session, base, name)
+        if name != "supplier":
+            return df
+        return failing(df.select("s_suppkey", "s_nationkey", "s_acctbal"), 5)
+
+    (second,) = run_marts(spark, SMALL, out, **options | {"load": broken})
+    assert "disk on fire" in second.error
+    assert spark.table("suppliers").count() == 10
+    assert [f"{report_path(out, 'suppliers')}/{p.name}" for p in Path(report_path(out, "suppliers")).iterdir()] == [first.path]
+    (third,) = run_marts(spark, SMALL, out, **options)
+    assert third.path != first.path
+    assert not Path(first.path).exists()
+    assert spark.table("suppliers").count() == 10
+    spark.sql("DROP TABLE suppliers")
+
+
+@pytest.mark.parametrize(
+    ("target", "source"),
+    [
+        ("s3://b/raw/orders", "s3a://b/raw/orders"),
+        ("s3a://b/raw/x/../orders/", "s3n://b/raw"),
+        ("hdfs://n:1/a/./b", "hdfs://n:1/a/b/c"),
+        ("file:/data/a", "file:///data/a"),
+        ("file:/data/a", "/data/a/b"),
+    ],
+)
+def test_one_place_spelt_in_two_ways(spark, target, source):
+    with pytest.raises(ValueError, match="overlaps"):
+        write_mart(spark.range(1), target, inputs=[source])
+    with pytest.raises(ValueError, match="overlaps"):
+        write_run(spark.range(1), target, inputs=[source])
+
+
+def test_other_places_are_not_refused(spark):
+    for target, source in (
+        ("s3://b/raw", "s3://c/raw"),
+        ("s3://b/raw2", "s3://b/raw"),
+        ("hdfs://n/a", "s3://n/a"),
+        ("/data/orders_report", "/data/orders"),
+    ):
+        _refuse_overlap(spark, target, [source])
+
+
+def test_options_by_mart(spark, out, monkeypatch):
+    statuses = run_marts(
+        spark,
+        SMALL,
+        out,
+        marts=["orders", "lineitems"],
+        load=load,
+        register=False,
+        scale={"orders": 2, "lineitems": {"l_extendedprice": 2}},
+        num_files={"orders": 2},
+        shuffle_partitions=5,
+    )
+    assert all(s.published for s in statuses), statuses
+    assert len(data_files(report_path(out, "orders"))) <= 2
+    # Sorted inside each file, which takes no second shuffle.
+    for file in data_files(report_path(out, "lineitems")):
+        keys = [r.L_ORDERKEY for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
+    with pytest.raises(ValueError, match="grow with the data"):
+        run_marts(spark, SMALL, out, num_files=3)
+    with pytest.raises(ValueError, match="layout"):
+        run_marts(spark, SMALL, out, layout="tarball")
+
+
+def test_published_line_mart_has_one_shuffle(spark):
+    built = mart(spark, SMALL, "lineitems", order="file")
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+
+
+def test_tables_are_opened_once_and_checked_by_mart(spark, out):
+    """Each mart needs its own columns only; every table is read once for all marts."""
+    narrow = {
+        "customer": ["c_custkey", "c_nationkey"],
+        "nation": ["n_nationkey", "n_name"],
+        "supplier": ["s_suppkey", "s_nationkey"],
+    }
+    opened = []
+
+    def loads(session, base, name):
+        opened.append(name)
+        df = load(session, base, name)
+        if name == "lineitem":
+            df = df.drop("l_receiptdate", "l_shipdate")
+        return df.select(*narrow.get(name, df.columns))
+
+    marts = ["orders", "parts", "lineitems_core", "customers", "suppliers", "lineitems"]
+    statuses = {
+        s.mart: s for s in run_marts(spark, SMALL, out, marts=marts, load=loads, register=False)
+    }
+    assert {m for m, s in statuses.items() if s.published} == {"orders", "parts", "lineitems_core"}
+    assert "missing column s_acctbal" in statuses["suppliers"].error
+    assert "missing column c_mktsegment" in statuses["customers"].error
+    assert "missing column l_receiptdate" in statuses["lineitems"].error
+    assert sorted(opened) == sorted(set(opened))
+    core = spark.read.parquet(statuses["lineitems_core"].path)
+    assert core.columns == CONTRACTS["lineitems_core"].names
+    assert core.count() == spark.read.parquet(f"{SMALL}/lineitem.parquet").select("l_orderkey").distinct().count()
+
+
+def test_the_callers_session_is_left_alone(spark, out):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    before = spark.conf.getAll
+    seen = {}
+
+    def loads(session, base, name):
+        seen.update(session.conf.getAll)
+        return load(session, base, name)
+
+    try:
+        run_marts(
+            spark, SMALL, out, marts=["suppliers"], load=loads, register=False, shuffle_partitions=3
+        )
+        assert spark.conf.getAll == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen["spark.sql.session.timeZone"] == "UTC"
+    assert seen["spark.sql.shuffle.partitions"] == "3"
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert seen[key] == before.get(key, SETTINGS[key])
+
+
 def test_one_failing_mart_stops_no_other(spark, out):
     """Without stand-ins two marts lack inputs; the others are published."""
     write_mart(mart(spark, SMALL, "parts"), report_path(out, "parts"))
@@ -175,3 +343,6 @@ def test_command_line(spark, same_settings_after, out, capsys):
     assert len(data_files(report_path(out, "customers"))) == 1
     assert main([*arguments, "--marts", "parts"]) == 1
     assert "parts: failed" in capsys.readouterr().out
+    by_mart = ["--marts", "orders,lineitems_core", "--num-files", "orders=3", "--order", "orders=none"]
+    assert main([*arguments, *by_mart, "--scale", "o_totalprice=2", "--shuffle-partitions", "4"]) == 0
+    assert len(data_files(report_path(out, "orders"))) <= 3
