@@ -1,7 +1,8 @@
 """Optional steps in front of the marts: validate, parse, clean, deduplicate.
 
-The marts do not call these. Rows that fail a step are returned beside the good
-ones, never lost and never a reason to abort the job.
+The marts do not call these. Rows that fail a step are tagged and returned with the
+good ones, never lost and never a reason to abort the job. One frame holds both, so a
+text is evaluated once: split it where it is written, or write it partitioned by the tag.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -49,15 +51,42 @@ class HasParent:
 
 Rule = NotNull | InDomain | Unique | HasParent
 
+#: White space at both ends, which ``clean_rows`` takes off.
+_ENDS = r"^\s+|\s+$"
 
-def validate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: ``rule``, ``violations``.
+
+def validate_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """One row per kind of difference: ``rule``, ``violations``, a number of columns.
+
+    ``schema_missing`` are declared columns that are absent, ``schema_extra`` undeclared ones, and
+    ``schema_type`` those of another type. Names are compared in the spelling given. The
+    rows are made from the schema alone; nothing is read.
+    """
+    have = {f.name: f.dataType for f in df.schema}
+    want = {f.name: f.dataType for f in declared}
+    counts = {
+        "schema_missing": sum(name not in have for name in want),
+        "schema_extra": sum(name not in want for name in have),
+        "schema_type": sum(name in have and have[name] != kind for name, kind in want.items()),
+    }
+    return df.sparkSession.createDataFrame(list(counts.items()), "rule string, violations long")
+
+
+def validate_rules(
+    df: DataFrame, rules: Sequence[Rule], declared: T.StructType | None = None
+) -> DataFrame:
+    """One row per rule: ``rule``, ``violations``. Rules need names of their own.
+
+    With a ``declared`` schema the rows of ``validate_schema`` come too.
 
     All row rules share one pass without a shuffle of rows. Key rules first count
     rows per key, so a hot key shrinks to one row per task before the shuffle.
     """
     if not rules:
         raise ValueError("no rules given")
+    names = [r.rule for r in rules]
+    if twice := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"several rules are named {twice}")
     row_rules = [r for r in rules if isinstance(r, (NotNull, InDomain))]
     reports = []
     if row_rules:
@@ -68,38 +97,46 @@ def validate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             reports.append(_report(r.rule, _surplus_rows(df, r)))
         elif isinstance(r, HasParent):
             reports.append(_report(r.rule, _orphan_rows(df, r)))
+    if declared is not None:
+        reports.append(validate_schema(df, declared))
     return reduce(DataFrame.unionByName, reports)
 
 
-def parse_typed(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+def parse_typed(df: DataFrame, types: Mapping[str, str], tag: str = "failed") -> DataFrame:
     """Convert text columns to their declared types.
 
-    Returns all rows converted, with NULL where a text does not parse, and the
-    original rows with at least one such text plus ``failed``, the columns at fault.
+    Every row comes back, with NULL where a text does not parse, and ``tag``: an array of
+    (column, text) of the texts at fault, empty for good rows.
     """
-    parsed = df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
-    failed = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
-                for c, t in types.items()
-            ]
+    _refuse_clash(df, tag)
+    faults = [
+        F.when(
+            F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("text")),
         )
+        for c, t in types.items()
+    ]
+    return df.withColumns(
+        {c: F.col(c).try_cast(t) for c, t in types.items()}
+        | {tag: F.array_compact(F.array(*faults))}
     )
-    rejects = df.withColumn("failed", failed).filter(F.size("failed") > 0)
-    return parsed, rejects
 
 
 def clean_rows(
-    df: DataFrame, text: Sequence[str], required: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
+    df: DataFrame, text: Sequence[str], required: Sequence[str], tag: str = "complete"
+) -> DataFrame:
     """Trim the text columns, turn empty text into NULL and require some columns.
 
-    Returns the rows with every required column and the rest, to be quarantined.
+    Every row comes back with ``tag``: whether it has all required columns; the others are for
+    quarantine. All white space goes, tabs and line breaks too.
     """
-    trimmed = df.withColumns({c: F.nullif(F.trim(c), F.lit("")) for c in text})
-    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in required])
-    return trimmed.filter(complete), trimmed.filter(~complete)
+    _refuse_clash(df, tag)
+    trimmed = df.withColumns(
+        {c: F.nullif(F.regexp_replace(c, _ENDS, ""), F.lit("")) for c in text}
+    )
+    return trimmed.withColumn(
+        tag, reduce(Column.__and__, [F.col(c).isNotNull() for c in required])
+    )
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -111,7 +148,15 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     """
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest))
-    return df.withColumn("_position", position).filter("_position = 1").drop("_position")
+    name = "_position"
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return df.withColumn(name, position).filter(F.col(name) == 1).drop(name)
+
+
+def _refuse_clash(df: DataFrame, tag: str) -> None:
+    if tag.lower() in map(str.lower, df.columns):
+        raise ValueError(f"there is a column {tag} already: give another tag")
 
 
 def _violates(rule: NotNull | InDomain) -> Column:

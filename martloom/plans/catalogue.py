@@ -11,6 +11,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.contracts import CONTRACTS
 from martloom.functions.exprs import count_value, day_diff, flag, month_label, to_day
@@ -25,7 +26,7 @@ from martloom.operators.quality import (
     parse_typed,
     validate_rules,
 )
-from martloom.operators.sinks import register_mart, report_path, shared_dir, write_mart
+from martloom.operators.sinks import register_mart, report_path, scratch_dir, write_mart
 from martloom.plans.marts import MARTS, mart_lineitems_core
 from martloom.sources.tables import read_table, table_path
 from martloom.sources.testdata import load
@@ -50,12 +51,12 @@ def catalogue() -> dict[str, Query]:
         "join_fanout": join_fanout,
         "agg_count": agg_count,
         "agg_sum": agg_sum,
+        "agg_sum_scale4": agg_sum_scale4,
         "agg_sum_int": agg_sum_int,
         "agg_conditional_count": agg_conditional_count,
         "agg_avg_mean": agg_avg_mean,
         "agg_min_max": agg_min_max,
         "agg_count_vs_distinct": agg_count_vs_distinct,
-        "sort_mart_orders": partial(mart, name="orders"),
         "fn_to_date": fn_to_date,
         "fn_datediff": fn_datediff,
         "fn_month_label": fn_month_label,
@@ -67,7 +68,9 @@ def catalogue() -> dict[str, Query]:
         **{f"serve_{m}": partial(serve, name=m) for m in MARTS},
         "validate_rules": lineitem_rules,
         "parse_typed": url_numbers,
+        "parse_rejects": url_rejects,
         "clean_rows": clean_documents,
+        "clean_quarantine": quarantined_documents,
         "dedup_latest": latest_lines,
     }
 
@@ -200,6 +203,19 @@ def agg_sum(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def agg_sum_scale4(spark: SparkSession, base: str) -> DataFrame:
+    """Discounts given, which have four decimals."""
+    amount = Measure("amount", 4)
+    price, rate = (F.col(c).cast("decimal(18,2)") for c in ("l_extendedprice", "l_discount"))
+    return (
+        read_table(spark, base, "lineitem")
+        .select("l_returnflag", (price * rate).cast("double").alias("amount"))
+        .groupBy("l_returnflag")
+        .agg(*amount.first())
+        .select("l_returnflag", amount.total.alias("sum_amount"))
+    )
+
+
 def agg_sum_int(spark: SparkSession, base: str) -> DataFrame:
     part = read_table(spark, base, "part")
     return part.groupBy("p_type").agg(F.sum("p_size").alias("total_size"))
@@ -271,7 +287,7 @@ def fn_case_flag(spark: SparkSession, base: str) -> DataFrame:
 
 def sink_overwrite_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     """The orders mart written twice to one place and read back: not doubled."""
-    out = shared_dir(spark)
+    out = scratch_dir(spark)
     first, target = f"{out}/first", report_path(f"{out}/overwrite", "orders")
     write_mart(mart(spark, base, "orders"), first, inputs=[base])
     built = spark.read.parquet(first)
@@ -281,15 +297,19 @@ def sink_overwrite_roundtrip(spark: SparkSession, base: str) -> DataFrame:
 
 
 def sink_coalesce_roundtrip(spark: SparkSession, base: str) -> DataFrame:
-    """The orders mart, at most 125 rows per month, in at most four files."""
-    target = report_path(f"{shared_dir(spark)}/coalesce", "orders")
-    write_mart(mart(spark, base, "orders"), target, num_files=4, inputs=[base])
-    return spark.read.parquet(target)
+    """The orders mart from six tasks in four files, and how many files there are."""
+    target = report_path(scratch_dir(spark), "orders")
+    spread = mart(spark, base, "orders", order="none").repartition(6)
+    write_mart(spread, target, num_files=4, inputs=[base])
+    written = spark.read.parquet(target)
+    files = F.lit(len(written.inputFiles())).cast("bigint")
+    return written.withColumn("n_files", files)
 
 
 def serve(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A mart written, registered as an external table and read from the catalog."""
-    path, table = report_path(f"{shared_dir(spark)}/serve", name), f"served_{name}"
+    folder = scratch_dir(spark)
+    path, table = report_path(folder, name), f"served_{name}_{folder.rsplit('/', 1)[-1]}"
     inputs = [table_path(base, t) for t in MARTS[name].inputs]
     write_mart(mart(spark, base, name), path, inputs=inputs)
     register_mart(spark, name, path, table)
@@ -297,30 +317,69 @@ def serve(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def lineitem_rules(spark: SparkSession, base: str) -> DataFrame:
+    """All lines, some of them damaged, against a schema that differs in each way.
+
+    So each kind of rule has something to find.
+    """
+    number, order = F.col("l_linenumber"), F.col("l_orderkey")
+    lines = read_table(spark, base, "lineitem").withColumns(
+        {
+            "l_orderkey": F.when(number == 7, None).when(number == 6, -order).otherwise(order),
+            "l_returnflag": F.when(number == 5, "X").otherwise(F.col("l_returnflag")),
+        }
+    )
     orders = read_table(spark, base, "orders")
+    declared = [f for f in lines.schema if f.name not in ("l_tax", "l_shipdate")]
+    declared += [T.StructField("l_tax", T.DecimalType(12, 2)), T.StructField("l_comment", T.StringType())]
     return validate_rules(
-        read_table(spark, base, "lineitem"),
+        lines,
         [
             NotNull("lineitem_key_null", "l_orderkey"),
             Unique("lineitem_key_duplicate", ("l_orderkey", "l_linenumber")),
             HasParent("lineitem_orphan_order", "l_orderkey", orders, "o_orderkey"),
             InDomain("returnflag_domain", "l_returnflag", ("A", "R", "N")),
         ],
+        T.StructType(declared),
     )
 
 
-def url_numbers(spark: SparkSession, base: str) -> DataFrame:
+def _url_numbers(spark: SparkSession, base: str) -> DataFrame:
+    """The number in each page's URL; every fifth page's has a letter in it."""
+    number = F.regexp_extract("url", "([0-9]+)", 1)
+    broken = F.concat(number, F.lit("x"))
     numbers = read_table(spark, base, "pages").select(
-        "page_id", F.regexp_extract("url", "([0-9]+)", 1).alias("url_number")
+        "page_id", F.when(F.col("page_id") % 5 == 0, broken).otherwise(number).alias("url_number")
+    )
+    return parse_typed(numbers, {"url_number": "bigint"})
+
+
+def url_numbers(spark: SparkSession, base: str) -> DataFrame:
+    return _url_numbers(spark, base).drop("failed")
+
+
+def url_rejects(spark: SparkSession, base: str) -> DataFrame:
+    rejects = _url_numbers(spark, base).filter(F.size("failed") > 0)
+    return rejects.select("page_id", F.explode("failed").alias("f")).select(
+        "page_id", F.col("f.column").alias("column_name"), F.col("f.text").alias("bad_text")
     )
-    parsed, _ = parse_typed(numbers, {"url_number": "bigint"})
-    return parsed
+
+
+def _cleaned_documents(spark: SparkSession, base: str) -> DataFrame:
+    """Documents with white space around every third text and nothing else in every seventh."""
+    wrapped = F.concat(F.lit("\t\n "), F.col("text"), F.lit(" \r\n"))
+    text = F.when(F.col("doc_id") % 7 == 0, " \t\n").when(F.col("doc_id") % 3 == 0, wrapped)
+    documents = read_table(spark, base, "documents").select(
+        "doc_id", text.otherwise(F.col("text")).alias("text")
+    )
+    return clean_rows(documents, text=["text"], required=["text"])
 
 
 def clean_documents(spark: SparkSession, base: str) -> DataFrame:
-    documents = read_table(spark, base, "documents").select("doc_id", "text")
-    clean, _ = clean_rows(documents, text=["text"], required=["text"])
-    return clean
+    return _cleaned_documents(spark, base).filter("complete").drop("complete")
+
+
+def quarantined_documents(spark: SparkSession, base: str) -> DataFrame:
+    return _cleaned_documents(spark, base).filter("NOT complete").drop("complete")
 
 
 def latest_lines(spark: SparkSession, base: str) -> DataFrame:

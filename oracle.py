@@ -95,6 +95,27 @@ DOUBLED_NATIONS = (
 )
 
 
+DAMAGED_LINES = """
+SELECT l_linenumber,
+  CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN -l_orderkey ELSE l_orderkey END
+    AS l_orderkey,
+  CASE WHEN l_linenumber = 5 THEN 'X' ELSE l_returnflag END AS l_returnflag
+FROM lineitem"""
+
+URL_NUMBERS = """
+SELECT page_id, CASE WHEN page_id % 5 = 0 THEN regexp_extract(url, '([0-9]+)', 1) || 'x'
+  ELSE regexp_extract(url, '([0-9]+)', 1) END AS n
+FROM pages"""
+
+# What is white space for Java's and DuckDB's expressions alike.
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+TRIMMED = f"""
+SELECT doc_id, nullif(trim(CASE WHEN doc_id % 7 = 0 THEN ' ' || chr(9) || chr(10)
+    WHEN doc_id % 3 = 0 THEN chr(9) || chr(10) || ' ' || text || ' ' || chr(13) || chr(10)
+    ELSE text END, {_WHITE}), '') AS text
+FROM documents"""
+
+
 def oracle_sql() -> dict[str, str]:
     tables = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
     return {
@@ -145,6 +166,11 @@ GROUP BY l_orderkey""",
         "agg_sum": """
 SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_order_price
 FROM orders GROUP BY o_orderpriority""",
+        "agg_sum_scale4": """
+SELECT l_returnflag, CAST(sum(
+    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) AS DECIMAL(18,4))
+  ) AS DOUBLE) AS sum_amount
+FROM lineitem GROUP BY l_returnflag""",
         "agg_sum_int": """
 SELECT p_type, CAST(sum(p_size) AS BIGINT) AS total_size FROM part GROUP BY p_type""",
         "agg_conditional_count": """
@@ -164,7 +190,6 @@ FROM part GROUP BY p_type""",
 SELECT n_name AS "N_NAME", count(c_custkey) AS n_count, count(DISTINCT c_custkey) AS n_distinct
 FROM customer JOIN {DOUBLED_NATIONS} ON c_nationkey = n_nationkey
 GROUP BY n_name""",
-        "sort_mart_orders": MART_ORDERS,
         "fn_to_date": "SELECT event_id, CAST(ts AS DATE) AS event_date FROM events",
         "fn_datediff": """
 SELECT l_orderkey, l_linenumber,
@@ -178,9 +203,10 @@ FROM orders""",
         **{f"mart_{name}": sql for name, sql in MARTS.items()},
         "mart_lineitems_core": MART_LINEITEMS_CORE,
         "sink_overwrite_roundtrip": MART_ORDERS,
-        "sink_coalesce_roundtrip": MART_ORDERS,
+        "sink_coalesce_roundtrip": f"SELECT *, CAST(4 AS BIGINT) AS n_files FROM ({MART_ORDERS})",
         **{f"serve_{name}": sql for name, sql in MARTS.items()},
-        "validate_rules": """
+        "validate_rules": f"""
+WITH lineitem AS ({DAMAGED_LINES})
 SELECT 'lineitem_key_null' AS rule, count(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM lineitem
 UNION ALL
 SELECT 'lineitem_key_duplicate', count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
@@ -188,12 +214,18 @@ UNION ALL
 SELECT 'lineitem_orphan_order', count(*) FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
 UNION ALL
-SELECT 'returnflag_domain', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'R', 'N')) FROM lineitem""",
-        "parse_typed": """
-SELECT page_id, TRY_CAST(regexp_extract(url, '([0-9]+)', 1) AS BIGINT) AS url_number FROM pages""",
-        "clean_rows": """
-SELECT doc_id, nullif(trim(text, ' '), '') AS text
-FROM documents WHERE nullif(trim(text, ' '), '') IS NOT NULL""",
+SELECT 'returnflag_domain', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'R', 'N')) FROM lineitem
+UNION ALL
+SELECT unnest(['schema_missing', 'schema_extra', 'schema_type']), unnest([1, 1, 1])""",
+        "parse_typed": f"""
+SELECT page_id, TRY_CAST(n AS BIGINT) AS url_number FROM ({URL_NUMBERS})""",
+        "parse_rejects": f"""
+SELECT page_id, 'url_number' AS column_name, n AS bad_text FROM ({URL_NUMBERS})
+WHERE n IS NOT NULL AND TRY_CAST(n AS BIGINT) IS NULL""",
+        "clean_rows": f"""
+SELECT doc_id, text FROM ({TRIMMED}) WHERE text IS NOT NULL""",
+        "clean_quarantine": f"""
+SELECT doc_id, text FROM ({TRIMMED}) WHERE text IS NULL""",
         "dedup_latest": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber

@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.operators.quality import (
     HasParent,
@@ -16,6 +17,7 @@ from martloom.operators.quality import (
     dedup_latest,
     parse_typed,
     validate_rules,
+    validate_schema,
 )
 
 LINES = "l_orderkey long, l_linenumber int, l_returnflag string"
@@ -63,26 +65,55 @@ def test_parsing_returns_all_rows_and_the_rejects(spark):
         [(1, "12", "1995-01-31"), (2, "12a", "1995-13-45"), (3, None, "1995-02-01"), (4, "7", None)],
         "id int, number string, day string",
     )
-    parsed, rejects = parse_typed(raw, {"number": "bigint", "day": "date"})
-    assert parsed.dtypes == [("id", "int"), ("number", "bigint"), ("day", "date")]
+    parsed = parse_typed(raw, {"number": "bigint", "day": "date"})
+    assert parsed.dtypes[:3] == [("id", "int"), ("number", "bigint"), ("day", "date")]
     assert [(r.id, r.number, r.day and str(r.day)) for r in parsed.orderBy("id").collect()] == [
         (1, 12, "1995-01-31"),
         (2, None, None),
         (3, None, "1995-02-01"),
         (4, 7, None),
     ]
-    assert [tuple(r) for r in rejects.collect()] == [(2, "12a", "1995-13-45", ["number", "day"])]
+    rejects = parsed.filter(F.size("failed") > 0).collect()
+    assert [(r.id, [tuple(f) for f in r.failed]) for r in rejects] == [
+        (2, [("number", "12a"), ("day", "1995-13-45")])
+    ]
+    with pytest.raises(ValueError, match="another tag"):
+        parse_typed(raw, {"number": "bigint"}, tag="DAY")
 
 
 def test_cleaning_quarantines_and_loses_nothing(spark):
     raw = spark.createDataFrame(
-        [(1, " a "), (2, "  "), (3, ""), (4, None), (None, "b"), (6, "c  d")], "id int, text string"
-    )
-    clean, quarantined = clean_rows(raw, text=["text"], required=["id", "text"])
-    assert {tuple(r) for r in clean.collect()} == {(1, "a"), (6, "c  d")}
-    assert sorted(map(str, quarantined.collect())) == sorted(
-        f"Row(id={i}, text={t!r})" for i, t in [(2, None), (3, None), (4, None), (None, "b")]
+        [(1, " a "), (2, "  "), (3, ""), (4, None), (None, "b"), (6, "c  d"), (7, "\t\n"), (8, "\r e\n")],
+        "id int, text string",
     )
+    rows = clean_rows(raw, text=["text"], required=["id", "text"]).collect()
+    assert {(r.id, r.text) for r in rows if r.complete} == {(1, "a"), (6, "c  d"), (8, "e")}
+    assert {(r.id, r.text) for r in rows if not r.complete} == {
+        (2, None), (3, None), (4, None), (None, "b"), (7, None)
+    }
+    with pytest.raises(ValueError, match="another tag"):
+        clean_rows(raw, text=["text"], required=["id"], tag="id")
+
+
+def test_rules_of_one_name_are_refused(spark):
+    with pytest.raises(ValueError, match="named"):
+        validate_rules(spark.range(1), [NotNull("r", "id"), Unique("r", ("id",))])
+
+
+def test_schema_report(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "a long, b string, c double")
+    declared = T.StructType.fromDDL("a long, b int, d date, e date")
+    assert dict(map(tuple, validate_schema(df, declared).collect())) == {
+        "schema_missing": 2,
+        "schema_extra": 1,
+        "schema_type": 1,
+    }
+    assert {r.violations for r in validate_schema(df, df.schema).collect()} == {0}
+
+
+def test_dedup_keeps_a_column_named_like_its_own(spark):
+    df = spark.createDataFrame([(1, 5, 1), (1, 6, 2)], "k int, _position int, _POSITION_ int")
+    assert dedup_latest(df, ["k"], [F.col("_position").desc()]).collect() == [(1, 6, 2)]
 
 
 def test_dedup_equals_brute_force_however_rows_are_spread(spark):
