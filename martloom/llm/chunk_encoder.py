@@ -3,8 +3,8 @@
 The library's pre-tokenizers never join what stands on two sides of white space, nor a letter
 and the punctuation after it, so a text's ids are its chunks' ids one after another. Most chunks
 of a corpus repeat. Chunks are found and hashed many at a time; a bounded table in each Python worker
-keeps the ids of those seen, and new ones go to the library together, a special token between
-them. Texts with special tokens or rare white space go to the library as they are.
+keeps the ids of those seen (when full, of those seen again), and new ones go to the library
+together, a special token between them. Texts with special tokens or rare white space go to the library as they are.
 """
 
 from __future__ import annotations
@@ -113,9 +113,9 @@ class ChunkEncoder:
 
     #: Bytes of text worked on at a time, new chunks after which the table is sorted anew, and
     #: chunks encoded at a time.
-    GROUP, FRESH, TOGETHER = 4_000_000, 100_000, 2_000
+    GROUP, FRESH, TOGETHER = 1_000_000, 50_000, 2_000
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 1_500_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int = 500_000) -> None:
         self.vocabulary, self.most = vocabulary, most
         self._open()
         self.finder, self.hasher = ChunkFinder(vocabulary.keeps_space), SpanHasher()
@@ -134,9 +134,27 @@ class ChunkEncoder:
         self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)) for _ in range(2)]
         self.begins = np.zeros(1 << 16, np.int32)
         self.lengths = np.zeros(1 << 16, np.int32)
+        self.again = np.zeros(1 << 16, bool)  # entries that were looked up since they were made
         self.ids = np.zeros(1 << 18, np.uint16 if self.vocabulary_size <= 1 << 16 else np.uint32)
         self.entries = self.used = 0
 
+    def _shrink(self) -> None:
+        """Keep the entries that were looked up again; if those are too many, none."""
+        keep = self.again[: self.entries].copy()
+        if 2 * keep.sum() > self.most:
+            self._clear()
+            return
+        number = (np.cumsum(keep) - 1).astype(np.int32)
+        tables = [(h[keep[e]], number[e[keep[e]]]) for h, e in self.tables]
+        lengths = self.lengths[: self.entries][keep].astype(np.int64)
+        ids = self.ids[ragged(self.begins[: self.entries][keep].astype(np.int64), lengths)]
+        self.entries, self.used = len(lengths), len(ids)
+        self.begins[: self.entries] = np.cumsum(lengths) - lengths
+        self.lengths[: self.entries] = lengths
+        self.again[:] = False
+        self.ids[: self.used] = ids
+        self.tables = [_merged(*tables), (tables[1][0][:0], tables[1][1][:0])]
+
     def _ids(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, np.uint32)
@@ -167,6 +185,7 @@ class ChunkEncoder:
             while n + len(some) > len(self.begins):
                 self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
                 self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+                self.again = np.concatenate([self.again, np.zeros_like(self.again)])
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[self.used : self.used + len(ids)] = ids
@@ -223,10 +242,12 @@ class ChunkEncoder:
         new[1:] = ranked[1:] != ranked[:-1]
         distinct, example = ranked[new], order[new]
         entry = self._entry(distinct)
+        self.again[entry[entry >= 0]] = True
         unknown = np.flatnonzero(entry < 0)
         if self.entries + len(unknown) > self.most:
-            self._clear()
-            unknown, entry = np.arange(len(distinct)), np.full(len(distinct), -1, np.int32)
+            self._shrink()
+            entry = self._entry(distinct)
+            unknown = np.flatnonzero(entry < 0)
         raw, at = data.tobytes(), example[unknown]
         chunks = [
             raw[a:b].decode("utf-8", "replace")
