@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.operators.sinks import shared_dir
+from martloom.operators.sinks import scratch_dir
 
 #: Bytes of text that one numpy step works on; bounds a task's memory whatever a text's length.
 SLICE = 1 << 19
@@ -42,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     The table ends the lineage, so a lost executor costs a re-read and not a recomputation.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(df.sparkSession)}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.bpe_automaton import encode_with_automaton
 from martloom.llm.chunk_encoder import byte_bpe, word_bpe
-from martloom.llm.common import documents, fold, shared_dir
+from martloom.llm.common import documents, fold, scratch_dir
 from martloom.llm.language_ecoc import identify_languages, train_language_model
 from martloom.llm.license_rules import scan_licenses
 from martloom.llm.multiprobe_ann import nearest_neighbours
@@ -25,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/llm-shards-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/shards"
     write_token_shards(documents(spark, sf_dir), path, byte_bpe(), end_id=2)
     return read_token_shards(spark, path).select(
         "doc_id",
@@ -123,5 +122,30 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: Windows as texts; a row number stands for the document, so that ids may repeat or be NULL.
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id,
+    [w FOR w IN string_split_regex(coalesce(text, ''), '[\t-\r ]+') IF w <> ''] AS words
+  FROM documents),
+windows AS (
+  SELECT d, i, array_to_string(words[i:i + 34], ' ') AS w
+  FROM (SELECT d, words, unnest(range(1, len(words) - 33)) AS i FROM docs)),
+repeated AS (
+  SELECT d, i FROM windows
+  WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT d, i + k AS i FROM repeated, range(35) r(k)),
+placed AS (
+  SELECT d, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs),
+kept AS (
+  SELECT d, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM placed ANTI JOIN gone USING (d, i) GROUP BY d)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (d)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where DuckDB can say it: tokenizers, XXH64, learned models and searches it cannot."""
+    return {"op6_substring_sketch": OP6_SQL}

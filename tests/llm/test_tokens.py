@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-import uuid
 import zlib
 
 import numpy as np
@@ -21,7 +20,7 @@ from martloom.llm.bpe_automaton import (
     load_labels,
 )
 from martloom.llm.chunk_encoder import ChunkEncoder, byte_bpe, word_bpe
-from martloom.llm.common import shared_dir
+from martloom.llm.common import scratch_dir
 from martloom.llm.repair_grammar import compress, pack, unpack
 from martloom.llm.token_shards import read_stretch, read_token_shards, write_token_shards
 from tests.llm.data import edge_docs, empty_docs, texts
@@ -145,7 +144,7 @@ def test_no_frequent_pair_is_left():
 
 
 def test_shards_hold_every_document_in_order(spark):
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/shards"
     write_token_shards(edge_docs(spark), path, byte_bpe(), end_id=2)
     known = library("byte_bpe_50k.json")
     rows = read_token_shards(spark, path).orderBy("start").collect()
@@ -168,7 +167,7 @@ def test_shards_hold_every_document_in_order(spark):
 
 
 def test_no_documents_make_an_empty_table(spark):
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/shards"
     write_token_shards(empty_docs(spark), path, byte_bpe(), end_id=2)
     assert read_token_shards(spark, path).count() == 0
     assert read_token_shards(spark, path).select(F.sum("start")).first()[0] is None
