@@ -46,6 +46,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rarely(id_col: str, wanted: int, n: Column | int) -> Column:
+    """Whether a hash of the id is among the smallest: true for some 2 * wanted of n rows.
+
+    Ahead of a sort for the smallest hashes it bounds what the sort gets, however many tasks
+    there are; the hash is the same one, so no row is lost that the sort would take.
+    """
+    share = (2.0 * wanted + 100) / (n if isinstance(n, Column) else F.lit(max(n, 1)))
+    return hash_place(id_col) < share
+
+
+def hash_place(id_col: str) -> Column:
+    """A hash of the id as a number from 0 to 1."""
+    return F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) / float(1 << 40)
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a string column, and where each text begins (one entry more).
 

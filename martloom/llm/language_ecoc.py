@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE, byte_view, lower_ascii, with_id
+from martloom.llm.common import SLICE, byte_view, hash_place, lower_ascii, rarely, with_id
 
 BUCKET_BITS = 14
 UNDETERMINED = "und"
@@ -83,10 +83,12 @@ def train_language_model(
     lang_col: str = "lang",
     *,
     per_language: int = 400,
+    most_languages: int = 200,
     rounds: int = 80,
     margin: float = 0.05,
 ) -> LanguageModel:
-    """Fit the bit classifiers on at most ``per_language`` texts of each language.
+    """Fit the bit classifiers on at most ``per_language`` texts of each of the ``most_languages``
+    most frequent languages.
 
     The sample is the rows with the smallest hashes of their id, so it does not depend on how
     the table is partitioned. Rows without text, language or id are not used. No usable row:
@@ -95,9 +97,14 @@ def train_language_model(
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = counts.orderBy(F.col("n").desc(), "lang").limit(most_languages).collect()
+    counts = labelled.sparkSession.createDataFrame(counts, "lang string, n long")
+    by_hash = Window.partitionBy("lang").orderBy(hash_place("id"), "id")
     chosen = (
         rows.select("id", "lang")
+        .join(F.broadcast(counts), "lang")  # a row for each language
+        .where(rarely("id", per_language, F.col("n")))
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= per_language)
         .select("id", "lang")
