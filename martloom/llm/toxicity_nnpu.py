@@ -20,7 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import SpanHasher, byte_view, lower_ascii, runs, slices, with_id
+from martloom.llm.common import (
+    SpanHasher,
+    byte_view,
+    hash_place,
+    lower_ascii,
+    rarely,
+    runs,
+    slices,
+    with_id,
+)
 
 BUCKET_BITS = 22
 #: A word's first so many bytes are features beside the whole word.
@@ -98,8 +107,8 @@ def train_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     *,
-    most_positive: int = 4000,
-    most_unlabelled: int = 8000,
+    most_positive: int = 3000,
+    most_unlabelled: int = 6000,
     rounds: int = 500,
 ) -> ToxicityModel:
     """Fit on at most ``most_positive`` toxic texts and ``most_unlabelled`` texts of any kind.
@@ -113,8 +122,8 @@ def train_toxicity(
     )
 
     def smallest(ids: DataFrame, most: int) -> set:
-        hashed = ids.distinct().orderBy(F.xxhash64("id"), "id").limit(most)
-        return {r.id for r in hashed.collect()}
+        few = ids.where(rarely("id", most, ids.count())).distinct()
+        return {r.id for r in few.orderBy(hash_place("id"), "id").limit(most).collect()}
 
     toxic = positives.select(F.col(id_col).alias("id")).join(rows.select("id"), "id", "left_semi")
     p, u = smallest(toxic, most_positive), smallest(rows.select("id"), most_unlabelled)
@@ -139,23 +148,29 @@ def fit(
     if not positive or not unlabelled:
         return ToxicityModel(empty, np.zeros(0), -4.0, prior)
     prior = min(max(prior, 0.001), 0.9)
-    flat_p, flat_u = np.concatenate(positive), np.concatenate(unlabelled)
     size = 1 << BUCKET_BITS
-    n_p, n_u = np.bincount(flat_p, minlength=size), np.bincount(flat_u, minlength=size)
+
+    def texts_with(rows: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros(size, np.int32)
+        for r in rows:  # a row's buckets differ
+            out[r] += 1
+        return out
+
+    n_p, n_u = texts_with(positive), texts_with(unlabelled)
     # Far more often than in unlabelled text, by more than chance.
     expected = (n_u + 0.5) / len(unlabelled) * len(positive)
     screened = (n_p >= 4) & (n_p > max(1.5, 0.5 / prior) * expected)
     screened &= n_p - expected > 4 * np.sqrt(expected)
     buckets = np.flatnonzero(screened)
-    place = np.full(size, -1)
+    place = np.full(size, -1, np.int32)
     place[buckets] = np.arange(len(buckets))
 
-    def matrix(rows: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        col = place[flat]
-        return row[col >= 0], col[col >= 0]
+    def matrix(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        cols = [place[r] for r in rows]
+        cols = [c[c >= 0] for c in cols]
+        return np.repeat(np.arange(len(rows)), [len(c) for c in cols]), np.concatenate(cols)
 
-    (row_p, col_p), (row_u, col_u) = matrix(positive, flat_p), matrix(unlabelled, flat_u)
+    (row_p, col_p), (row_u, col_u) = matrix(positive), matrix(unlabelled)
     w, bias = np.zeros(len(buckets)), float(np.log(prior / (1 - prior)))
     speed, speed_bias = np.zeros(len(buckets)), 0.0
 
@@ -220,12 +235,18 @@ def score_toxicity(
 
 
 def learn_from_labels(
-    docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    training: Column,
+    id_col: str = "doc_id",
+    *,
+    prior: float | None = None,
 ) -> ToxicityModel:
     """A model from the label rows that ``training`` (over the id) admits.
 
-    An id with several labels is toxic if any says so. The prior is the share of toxic ids among
-    the admitted labels; the unlabelled texts come from admitted documents, their labels unused.
+    An id with several labels is toxic if any says so. The unlabelled texts come from admitted
+    documents, their labels unused. ``prior``, if not given, is the share of toxic ids among the
+    admitted labels; give it where only toxic texts are labelled.
     """
     known = (
         labels.where(training)
@@ -233,7 +254,8 @@ def learn_from_labels(
         .groupBy(id_col)
         .agg(F.max("toxic").alias("toxic"))
     )
-    prior = known.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("p")).first().p
+    if prior is None:
+        prior = known.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("p")).first().p
     return train_toxicity(
         docs.where(training), known.where("toxic > 0"), prior or 0.0, id_col=id_col
     )
