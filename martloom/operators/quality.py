@@ -51,8 +51,8 @@ class HasParent:
 
 Rule = NotNull | InDomain | Unique | HasParent
 
-#: White space at both ends, which ``clean_rows`` takes off.
-_ENDS = r"^\s+|\s+$"
+#: White space that ``clean_rows`` takes off both ends: ASCII's, next line and no-break space.
+WHITE = " \t\n\x0b\x0c\r\x85\xa0"
 
 
 def validate_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
@@ -132,7 +132,7 @@ def clean_rows(
     """
     _refuse_clash(df, tag)
     trimmed = df.withColumns(
-        {c: F.nullif(F.regexp_replace(c, _ENDS, ""), F.lit("")) for c in text}
+        {c: F.nullif(F.btrim(c, F.lit(WHITE)), F.lit("")) for c in text}
     )
     return trimmed.withColumn(
         tag, reduce(Column.__and__, [F.col(c).isNotNull() for c in required])

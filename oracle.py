@@ -107,8 +107,7 @@ SELECT page_id, CASE WHEN page_id % 5 = 0 THEN regexp_extract(url, '([0-9]+)', 1
   ELSE regexp_extract(url, '([0-9]+)', 1) END AS n
 FROM pages"""
 
-# What is white space for Java's and DuckDB's expressions alike.
-_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
 TRIMMED = f"""
 SELECT doc_id, nullif(trim(CASE WHEN doc_id % 7 = 0 THEN ' ' || chr(9) || chr(10)
     WHEN doc_id % 3 = 0 THEN chr(9) || chr(10) || ' ' || text || ' ' || chr(13) || chr(10)

@@ -83,7 +83,7 @@ def test_parsing_returns_all_rows_and_the_rejects(spark):
 
 def test_cleaning_quarantines_and_loses_nothing(spark):
     raw = spark.createDataFrame(
-        [(1, " a "), (2, "  "), (3, ""), (4, None), (None, "b"), (6, "c  d"), (7, "\t\n"), (8, "\r e\n")],
+        [(1, " a "), (2, "  "), (3, ""), (4, None), (None, "b"), (6, "c  d"), (7, "\t\n"), (8, "\r\xa0e\n\x85")],
         "id int, text string",
     )
     rows = clean_rows(raw, text=["text"], required=["id", "text"]).collect()
