@@ -21,7 +21,7 @@ from martloom.operators.sinks import (
     write_mart,
     write_run,
 )
-from martloom.plans.catalogue import mart
+from martloom.plans.catalogue import catalogue, mart
 from martloom.settings import SETTINGS, apply_settings
 from martloom.sources.testdata import load
 from tests.conftest import SF_DIR
@@ -346,3 +346,13 @@ def test_command_line(spark, same_settings_after, out, capsys):
     by_mart = ["--marts", "orders,lineitems_core", "--num-files", "orders=3", "--order", "orders=none"]
     assert main([*arguments, *by_mart, "--scale", "o_totalprice=2", "--shuffle-partitions", "4"]) == 0
     assert len(data_files(report_path(out, "orders"))) <= 3
+
+
+@pytest.mark.parametrize("name", ["serve_suppliers", "sink_coalesce_roundtrip", "sink_overwrite_roundtrip"])
+def test_two_calls_of_a_query_do_not_disturb_each_other(spark, name):
+    query = catalogue()[name]
+    first, second = query(spark, SMALL), query(spark, SF_DIR)
+    expected = {"serve_suppliers": (10, 25)}.get(name, (1383, 7628))
+    assert (first.count(), second.count()) == expected
+    if "n_files" in first.columns:
+        assert {r.n_files for r in first.unionByName(second).select("n_files").distinct().collect()} == {4}
