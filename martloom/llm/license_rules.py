@@ -2,7 +2,7 @@
 
 A rule is a regular expression over a text's lower-cased words, joined by single spaces. Rules are
 made from hand-written licence names and hand-written ways to grant or tag a licence. A rule
-is tried only on texts that contain its keyword. Overlapping detections are settled by
+is tried only on texts that contain one of its keywords. Overlapping detections are settled by
 interval containment: one that lies inside another goes, and of two equal intervals the one
 whose rule comes first stays.
 """
@@ -29,7 +29,7 @@ BASE = {
     "mit license": "mit",
 }
 
-#: label: (keyword, what the licence is called before its version, versions).
+#: label: (keywords, any of which is needed; what the licence is called before its version; versions).
 #: Names have a group of alternatives where people write them in several ways.
 NAMES: dict[str, tuple[str, str, str]] = {
     "gpl": ("gpl", r"(?:gnu )?gpl", r"(?:v ?)?[123](?: 0)?|v[123]"),
@@ -45,7 +45,7 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "mit": ("mit", r"(?:the )?mit(?: expat| x11)?", r"0"),
     "mit-expat": ("expat", r"expat", r""),
     "x11": ("x11", r"x11", r""),
-    "bsd-2-clause": ("bsd", r"(?:simplified bsd|free ?bsd|bsd 2 clause|two clause bsd|2 clause bsd)", r""),
+    "bsd-2-clause": ("bsd|freebsd", r"(?:simplified bsd|free ?bsd|bsd 2 clause|two clause bsd|2 clause bsd)", r""),
     "bsd-3-clause": ("bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)", r""),
     "bsd-4-clause": ("bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)", r""),
     "bsd-0-clause": ("0bsd", r"0bsd", r""),
@@ -56,13 +56,13 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "epl": ("epl", r"epl", r"[12] 0"),
     "epl-long": ("eclipse", r"eclipse public", r"[12] 0"),
     "edl": ("eclipse", r"eclipse distribution", r"1 0"),
-    "eupl": ("eupl", r"(?:european union public|eupl)", r"1 [012]"),
+    "eupl": ("european|eupl", r"(?:european union public|eupl)", r"1 [012]"),
     "cddl": ("cddl", r"cddl", r"1 [01]"),
     "cddl-long": ("distribution", r"common development and distribution", r"1 [01]"),
-    "cpl": ("common", r"(?:common public|cpl)", r"1 0"),
+    "cpl": ("common|cpl", r"(?:common public|cpl)", r"1 0"),
     "ipl": ("ibm", r"ibm public", r"1 0"),
-    "osl": ("open", r"(?:open software|osl)", r"[123] 0"),
-    "afl": ("academic", r"(?:academic free|afl)", r"[123] [01]"),
+    "osl": ("open|osl", r"(?:open software|osl)", r"[123] 0"),
+    "afl": ("academic|afl", r"(?:academic free|afl)", r"[123] [01]"),
     "artistic": ("artistic", r"(?:perl )?artistic", r"[12](?: 0)?"),
     "perl": ("perl", r"same terms as perl itself", r""),
     "zlib": ("zlib", r"(?:zlib libpng|zlib)", r""),
@@ -74,7 +74,7 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "elastic": ("elastic", r"elastic", r"2(?: 0)?|v2"),
     "unlicense": ("unlicense", r"(?:the )?unlicense", r""),
     "wtfpl": ("wtfpl", r"wtfpl", r"2(?: 0)?"),
-    "python": ("python", r"(?:python software foundation|psf|python)", r"2(?: 0)?"),
+    "python": ("python|psf", r"(?:python software foundation|psf|python)", r"2(?: 0)?"),
     "php": ("php", r"php", r"3 0[01]?"),
     "ruby": ("ruby", r"ruby", r""),
     "openssl": ("openssl", r"openssl", r""),
@@ -84,9 +84,9 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "ofl": ("ofl", r"(?:sil )?ofl", r"1 [01]"),
     "ofl-long": ("font", r"(?:sil )?open font", r"1 [01]"),
     "lppl": ("latex", r"latex project public", r"1 3[ac]?"),
-    "odbl": ("database", r"(?:open (?:data commons open )?database|odbl)", r"1 0"),
-    "odc-by": ("commons", r"(?:open data commons attribution|odc by)", r"1 0"),
-    "pddl": ("pddl", r"(?:public domain dedication and licen[cs]e|pddl)", r"1 0"),
+    "odbl": ("database|odbl", r"(?:open (?:data commons open )?database|odbl)", r"1 0"),
+    "odc-by": ("commons|odc", r"(?:open data commons attribution|odc by)", r"1 0"),
+    "pddl": ("pddl|dedication", r"(?:public domain dedication and licen[cs]e|pddl)", r"1 0"),
     "cc0": ("cc0", r"(?:creative commons )?cc0", r"1 0"),
     "cc-zero": ("zero", r"creative commons zero", r"1 0"),
     "cc-by": ("cc", r"cc by", r"[1234](?: [05])?"),
@@ -96,26 +96,26 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "cc-by-nc-sa": ("nc", r"cc by nc sa", r"[1234](?: [05])?"),
     "cc-by-nc-nd": ("nc", r"cc by nc nd", r"[1234](?: [05])?"),
     "cc-by-long": ("creative", r"creative commons attribution", r"[1234](?: [05])?"),
-    "cc-by-sa-long": ("sharealike", r"creative commons attribution share ?alike", r"[1234](?: [05])?"),
-    "cc-by-nc-long": ("noncommercial", r"creative commons attribution non ?commercial", r"[1234](?: [05])?"),
-    "cc-by-nd-long": ("noderivatives", r"creative commons attribution no ?deriv(?:ative)?s?", r"[1234](?: [05])?"),
-    "ms-pl": ("microsoft", r"(?:microsoft public|ms pl)", r""),
-    "ms-rl": ("microsoft", r"(?:microsoft reciprocal|ms rl)", r""),
-    "apsl": ("apple", r"(?:apple public source|apsl)", r"[12](?: 0)?"),
+    "cc-by-sa-long": ("creative", r"creative commons attribution share ?alike", r"[1234](?: [05])?"),
+    "cc-by-nc-long": ("creative", r"creative commons attribution non ?commercial", r"[1234](?: [05])?"),
+    "cc-by-nd-long": ("creative", r"creative commons attribution no ?deriv(?:ative)?s?", r"[1234](?: [05])?"),
+    "ms-pl": ("microsoft|ms", r"(?:microsoft public|ms pl)", r""),
+    "ms-rl": ("microsoft|ms", r"(?:microsoft reciprocal|ms rl)", r""),
+    "apsl": ("apple|apsl", r"(?:apple public source|apsl)", r"[12](?: 0)?"),
     "intel": ("intel", r"intel open source", r""),
     "nasa": ("nasa", r"nasa open source", r"1 3"),
-    "qpl": ("qpl", r"(?:q public|qpl)", r"1 0"),
+    "qpl": ("q|qpl", r"(?:q public|qpl)", r"1 0"),
     "sleepycat": ("sleepycat", r"sleepycat", r""),
     "w3c": ("w3c", r"w3c(?: software)?(?: notice)?", r""),
     "vim": ("vim", r"vim", r""),
-    "upl": ("universal", r"(?:universal permissive|upl)", r"1 0"),
+    "upl": ("universal|upl", r"(?:universal permissive|upl)", r"1 0"),
     "blueoak": ("oak", r"blue oak model", r"1 0(?: 0)?"),
     "llama": ("llama", r"llama(?: [23])?(?: community)?", r""),
-    "openrail": ("openrail", r"(?:bigscience |creativeml )?open ?rail(?: m)?", r""),
+    "openrail": ("openrail|rail", r"(?:bigscience |creativeml )?open ?rail(?: m)?", r""),
     "nosa": ("nosa", r"nosa", r"1 3"),
     "hippocratic": ("hippocratic", r"hippocratic", r"[123] [01]"),
     "json": ("json", r"json", r""),
-    "beerware": ("beerware", r"beer ?ware", r""),
+    "beerware": ("beerware|beer", r"beer ?ware", r""),
     "cecill": ("cecill", r"cecill(?: [bc])?", r"[12] [01]"),
     "mulan": ("mulan", r"mulan (?:psl|permissive software)", r"[12]|v2"),
     "ecl": ("educational", r"educational community", r"[12] 0"),
@@ -157,7 +157,7 @@ NOTICES: tuple[tuple[str, str, str, float], ...] = (
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: bytes
     certainty: float
 
@@ -165,16 +165,24 @@ class Rule:
 def rules() -> list[Rule]:
     """All rules, the one that wins a tie first: base phrases, then forms by certainty."""
     found = [(label, phrase.split()[0], phrase, 0.8) for phrase, label in BASE.items()]
-    for _, form, certainty in sorted(FORMS, key=lambda x: -x[2]):
+    for _, usual, certainty in sorted(FORMS, key=lambda x: -x[2]):
         for label, (keyword, name, versions) in NAMES.items():
+            form = usual
             version = rf"(?:(?: version| v)? (?:{versions}))?" if versions else ""
+            if name.endswith("licen[cs]e"):  # it is not said twice
+                form = form.replace(" (?:public )?licen[cs]e", "")
             pattern = form.replace("{n}", name).replace("{v}", version)
             for ending in ("-long", "-library"):
                 label = label.removesuffix(ending)
             found.append((label, keyword, pattern, certainty))
     found += NOTICES
     return [
-        Rule(label, keyword.encode(), rf"(?<= )(?:{pattern})(?= )".encode(), certainty)
+        Rule(
+            label,
+            tuple(keyword.encode().split(b"|")),
+            rf"(?<= )(?:{pattern})(?= )".encode(),
+            certainty,
+        )
         for label, keyword, pattern, certainty in found
     ]
 
@@ -212,11 +220,12 @@ class Scanner:
         self.compiled: dict[int, re.Pattern[bytes]] = {}
         self.by_keyword: dict[bytes, list[int]] = {}
         for k, rule in enumerate(self.rules):
-            self.by_keyword.setdefault(rule.keyword, []).append(k)
+            for keyword in rule.keywords:
+                self.by_keyword.setdefault(keyword, []).append(k)
 
     def _detections(self, line: bytes, words: list[bytes]) -> list[tuple[int, int, int]]:
         found = []
-        for k in (k for w in self.by_keyword.keys() & set(words) for k in self.by_keyword[w]):
+        for k in {k for w in self.by_keyword.keys() & set(words) for k in self.by_keyword[w]}:
             if k not in self.compiled:
                 self.compiled[k] = re.compile(self.rules[k].pattern)
             found += [(m.start(), m.end(), k) for m in self.compiled[k].finditer(line)]
