@@ -84,7 +84,7 @@ def train_language_model(
     *,
     per_language: int = 400,
     most_languages: int = 200,
-    rounds: int = 80,
+    rounds: int = 40,
     margin: float = 0.05,
 ) -> LanguageModel:
     """Fit the bit classifiers on at most ``per_language`` texts of each of the ``most_languages``
