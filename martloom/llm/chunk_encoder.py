@@ -22,18 +22,24 @@ from tokenizers import Tokenizer
 from martloom.llm.common import SpanHasher, byte_view, ragged, slices
 
 
+#: Of these a second character makes a chunk white space; "" makes it a single space.
+_ASCII_SPACE = ("", " ", "\t", "\n", "\v", "\f", "\r")
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """A tokenizer file and what of white space it keeps.
 
-    ``separator`` is one of its special tokens. ``keeps_space``: a space belongs to the word after it,
-    other white space to itself; else all white space is dropped and letters are lowered.
+    ``separator`` is one of its special tokens. ``keeps_space``: a space belongs to the word after
+    it, other white space to itself; else all white space is dropped and letters are lowered.
+    ``word_end`` is what tokens that end a word have after their bytes.
     """
 
     path: str
     separator: str
     specials: tuple[str, ...]
     keeps_space: bool
+    word_end: str = ""
 
 
 def byte_bpe(path: str | None = None) -> Vocabulary:
@@ -45,7 +51,8 @@ def byte_bpe(path: str | None = None) -> Vocabulary:
 def word_bpe(path: str | None = None) -> Vocabulary:
     """BPE with word ends, in lower case."""
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    return Vocabulary(path, "<|startoftext|>", ("<|startoftext|>", "<|endoftext|>"), False)
+    specials = ("<|startoftext|>", "<|endoftext|>")
+    return Vocabulary(path, "<|startoftext|>", specials, False, "</w>")
 
 
 def _class(members: bytes) -> np.ndarray:
@@ -115,7 +122,7 @@ class ChunkEncoder:
     #: chunks encoded at a time.
     GROUP, FRESH, TOGETHER = 1_000_000, 50_000, 2_000
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 500_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int = 700_000) -> None:
         self.vocabulary, self.most = vocabulary, most
         self._open()
         self.finder, self.hasher = ChunkFinder(vocabulary.keeps_space), SpanHasher()
@@ -128,6 +135,10 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.separator_id = self.tokenizer.token_to_id(self.vocabulary.separator)
         self.vocabulary_size = self.tokenizer.get_vocab_size()
+        self.token_bytes = np.zeros(self.vocabulary_size, np.int64)
+        for token, k in self.tokenizer.get_vocab().items():
+            # A byte-level vocabulary writes one character for each byte.
+            self.token_bytes[k] = len(token.removesuffix(self.vocabulary.word_end))
 
     def _clear(self) -> None:
         #: Sorted hashes, and the entry of each: the large table and the fresh one.
@@ -160,11 +171,44 @@ class ChunkEncoder:
         return np.array(found.ids, np.uint32)
 
     def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all chunks, and how many each has."""
+        """The ids of all chunks, and how many each has.
+
+        Most chunks are words that the library keeps apart by itself; in their joint ids the
+        tokens' bytes tell where each ends. The others are joined by the separator.
+        """
+        if self.vocabulary.keeps_space:
+            joint = [c[0] == " " and c[1:2] not in _ASCII_SPACE for c in chunks]
+            ids, counts = self._joint_ids([c for c, j in zip(chunks, joint, strict=True) if j], "")
+        else:
+            joint = [c.isascii() for c in chunks]
+            ids, counts = self._joint_ids([c for c, j in zip(chunks, joint, strict=True) if j], " ")
+        apart = [c for c, j in zip(chunks, joint, strict=True) if not j]
+        if not apart:
+            return ids, counts
+        more, more_counts = self._apart_ids(apart)
+        order = np.argsort(~np.array(joint), kind="stable")  # of the chunks in the two results
+        place = np.empty(len(chunks), np.int64)
+        place[order] = np.arange(len(chunks))
+        both = np.concatenate([counts, more_counts])
+        begins = (np.cumsum(both) - both)[place]
+        return np.concatenate([ids, more])[ragged(begins, both[place])], both[place]
+
+    def _apart_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = self._ids(self.vocabulary.separator.join(chunks))
         ends = np.append(np.flatnonzero(ids == self.separator_id), len(ids))
         return ids[ids != self.separator_id], np.diff(ends, prepend=-1) - 1
 
+    def _joint_ids(self, chunks: list[str], between: str) -> tuple[np.ndarray, np.ndarray]:
+        if not chunks:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids = self._ids(between.join(chunks))
+        wanted = np.cumsum([len(c.encode()) for c in chunks])
+        ends = np.cumsum(self.token_bytes[ids])
+        last = np.searchsorted(ends, wanted)
+        if last[-1] != len(ids) - 1 or (ends[last] != wanted).any():
+            return self._apart_ids(chunks)
+        return ids, np.diff(last, prepend=-1)
+
     def _entry(self, hashes: np.ndarray) -> np.ndarray:
         """Entries of sorted hashes, -1 where unknown."""
         out = np.full(len(hashes), -1, np.int32)
