@@ -197,26 +197,30 @@ def decode(outputs: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, np.nd
     return losses.argmin(1), order[:, -1], lead
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: LanguageModel) -> Iterator[pa.RecordBatch]:
+def _told(texts: pa.Array, letters: pa.Array, model: LanguageModel) -> list[pa.Array]:
+    """Language, score and whether it is ambiguous, of every text."""
     names = np.array([*model.languages, UNDETERMINED], object)
+    data, starts = byte_view(texts)
+    known = letters.to_numpy(zero_copy_only=False).astype(bool)
+    if not model.languages:
+        known[:] = False
+    if known.any():
+        best, score, lead = decode(bit_outputs(data, starts, model), model)
+    else:
+        best, score, lead = np.zeros((3, len(known)))
+    best = np.where(known, best, len(names) - 1).astype(int)
+    return [
+        pa.array(names[best], pa.string()),
+        pa.array(np.where(known, score, 0.0), pa.float64()),
+        pa.array(known & (lead < model.margin)),
+    ]
+
+
+def _predict(batches: Iterator[pa.RecordBatch], model: LanguageModel) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, texts, letters = batch.columns
-        data, starts = byte_view(texts)
-        known = letters.to_numpy(zero_copy_only=False).astype(bool)
-        if not model.languages:
-            known[:] = False
-        if known.any():
-            best, score, lead = decode(bit_outputs(data, starts, model), model)
-        else:
-            best, score, lead = np.zeros((3, len(known)))
-        best = np.where(known, best, len(names) - 1).astype(int)
         yield pa.RecordBatch.from_arrays(
-            [
-                *keys,
-                pa.array(names[best], pa.string()),
-                pa.array(np.where(known, score, 0.0), pa.float64()),
-                pa.array(known & (lead < model.margin)),
-            ],
+            [*keys, *_told(texts, letters, model)],
             names=[*batch.schema.names[:-2], "lang_pred", "score", "ambiguous"],
         )
 
@@ -226,6 +230,17 @@ def has_letter(text: str | Column) -> Column:
     return F.coalesce(col.rlike(r"\p{L}"), F.lit(False))
 
 
+def language_of(text: Column, model: LanguageModel) -> Column:
+    """The language of a text column, for a frame whose other columns need not go to Python."""
+
+    def told(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, letters in pairs:
+            yield _told(texts, letters, model)[0]
+
+    # Else Spark would evaluate it once for a filter on it and once more for its value.
+    return F.arrow_udf(told, "string").asNondeterministic()(text, has_letter(text))
+
+
 def identify_languages(
     docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -218,6 +218,17 @@ def _score(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[
         )
 
 
+def toxicity_of(text: Column, model: ToxicityModel) -> Column:
+    """The score of a text column, for a frame whose other columns need not go to Python."""
+
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hasher = SpanHasher()
+        for some in texts:
+            yield pa.array(scores(*byte_view(some), model, hasher), pa.float64())
+
+    return F.arrow_udf(score, "double")(text)
+
+
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
