@@ -231,14 +231,17 @@ def has_letter(text: str | Column) -> Column:
 
 
 def language_of(text: Column, model: LanguageModel) -> Column:
-    """The language of a text column, for a frame whose other columns need not go to Python."""
+    """``lang`` and ``ambiguous`` of a text column, as a struct, for a frame whose other columns
+    need not go to Python."""
 
     def told(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, letters in pairs:
-            yield _told(texts, letters, model)[0]
+            lang, _, ambiguous = _told(texts, letters, model)
+            yield pa.StructArray.from_arrays([lang, ambiguous], ["lang", "ambiguous"])
 
-    # Else Spark would evaluate it once for a filter on it and once more for its value.
-    return F.arrow_udf(told, "string").asNondeterministic()(text, has_letter(text))
+    # Else Spark would evaluate it once for each of its fields.
+    udf = F.arrow_udf(told, "lang string, ambiguous boolean").asNondeterministic()
+    return udf(text, has_letter(text))
 
 
 def identify_languages(

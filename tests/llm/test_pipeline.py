@@ -10,6 +10,7 @@ import corpus_pipeline
 from martloom.llm.queries import queries
 from tests.conftest import SF_DIR
 from tests.llm.data import CLASHES, edge_docs, empty_docs, texts, words
+from tests.llm.test_classifiers import speech
 from tests.llm.test_duplicates import WORD, roots, simhash, without_repeats
 
 SCHEMAS = {
@@ -79,6 +80,36 @@ def test_letterless_documents_go_and_others_stay(spark, folder):
     assert kept.where("lang IS NULL").count() == 0
 
 
+def test_untagged_documents_stay(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = stage("language")(spark, docs, folder)
+    want = sorted(repr(x) for x in texts() if x[1] and any(c.isalpha() for c in x[1]))
+    assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == want
+    assert kept.where("lang IS NOT NULL").count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} == {None, -5, 1, 7, 9, 10, 11, 12, 13, 14, 15, 16}
+
+
+def test_clear_predictions_replace_lang_and_ambiguous_ones_do_not(spark, monkeypatch):
+    # Rows without an id are not learned from, so their lang cannot be learned by heart.
+    tags = {0: "cc", 21: "cc", 33: None}
+    rows = [
+        (None if r.doc_id in tags else r.doc_id, r.text, tags.get(r.doc_id, r.lang), r.lang)
+        for r in speech(spark).collect()
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, told string")
+    kept = stage("language")(spark, docs, "").collect()
+    assert len(kept) == len(rows)
+    assert [(r.doc_id, r.lang, r.told) for r in kept if r.lang != r.told] == []
+    train = corpus_pipeline.train_language_model
+    monkeypatch.setattr(corpus_pipeline, "train_language_model", lambda d: train(d, margin=1.1))
+    kept = stage("language")(spark, docs, "").collect()
+    assert {(r.text, r.lang) for r in kept} == {(r[1], r[2]) for r in rows}
+
+
 def test_one_of_each_group_stays(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = stage("near_duplicates")(spark, docs, folder).collect()
