@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from tests.conftest import SF_DIR
 from tests.llm.data import CLASHES, edge_docs, empty_docs, texts, words
 from tests.llm.test_classifiers import speech
 from tests.llm.test_duplicates import WORD, roots, simhash, without_repeats
+from tests.llm.test_tokens import library
 
 SCHEMAS = {
     "op1_repair_shards": "doc_id long, start long, n_tokens long, ids_crc32 long",
@@ -147,6 +151,19 @@ def test_the_whole_pipeline(spark, folder):
         end[r.sequence_id] = r.offset + r.length
 
 
+def test_sequences_can_be_made_from_what_the_pipeline_returns(spark, folder):
+    known = library("word_bpe_49k.json")
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    ids: dict = {}
+    for r in sorted(rows, key=lambda r: (str(r.doc_id), r.piece)):
+        assert r.start == len(ids.setdefault(r.doc_id, []))
+        ids[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    # Texts that no stage changes, as the tokenizers library encodes them.
+    for i in (7, 12, 13):
+        assert ids[i] == known.encode(dict(texts())[i], add_special_tokens=False).ids + [1]
+
+
 def test_toxic_documents_go(spark, tmp_path):
     rows = [(k, ("scum " if k % 8 == 0 else "") + words(k, 30, 5000)) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
