@@ -54,13 +54,22 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     for _ in range(200):
         code = rng.choice(np.array([-1, 1], np.int8), (n, bits))
         code[:, np.abs(code.sum(0)) == n] = rng.permutation(np.resize([-1, 1], n))[:, None]
-        gram = code.astype(np.int32) @ code.T.astype(np.int32)
-        nearest = (bits - (gram - 2 * bits * np.eye(n, dtype=np.int32)).max()) // 2
+        nearest = (bits - _most_alike(code)) // 2
         if nearest > apart:
             best, apart = code, nearest
     return best
 
 
+def _most_alike(code: np.ndarray, block: int = 1024) -> int:
+    """The largest product of two different codewords, without a table of all pairs."""
+    code, most = code.astype(np.float32), -code.shape[1]
+    for a in range(0, len(code), block):
+        gram = code[a : a + block] @ code.T
+        gram[np.arange(len(gram)), np.arange(a, a + len(gram))] = most
+        most = max(most, int(gram.max()))
+    return most
+
+
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bucket shares of each sampled text as two packed arrays."""
     for batch in batches:
@@ -83,22 +92,22 @@ def train_language_model(
     lang_col: str = "lang",
     *,
     per_language: int = 400,
-    most_languages: int = 200,
+    most_texts: int = 80_000,
     rounds: int = 40,
     margin: float = 0.05,
 ) -> LanguageModel:
-    """Fit the bit classifiers on at most ``per_language`` texts of each of the ``most_languages``
-    most frequent languages.
+    """Fit the bit classifiers on every value of ``lang``.
 
-    The sample is the rows with the smallest hashes of their id, so it does not depend on how
+    Each gets at most ``per_language`` texts, or, of many languages, an equal part of
+    ``most_texts`` and one text at least. The sample is the rows with the smallest hashes of their id, so it does not depend on how
     the table is partitioned. Rows without text, language or id are not used. No usable row:
     a model of no language, which calls every text undetermined.
     """
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    counts = counts.orderBy(F.col("n").desc(), "lang").limit(most_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    per_language = min(per_language, max(1, most_texts // max(1, len(counts))))
     counts = labelled.sparkSession.createDataFrame(counts, "lang string, n long")
     by_hash = Window.partitionBy("lang").orderBy(hash_place("id"), "id")
     chosen = (
@@ -110,7 +119,7 @@ def train_language_model(
         .select("id", "lang")
         .distinct()
     )
-    # At most per_language rows for each language: small whatever the corpus is.
+    # At most per_language rows for each language, and most_texts or one for each in all.
     sample = (
         rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
         .select("lang", "text")
@@ -120,7 +129,8 @@ def train_language_model(
     sample.sort(key=lambda r: (r.lang, r.ids, r.shares))
     languages = tuple(sorted({r.lang for r in sample}))
     code = codewords(len(languages)) if languages else np.zeros((0, 1), np.int8)
-    which = np.array([languages.index(r.lang) for r in sample], np.int64)
+    number = {lang: k for k, lang in enumerate(languages)}
+    which = np.array([number[r.lang] for r in sample], np.int64)
     ids = [np.frombuffer(r.ids, "<i4") for r in sample]
     shares = [np.frombuffer(r.shares, "<f4") for r in sample]
     weights, bias = _fit(ids, shares, code[which].astype(np.float64), rounds)
@@ -167,8 +177,9 @@ def bit_outputs(data: np.ndarray, starts: np.ndarray, model: LanguageModel) -> n
     """What every bit's classifier says of every text, all bytes counted."""
     n, bits = len(starts) - 1, model.weights.shape[1]
     sums, counts = np.zeros((n, bits)), np.maximum(np.diff(starts) - 2, 0)
-    for at in range(0, len(data), SLICE):
-        buckets = trigram_buckets(data[at : at + SLICE + 2])
+    step = max(1, SLICE * 8 // max(8, bits))  # the more bits, the fewer bytes at a time
+    for at in range(0, len(data), step):
+        buckets = trigram_buckets(data[at : at + step + 2])
         if not len(buckets):
             continue
         # A trigram counts for the text it begins and ends in.
@@ -188,8 +199,8 @@ def bit_outputs(data: np.ndarray, starts: np.ndarray, model: LanguageModel) -> n
 
 def decode(outputs: np.ndarray, model: LanguageModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Language number, probability-like score, and lead over the second, of each text."""
-    signed = outputs[:, None, :] * model.code[None, :, :]
-    losses = (np.logaddexp(0, -signed) * model.trust[None, :, :]).sum(2)
+    up, down = np.where(model.code > 0, model.trust, 0), np.where(model.code < 0, model.trust, 0)
+    losses = np.logaddexp(0, -outputs) @ up.T + np.logaddexp(0, outputs) @ down.T
     spread = np.exp(-4 * (losses - losses.min(1, keepdims=True)))
     chance = spread / spread.sum(1, keepdims=True)
     order = np.sort(chance, axis=1)

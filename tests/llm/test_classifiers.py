@@ -91,6 +91,26 @@ def test_languages_of_edge_rows(spark):
     assert identify_languages(empty_docs(spark), model).count() == 0
 
 
+def test_every_one_of_many_languages_is_learned(spark):
+    """Each language has words of its own; the last ones are the rarest."""
+    r = random.Random(5)
+    own = [["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(6)] for _ in range(230)]
+    rows = [
+        (1000 * k + j, " ".join(r.choice(own[j]) for _ in range(25)), f"l{j:03}")
+        for j in range(230)
+        for k in range(3 if j < 200 else 2)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = train_language_model(docs)
+    assert model.languages == tuple(f"l{j:03}" for j in range(230))
+    told = identify_languages(docs, model).join(docs, "doc_id")
+    right = told.where("lang = lang_pred")
+    assert right.count() >= 0.95 * len(rows)
+    assert right.where("lang >= 'l200'").count() >= 57
+    few = train_language_model(docs, most_texts=100, rounds=1)
+    assert few.languages == model.languages
+
+
 def test_nothing_learned_means_nothing_told(spark):
     model = train_language_model(empty_docs(spark))
     rows = identify_languages(edge_docs(spark), model).collect()
