@@ -93,7 +93,7 @@ def train_language_model(
     *,
     per_language: int = 400,
     most_texts: int = 80_000,
-    rounds: int = 40,
+    rounds: int = 80,
     margin: float = 0.05,
 ) -> LanguageModel:
     """Fit the bit classifiers on every value of ``lang``.

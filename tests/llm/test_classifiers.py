@@ -156,6 +156,23 @@ def test_positives_and_unlabelled_texts_are_enough():
     assert ((out > 0) == kind).mean() > 0.99
 
 
+def test_samples_and_rounds_are_whole(spark, monkeypatch):
+    from martloom.llm import language_ecoc, toxicity_nnpu
+
+    seen = []
+    monkeypatch.setattr(toxicity_nnpu, "fit", lambda p, u, *_: seen.append((len(p), len(u))))
+    docs = spark.range(9000).selectExpr("id AS doc_id", "sha2(string(id), 256) || ' ' || id AS text")
+    docs = docs.withColumn("text", F.translate("text", "0123456789", "ghijklmnop"))
+    toxicity_nnpu.train_toxicity(docs, docs.where("doc_id < 4500"), 0.5)
+    assert seen == [(4000, 8000)]
+    whole = language_ecoc._fit
+    monkeypatch.setattr(
+        language_ecoc, "_fit", lambda *x: (seen.append(x[-1]), whole(*x[:-1], 1))[1]
+    )
+    train_language_model(speech(spark, 5))
+    assert seen[1:] == [80]
+
+
 def test_without_positives_nothing_is_toxic(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = learn_from_labels(edge_docs(spark), labels, F.lit(True))
