@@ -99,14 +99,16 @@ def train_language_model(
     """Fit the bit classifiers on every value of ``lang``.
 
     Each gets at most ``per_language`` texts, or, of many languages, an equal part of
-    ``most_texts`` and one text at least. The sample is the rows with the smallest hashes of their id, so it does not depend on how
-    the table is partitioned. Rows without text, language or id are not used. No usable row:
-    a model of no language, which calls every text undetermined.
+    ``most_texts`` and one text at least. The sample is the rows with the smallest hashes of their
+    id, so it does not depend on how the table is partitioned; of an id's several texts in a
+    language the first in order is taken. Rows without text, language or id are not used. No
+    usable row: a model of no language, which calls every text undetermined.
     """
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    distinct_ids = F.approx_count_distinct(F.xxhash64("id"))
+    counts = rows.groupBy("lang").agg(distinct_ids.alias("n")).collect()
     per_language = min(per_language, max(1, most_texts // max(1, len(counts))))
     counts = labelled.sparkSession.createDataFrame(counts, "lang string, n long")
     by_hash = Window.partitionBy("lang").orderBy(hash_place("id"), "id")
@@ -114,14 +116,17 @@ def train_language_model(
         rows.select("id", "lang")
         .join(F.broadcast(counts), "lang")  # a row for each language
         .where(rarely("id", per_language, F.col("n")))
+        .select("id", "lang")
+        .distinct()
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= per_language)
         .select("id", "lang")
-        .distinct()
     )
     # At most per_language rows for each language, and most_texts or one for each in all.
     sample = (
         rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
+        .groupBy("id", "lang")
+        .agg(F.min("text").alias("text"))
         .select("lang", "text")
         .mapInArrow(_sparse, "lang string, ids binary, shares binary")
         .collect()

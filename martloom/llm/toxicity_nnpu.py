@@ -115,14 +115,16 @@ def train_toxicity(
 
     ``positives`` has the ids (column ``id_col``) of confirmed toxic texts; ``prior`` is the share of
     toxic texts among all. Both samples are the rows with the smallest hashes of their ids, so
-    they do not depend on partitions. Without positives the model calls nothing toxic.
+    they do not depend on partitions; of a repeated id's texts the first in order is taken. Without
+    positives the model calls nothing toxic.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         "id IS NOT NULL AND text IS NOT NULL"
     )
 
     def smallest(ids: DataFrame, most: int) -> set:
-        few = ids.where(rarely("id", most, ids.count())).distinct()
+        n = ids.agg(F.approx_count_distinct(F.xxhash64("id")).alias("n")).first().n
+        few = ids.where(rarely("id", most, n)).distinct()
         return {r.id for r in few.orderBy(hash_place("id"), "id").limit(most).collect()}
 
     toxic = positives.select(F.col(id_col).alias("id")).join(rows.select("id"), "id", "left_semi")
@@ -133,6 +135,8 @@ def train_toxicity(
     )
     sample = (
         rows.join(F.broadcast(chosen), "id", "left_semi")
+        .groupBy("id")
+        .agg(F.min("text").alias("text"))
         .mapInArrow(_sample, with_id(rows, "id", "buckets binary, likeness long"))
         .collect()
     )

@@ -173,6 +173,28 @@ def test_samples_and_rounds_are_whole(spark, monkeypatch):
     assert seen[1:] == [80]
 
 
+def test_a_repeated_id_is_sampled_once(spark, monkeypatch):
+    from martloom.llm import language_ecoc, toxicity_nnpu
+
+    docs = speech(spark)
+    hot = spark.createDataFrame(
+        [(10_000, babble(k, "bcdfgh", 30), "aa") for k in range(3000)], docs.schema
+    )
+    seen = []
+    whole = language_ecoc._fit
+    monkeypatch.setattr(language_ecoc, "_fit", lambda *x: (seen.append(len(x[0])), whole(*x))[1])
+    model = train_language_model(docs.union(hot), rounds=5)
+    assert seen == [docs.count() + 1]
+    assert model.languages == tuple(LANGUAGES)
+    # Of a language that is all one id, too, a text is learned.
+    model = train_language_model(docs.union(hot.withColumn("lang", F.lit("ff"))), rounds=5)
+    assert model.languages == (*LANGUAGES, "ff")
+    rows = []
+    monkeypatch.setattr(toxicity_nnpu, "_rows", lambda sample, wanted: rows.append(len(sample)) or [])
+    toxicity_nnpu.train_toxicity(docs.union(hot), docs.where("doc_id < 50"), 0.5)
+    assert rows == [docs.count() + 1] * 2
+
+
 def test_without_positives_nothing_is_toxic(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = learn_from_labels(edge_docs(spark), labels, F.lit(True))
