@@ -168,7 +168,11 @@ def rules() -> list[Rule]:
     for _, usual, certainty in sorted(FORMS, key=lambda x: -x[2]):
         for label, (keyword, name, versions) in NAMES.items():
             form = usual
-            version = rf"(?:(?: version| v)? (?:{versions}))?" if versions else ""
+            # After a space, or joined to the name, whose keywords then end in it: gplv3, apache2.
+            version = rf"(?:(?:(?: version| v)? |v?)(?:{versions}))?" if versions else ""
+            digits = sorted(set(re.findall(r"\d", versions)))
+            endings = ("", *digits, *(f"v{x}" for x in digits))
+            keyword = "|".join(k + x for k in keyword.split("|") for x in endings)
             if name.endswith("licen[cs]e"):  # it is not said twice
                 form = form.replace(" (?:public )?licen[cs]e", "")
             pattern = form.replace("{n}", name).replace("{v}", version)

@@ -149,6 +149,26 @@ def test_licences(text, base, labels):
     assert {label for _, _, label, _ in found.detections} == labels
 
 
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Licensed under GPLv3.", "gpl"),
+        ("licensed under the GPL2 only", "gpl"),
+        ("licensed under LGPLv3", "lgpl"),
+        ("licensed under LGPLv2.1", "lgpl"),
+        ("licensed under AGPLv3", "agpl"),
+        ("licensed under MPL2", "mpl"),
+        ("licensed under MPLv2.0", "mpl"),
+        ("licensed under Apache2", "apache"),
+    ],
+)
+def test_versions_may_be_joined_to_names(text, label):
+    found = Scanner().scan(text)
+    words = len(text.replace(".", " ").split())
+    assert [d[2] for d in found.detections] == [label]
+    assert found.detections[0][1] >= words - ("only" in text)
+
+
 def test_there_are_hundreds_of_rules_that_compile():
     assert len(rules()) > 300
     for rule in rules():
