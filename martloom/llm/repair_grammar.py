@@ -139,7 +139,7 @@ def _places(sequence: np.ndarray, chosen: np.ndarray, top: int) -> tuple[np.ndar
 
 
 def compress(
-    ids: np.ndarray, base: int, least: int = 16, share: float = 0.005, worth: float = 0.01
+    ids: np.ndarray, base: int, least: int = 16, share: float = 0.005, worth: float = 0.0
 ) -> Grammar:
     """Replace pairs until none occurs ``least`` times or a round saves less than ``worth``.
 

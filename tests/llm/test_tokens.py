@@ -171,3 +171,13 @@ def test_no_documents_make_an_empty_table(spark):
     write_token_shards(empty_docs(spark), path, byte_bpe(), end_id=2)
     assert read_token_shards(spark, path).count() == 0
     assert read_token_shards(spark, path).select(F.sum("start")).first()[0] is None
+
+
+def test_no_frequent_pair_is_left():
+    from martloom.llm.repair_grammar import _frequent, compress
+
+    r = np.random.default_rng(3)
+    ids = np.minimum(r.zipf(1.3, 60_000), 3000).astype(np.uint32)
+    grammar = compress(ids, 3001)
+    assert (grammar.expand() == ids).all()
+    assert not len(_frequent(grammar.sequence, 16)[0])
