@@ -112,6 +112,34 @@ def runs(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begins, np.flatnonzero(inside & (~after | edge[1:])) + 1
 
 
+def word_slices(
+    data: np.ndarray, starts: np.ndarray, inside: np.ndarray, carry: int, most: int = 1 << 20
+) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Stretches of texts to work on, as (number of the first text, starts, words seen before).
+
+    A stretch is some whole texts, or a part of one that is longer than ``most`` bytes. A part ends with
+    a word, and the next one begins with the last ``carry`` words of it, which were seen then. ``inside``
+    says of each byte value whether it belongs to a word. Only one word longer than
+    ``most`` makes a longer stretch.
+    """
+    for first, last in slices(starts, most):
+        at, end = int(starts[first]), int(starts[last])
+        if end - at <= most:
+            yield first, starts[first : last + 1], 0
+            continue
+        seen, size = 0, most
+        while at + size < end:
+            begins, ends = runs(inside[data[at : at + size]], np.zeros(1, np.int64))
+            whole = int(np.searchsorted(ends, size))  # words that end before the part does
+            if whole <= carry:
+                size *= 2
+                continue
+            yield first, np.array([at, at + ends[whole - 1]]), seen
+            at += int(begins[whole - carry]) if carry else int(ends[whole - 1])
+            seen, size = carry, most
+        yield first, np.array([at, end]), seen
+
+
 class SpanHasher:
     """64-bit hashes of spans of an array, all spans at once.
 

@@ -9,7 +9,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from martloom.llm.chunk_encoder import word_bpe
+from martloom.llm import shortest_pack
+from martloom.llm.chunk_encoder import byte_bpe, word_bpe
 from martloom.llm.pattern_packing import make_plan, nnls, pack_documents, patterns
 from tests.llm.data import edge_docs, empty_docs, texts
 
@@ -84,3 +85,76 @@ def test_packed_documents(spark):
         end[r.sequence_id] = r.offset + r.length
     assert max(end.values()) <= 4096
     assert pack_documents(empty_docs(spark), word_bpe(), end_id=1).count() == 0
+
+
+def laid_out(plan, histogram):
+    """Length and number of the piece, place in it, size, sequence and offset of every part."""
+    lengths = np.repeat(np.array(list(histogram), np.int64), list(histogram.values()))
+    numbers = np.concatenate([np.arange(n) for n in histogram.values()])
+    piece, *rest = plan.table().places(lengths, numbers)
+    return lengths, list(zip(piece.tolist(), *(x.tolist() for x in rest), strict=True))
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_shortest_packs_hold_every_id_once_and_need_no_padding(seed):
+    r = random.Random(seed)
+    capacity = r.choice([8, 64, 100, 1024])
+    pieces = [min(capacity, max(1, int(r.lognormvariate(4, 1.2)))) for _ in range(r.choice([1, 40, 3000]))]
+    histogram = Counter(pieces)
+    plan = shortest_pack.make_plan(dict(histogram), capacity)
+    lengths, parts = laid_out(plan, histogram)
+    reached = [0] * len(lengths)
+    for piece, start, size, _, _ in sorted(parts):
+        assert start == reached[piece]
+        reached[piece] += size
+    assert reached == lengths.tolist()
+    end = {}
+    for _, _, size, sequence, offset in sorted(parts, key=lambda x: x[3:]):
+        assert offset == end.get(sequence, 0)
+        end[sequence] = offset + size
+    assert all(n == capacity or n & (n - 1) == 0 for n in end.values())
+    packs, rest = divmod(sum(pieces), capacity)
+    assert len(end) == plan.sequences == packs + rest.bit_count()
+
+
+def test_longest_go_first_to_the_emptiest_packs():
+    plan = shortest_pack.make_plan({6: 1, 5: 1, 3: 1, 2: 1}, 8)
+    assert [(r.length, r.sequence, r.offset) for r in plan.runs] == [(6, 0, 0), (5, 1, 0), (3, 1, 5), (2, 0, 6)]
+    cut = shortest_pack.make_plan({6: 2, 4: 1}, 8)
+    assert [(r.length, r.start, r.size, r.offset) for r in cut.runs] == [
+        (6, 0, 6, 0), (4, 0, 2, 6), (4, 2, 2, 6)
+    ]
+    assert shortest_pack.make_plan({}, 8).sequences == 0
+
+
+def test_documents_packed_shortest_first(spark):
+    known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = shortest_pack.pack_shortest_first(edge_docs(spark), byte_bpe(), end_id=0).collect()
+    want = Counter()
+    for i, text in texts():
+        ids = np.array(known.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        want[i, ids.tobytes()] += 1
+    # Pieces of repeated ids may be put together in any way that gives the documents.
+    found = Counter()
+    by_id = {}
+    for r in sorted(rows, key=lambda r: (str(r.doc_id), r.doc_tokens, r.start)):
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        held = by_id.setdefault((r.doc_id, r.doc_tokens), [])
+        for k, part in enumerate(held):
+            if len(part) == 4 * r.start and any(
+                i == r.doc_id and x.startswith(part + r.ids) for i, x in want
+            ):
+                held[k] = part + r.ids
+                break
+        else:
+            assert r.start == 0
+            held.append(bytes(r.ids))
+    for (i, _), held in by_id.items():
+        found.update((i, x) for x in held)
+    assert found == want
+    end = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == end.get(r.sequence_id, 0)
+        end[r.sequence_id] = r.offset + r.length
+    assert all(n == 1024 or n & (n - 1) == 0 for n in end.values())
+    assert shortest_pack.pack_shortest_first(empty_docs(spark), byte_bpe(), end_id=0).count() == 0
