@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 
 from martloom.plans.marts import MARTS
-from martloom.plans.run import run_marts
+from martloom.plans.run import RETAIN_SECONDS, run_marts
 
 
 def _option(kind: type) -> Callable[[str], object]:
@@ -30,6 +30,12 @@ def _option(kind: type) -> Callable[[str], object]:
     return parse
 
 
+def _bytes(mb: int | dict[str, int] | None) -> int | dict[str, int] | None:
+    if isinstance(mb, dict):
+        return {mart: _bytes(n) for mart, n in mb.items()}
+    return None if mb is None else mb << 20
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="martloom", description="Publish data marts.")
     parser.add_argument("--input", required=True, help="folder with one parquet table each")
@@ -48,6 +54,12 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument(
         "--num-files", type=_option(int), help="at most so many files, or by mart: orders=4,parts=8"
     )
+    parser.add_argument(
+        "--file-mb", type=_option(int), help="size of files in MB, or by mart: lineitems=512"
+    )
+    parser.add_argument(
+        "--retain-seconds", type=float, default=RETAIN_SECONDS, help="how long replaced runs stay"
+    )
     parser.add_argument("--shuffle-partitions", type=int, help="largest shuffle / 128 MB")
     parser.add_argument("--concurrent", type=int, help="marts at the same time, default all")
     args = parser.parse_args(argv)
@@ -65,6 +77,8 @@ def main(argv: list[str] | None = None) -> int:
         scale=args.scale,
         order=args.order,
         num_files=args.num_files,
+        file_bytes=_bytes(args.file_mb),
+        retain_seconds=args.retain_seconds,
         shuffle_partitions=args.shuffle_partitions,
         concurrent=args.concurrent,
     )

@@ -53,7 +53,7 @@ def mart_orders(
     Customers grow with the data, so that join is left to Spark: broadcast if the
     two columns are small, else a sort-merge join whose hot keys AQE splits.
     """
-    price = Measure("o_totalprice", scale)
+    price = Measure.of(orders, "o_totalprice", scale)
     counts = ("orders_count", "f_order_status", "o_order_status", "p_order_status")
     status = F.col("o_orderstatus")
     facts = orders.select(
@@ -114,7 +114,7 @@ def mart_customers(
 
     ``unique_customers_count`` is a plain count, as published.
     """
-    balance = Measure("c_acctbal", scale)
+    balance = Measure.of(customer, "c_acctbal", scale)
     by_nation = customer.groupBy("c_nationkey", "c_mktsegment").agg(
         F.count("c_custkey").alias("unique_customers_count"), *balance.first()
     )
@@ -139,7 +139,7 @@ def mart_suppliers(
 
     ``unique_supplers_count`` is a plain count; name and spelling are as published.
     """
-    balance = Measure("s_acctbal", scale)
+    balance = Measure.of(supplier, "s_acctbal", scale)
     by_nation = supplier.groupBy("s_nationkey").agg(
         F.count("s_suppkey").alias("unique_supplers_count"), *balance.first()
     )
@@ -167,7 +167,8 @@ def mart_parts(
     first and the wide part table last, so part texts are shuffled once per part
     and never once per part and supplier.
     """
-    price, cost = Measure("p_retailprice", scale), Measure("ps_supplycost", scale)
+    price = Measure.of(part, "p_retailprice", scale)
+    cost = Measure.of(partsupp, "ps_supplycost", scale)
     supplied = partsupp.select("ps_partkey", "ps_suppkey", "ps_supplycost").join(
         supplier.select("s_suppkey", "s_nationkey"),
         F.col("ps_suppkey") == F.col("s_suppkey"),
@@ -231,10 +232,20 @@ PUBLISHABLE: dict[str, Mart] = {
     "lineitems_core": Mart(mart_lineitems_core, ("lineitem",)),
 }
 
+#: The published columns that a mart is sorted by.
+SORT_KEYS: dict[str, tuple[str, ...]] = {
+    "lineitems": ("L_ORDERKEY",),
+    "lineitems_core": ("L_ORDERKEY",),
+    "orders": ("N_NAME", "O_ORDERPRIORITY", "O_MONTH"),
+    "customers": ("N_NAME", "C_MKTSEGMENT", "R_NAME"),
+    "suppliers": ("N_NAME", "R_NAME"),
+    "parts": ("N_NAME", "P_TYPE", "P_CONTAINER"),
+}
+
 
 def _line_stats(lineitem: DataFrame, scale: Scale, *extra: Column) -> DataFrame:
     price, discount, tax = (
-        Measure(name, scale) for name in ("l_extendedprice", "l_discount", "l_tax")
+        Measure.of(lineitem, name, scale) for name in ("l_extendedprice", "l_discount", "l_tax")
     )
     returned = F.col("l_returnflag")
     extra_names = [F.col("delivery_days")] if extra else []

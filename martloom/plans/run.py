@@ -15,12 +15,13 @@ from martloom.contracts import check_contract, check_input
 from martloom.operators.measures import Scale
 from martloom.operators.sinks import (
     register_mart,
+    release_run,
     remove_old_runs,
     report_path,
     write_mart,
     write_run,
 )
-from martloom.plans.marts import MARTS, PUBLISHABLE
+from martloom.plans.marts import MARTS, PUBLISHABLE, SORT_KEYS
 from martloom.settings import apply_settings
 from martloom.sources.tables import read_table, table_path
 
@@ -28,6 +29,8 @@ Option = TypeVar("Option")
 
 #: Marts that grow with the data: files sorted inside, without a shuffle for the order of all.
 GROWING = ("lineitems", "lineitems_core")
+#: For how long replaced runs stay if nothing else is said.
+RETAIN_SECONDS = 3600.0
 
 
 @dataclass(frozen=True)
@@ -54,22 +57,27 @@ def run_marts(
     scale: Scale | Mapping[str, Scale] = None,
     order: str | Mapping[str, str] | None = None,
     num_files: int | Mapping[str, int] | None = None,
+    file_bytes: int | Mapping[str, int] | None = None,
+    retain_seconds: float = RETAIN_SECONDS,
     shuffle_partitions: int | None = None,
     concurrent: int | None = None,
 ) -> list[MartStatus]:
     """Publish marts from the raw tables under ``in_dir`` and report on each.
 
-    A mart's table is recreated only after its files were written and their schema
+    A mart's table is pointed to new files only after these were written and their schema
     equals the contract; a write that fails leaves the old files and table as they were.
     ``layout="runs"``, the default with a table, writes each run to a new folder under
-    ``<mart>_report`` and points the table there; ``"flat"``, the default without one, replaces
-    the folder itself. The marts are independent: ``concurrent`` of them, by default
+    ``<mart>_report`` and points the table there; runs that it replaced are deleted by a later run,
+    ``retain_seconds`` after they were replaced, so that readers can end. ``"flat"``, the default without
+    a table, replaces the folder itself. Several publishers of one mart leave each other's work alone. The marts are independent: ``concurrent`` of them, by default
     all, run at the same time, so the tail of one leaves no executor idle. ``load``
     replaces the plain table reader.
 
-    ``scale``, ``order`` and ``num_files`` take one value or a mapping by mart. ``order`` is
-    ``"file"`` for the line marts if not given, else ``"global"``. ``num_files`` has to name a line
-    mart to bound its files, since that bounds its tasks too.
+    ``scale``, ``order``, ``num_files`` and ``file_bytes`` take one value or a mapping by mart.
+    ``order`` is ``"file"`` for the line marts if not given, else ``"global"``. Files that are too many or
+    not within half and double of ``file_bytes`` are merged after they were written, which keeps
+    their order. ``num_files`` has to name a line mart to bound its files, since a bound that does not
+    grow with the data makes ever larger files.
 
     Runs in a session of its own with the caller's settings, UTC, and the advice of
     ``martloom.settings`` where nothing else was set; ``shuffle_partitions`` is for the largest
@@ -100,16 +108,29 @@ def run_marts(
             check_contract(built.schema, mart)
             options = {
                 "num_files": _for_mart(num_files, mart),
+                "file_bytes": _for_mart(file_bytes, mart),
+                "sort": SORT_KEYS[mart] if laid_out == "file" else (),
                 "inputs": [table_path(in_dir, name, suffix) for name in inputs],
             }
-            if layout == "runs":
-                path = write_run(built, path, **options)
-            else:
+            if layout == "flat":
                 write_mart(built, path, **options)
-            if register:
-                register_mart(spark, mart, path, served)  # the caller's, which may know the old
-            if layout == "runs":
-                remove_old_runs(session, report_path(out_dir, mart), keep=path)
+                if register:
+                    register_mart(spark, mart, path, served)
+            else:
+                path = write_run(built, path, **options)
+                try:
+                    if register:
+                        register_mart(spark, mart, path, served)  # the caller's, which may know the old
+                finally:
+                    # A run that could not be served is an old one to the next publisher.
+                    release_run(session, path)
+                remove_old_runs(
+                    spark,
+                    report_path(out_dir, mart),
+                    path,
+                    table=served if register else None,
+                    retain=retain_seconds,
+                )
         except Exception as failure:
             error = f"{type(failure).__name__}: {failure}"
         seconds = time.monotonic() - started

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -78,3 +82,73 @@ def test_customers_with_an_infinite_balance(spark, ansi):
         mart_customers(customer, nation, region, scale=2).collect()
     (row,) = mart_customers(customer, nation, region).select(F.isnan("avg_acctbal")).collect()
     assert row[0]
+
+
+def awkward(seed: int, n: int = 600) -> list[float]:
+    """Money, rates, tiny and large values of both signs that nearly cancel."""
+    r = random.Random(seed)
+    values = [round(r.uniform(-1e6, 1e6), 2) for _ in range(n)]
+    values += [r.uniform(0, 0.1) for _ in range(n)]
+    values += [r.uniform(-1, 1) * 10.0 ** r.randrange(-15, 22) for _ in range(n)]
+    return values + [-x for x in values[: n // 2]]
+
+
+def ulps(a: float, b: float) -> float:
+    return abs(a - b) / math.ulp(b)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_doubles_add_up_to_the_same_bits_however_they_are_spread(spark, ansi, seed):
+    values = awkward(seed)
+    df = spark.createDataFrame([(k % 5, v) for k, v in enumerate(values)], "k int, v double")
+    found = set()
+    for partitions in (1, 7, 200):
+        spread = df.repartition(partitions, F.rand(partitions + seed))
+        measure = Measure("v")
+        groups = spread.groupBy("k").agg(*measure.first())
+        rows = groups.select("k", measure.total, measure.average).collect()
+        (merged,) = groups.agg(*measure.merge()).select(measure.total).collect()
+        found.add((tuple(sorted(map(tuple, rows))), merged[0]))
+    ((rows, merged),) = found
+    assert ulps(merged, float(sum(map(Fraction, values)))) <= 1
+    for k, total, average in rows:
+        own = values[k::5]
+        assert ulps(total, float(sum(map(Fraction, own)))) <= 1
+        assert average == total / len(own)
+
+
+def test_sums_that_a_double_holds_are_exact(spark):
+    for values in ([0.1], [-0.1, 0.1], [1e22, 1.0, -1e22], [2.0**76, 2.0**30], [3.0] * 9, [-5e-324, 1.5]):
+        total, _ = averages(spark, values, None)
+        assert total == math.fsum(values)
+    assert averages(spark, [2.0**-104, -1.0, 1.0], None)[0] == 2.0**-104
+
+
+def test_values_beyond_the_digits_are_added_all_the_same(spark, ansi):
+    inf = float("inf")
+    assert tuple(averages(spark, [None], None)) == (None, None)
+    assert averages(spark, [1e300, 1.0], None)[0] == 1e300
+    assert averages(spark, [inf, 1.0], None)[0] == inf
+    assert math.isnan(averages(spark, [inf, -inf, 2.0], None)[0])
+
+
+def test_a_digit_that_overflows_raises(spark, ansi):
+    measure = Measure("v")
+    parts = spark.createDataFrame([(1.0,)], "v double").groupBy("v").agg(*measure.first())
+    full = parts.withColumn("v__sum4", F.lit((1 << 63) - 1)).unionAll(parts)
+    with pytest.raises(PySparkException, match="does not fit a long"):
+        full.agg(*measure.merge()).select(measure.total).collect()
+
+
+def test_marts_without_a_scale_are_the_same_bits_however_they_are_spread(spark):
+    r = random.Random(8)
+    lines = [
+        (k % 40, k, r.uniform(1, 1e5), r.uniform(0, 0.1), r.uniform(0, 0.08), "ARN"[k % 3])
+        for k in range(3000)
+    ]
+    df = spark.createDataFrame(lines, LINES)
+    results = {
+        tuple(sorted(map(tuple, mart_lineitems_core(df.repartition(n, F.rand(n))).collect())))
+        for n in (1, 7, 200)
+    }
+    assert len(results) == 1

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from threading import Event
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,13 +14,19 @@ from pyspark.sql import functions as F
 
 from martloom import CONTRACTS, MARTS, ContractError, run_marts
 from martloom.__main__ import main
+from martloom.operators import sinks
 from martloom.operators.sinks import (
+    PublishError,
     _refuse_overlap,
+    recover_mart,
     register_mart,
     register_table,
+    release_run,
+    remove_old_runs,
     report_path,
     scratch_dir,
     shared_dir,
+    table_location,
     write_mart,
     write_run,
 )
@@ -42,6 +51,10 @@ def same_settings_after(spark):
         spark.conf.set(key, value)
 
 
+def runs_of(out: str, name: str) -> list[str]:
+    return [str(p) for p in Path(report_path(out, name)).glob("run-*")]
+
+
 def data_files(path: str) -> list[Path]:
     return list(Path(path).glob("part-*.parquet"))
 
@@ -178,7 +191,7 @@ def test_a_write_that_fails_half_way_leaves_the_old_files(spark, out):
 
 
 def test_a_run_that_fails_leaves_the_old_table(spark, out):
-    options = {"marts": ["suppliers"], "load": load, "database": "default"}
+    options = {"marts": ["suppliers"], "load": load, "database": "default", "retain_seconds": 0}
     (first,) = run_marts(spark, SMALL, out, **options)
     assert first.published
 
@@ -191,7 +204,7 @@ def test_a_run_that_fails_leaves_the_old_table(spark, out):
     (second,) = run_marts(spark, SMALL, out, **options | {"load": broken})
     assert "disk on fire" in second.error
     assert spark.table("suppliers").count() == 10
-    assert [f"{report_path(out, 'suppliers')}/{p.name}" for p in Path(report_path(out, "suppliers")).iterdir()] == [first.path]
+    assert runs_of(out, "suppliers") == [first.path]
     (third,) = run_marts(spark, SMALL, out, **options)
     assert third.path != first.path
     assert not Path(first.path).exists()
@@ -356,3 +369,254 @@ def test_two_calls_of_a_query_do_not_disturb_each_other(spark, name):
     assert (first.count(), second.count()) == expected
     if "n_files" in first.columns:
         assert {r.n_files for r in first.unionByName(second).select("n_files").distinct().collect()} == {4}
+
+
+def refuse_moves(monkeypatch, *refused: int) -> None:
+    """Moves of these numbers fail, counted from 1."""
+    move, calls = sinks._move, []
+
+    def moved(files, source, target):
+        calls.append(target)
+        if len(calls) in refused:
+            raise OSError("move refused")
+        move(files, source, target)
+
+    monkeypatch.setattr(sinks, "_move", moved)
+
+
+def beside(out: str) -> list[str]:
+    return sorted(p.name for p in Path(out).parent.iterdir())
+
+
+@pytest.mark.parametrize("refused", [1, 2])
+def test_a_refused_move_leaves_the_old_mart_whole(spark, out, monkeypatch, refused):
+    write_mart(spark.range(10), out)
+    refuse_moves(monkeypatch, refused)
+    with pytest.raises(OSError, match="move refused"):
+        write_mart(spark.range(3), out)
+    assert spark.read.parquet(out).count() == 10
+    assert beside(out) == ["out"]
+    write_mart(spark.range(3), out)
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_a_mart_that_cannot_be_put_back_is_not_lost(spark, out, monkeypatch):
+    write_mart(spark.range(10), out)
+    with monkeypatch.context() as patch:
+        refuse_moves(patch, 2, 3)
+        with pytest.raises(PublishError, match="what was there is in .*previous.*the new files in .*staging"):
+            write_mart(spark.range(3), out)
+    assert not Path(out).exists()
+    assert recover_mart(spark, out)
+    assert spark.read.parquet(out).count() == 10
+    assert beside(out) == ["out"]
+    assert not recover_mart(spark, out)
+
+
+@pytest.mark.parametrize("swapped", [False, True])
+def test_the_next_publisher_puts_right_what_a_dead_one_left(spark, out, monkeypatch, swapped):
+    """Died between its two moves, or after them and before it deleted the old files."""
+    write_mart(spark.range(10), f"{out}.previous-x")
+    spark.range(4).write.parquet(out if swapped else f"{out}.staging-x")
+    Path(f"{out}.swap").write_text(f"{out}.previous-x\n{out}.staging-x\n")
+    seen = []
+    recover = sinks.recover_mart
+
+    def recovered(session, path):
+        recover(session, path)
+        seen.append(spark.read.parquet(out).count())
+
+    monkeypatch.setattr(sinks, "recover_mart", recovered)
+    monkeypatch.setattr(sinks, "SWAP_SECONDS", -1.0)
+    write_mart(spark.range(3), out)
+    assert seen == [4 if swapped else 10]
+    assert spark.read.parquet(out).count() == 3
+    assert beside(out) == ["out"]
+
+
+def test_a_publisher_that_died_before_its_moves_left_the_mart(spark, out):
+    write_mart(spark.range(10), out)
+    Path(f"{out}.swap").write_text("")
+    assert recover_mart(spark, out)
+    assert spark.read.parquet(out).count() == 10
+
+
+def test_publishers_of_one_folder_swap_one_after_another(spark, out):
+    def publish(n):
+        for _ in range(4):
+            write_mart(spark.range(n), out)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(publish, (5, 6, 7)))
+    assert spark.read.parquet(out).count() in (5, 6, 7)
+    assert beside(out) == ["out"]
+
+
+def test_readers_find_the_table_at_any_time(spark, out):
+    def publish(n):
+        run = write_run(spark.range(n, n + 50), out)
+        register_table(spark, "t_polled", run, spark.range(1).schema)
+        release_run(spark, run)
+        remove_old_runs(spark, out, run, table="t_polled", retain=60)
+
+    publish(0)
+    done, seen = Event(), set()
+
+    def poll():
+        while not done.is_set():
+            rows = spark.sql("SELECT min(id) AS low, count(*) AS n FROM t_polled").first()
+            assert rows.n == 50
+            seen.add(rows.low)
+
+    with ThreadPoolExecutor(1) as pool:
+        polling = pool.submit(poll)
+        for n in range(1, 21):
+            publish(n)
+        done.set()
+        polling.result()
+    assert len(seen) > 3
+    assert spark.table("t_polled").agg(F.min("id")).first()[0] == 20
+    spark.sql("DROP TABLE t_polled")
+
+
+def test_a_table_that_cannot_be_created_anew_is_put_back(spark, out, monkeypatch):
+    old, new = f"{out}/old", f"{out}/new"
+    spark.range(4).write.parquet(old)
+    spark.range(5).selectExpr("id", "id AS more").write.parquet(new)
+    register_table(spark, "t_put_back", old, spark.range(1).schema)
+    create, calls = type(spark.catalog).createTable, []
+
+    def created(self, *args, **options):
+        calls.append(options)
+        if len(calls) == 1:
+            raise RuntimeError("catalog is away")
+        return create(self, *args, **options)
+
+    monkeypatch.setattr(type(spark.catalog), "createTable", created)
+    schema = spark.read.parquet(new).schema
+    with pytest.raises(RuntimeError, match="away"):
+        register_table(spark, "t_put_back", new, schema)
+    assert spark.table("t_put_back").count() == 4
+    register_table(spark, "t_put_back", new, schema)
+    assert spark.table("t_put_back").columns == ["id", "more"]
+    spark.sql("DROP TABLE t_put_back")
+
+
+def test_a_table_is_pointed_to_any_path(spark, out):
+    for name in ("it's", "a b", "c=d"):
+        spark.range(len(name)).write.parquet(f"{out}/{name}")
+        register_table(spark, "t_spelt", f"{out}/{name}", spark.range(1).schema)
+        assert spark.table("t_spelt").count() == len(name)
+    spark.sql("DROP TABLE t_spelt")
+
+
+@pytest.mark.parametrize("order", ["abAB", "aAbB", "abBA", "bBaA", "baAB"])
+def test_interleaved_publishers_leave_a_readable_table(spark, out, order):
+    """Small letter: a publisher has written its run; large letter: it serves it and tidies up."""
+    runs, schema = {}, spark.range(1).schema
+    first = write_run(spark.range(1), out)
+    register_table(spark, "t_two", first, schema)
+    release_run(spark, first)
+    for step in order:
+        name = step.lower()
+        if step == name:
+            runs[name] = write_run(spark.range(2 if name == "a" else 3), out)
+        else:
+            register_table(spark, "t_two", runs[name], schema)
+            release_run(spark, runs[name])
+            remove_old_runs(spark, out, runs[name], table="t_two")
+        assert spark.table("t_two").count() in (1, 2, 3)
+    assert spark.table("t_two").count() == (3 if order.endswith("B") else 2)
+    assert Path(table_location(spark, "t_two").removeprefix("file:")).exists()
+    assert not Path(first).exists()
+    spark.sql("DROP TABLE t_two")
+
+
+def test_a_slow_publisher_leaves_what_a_later_one_serves(spark, out):
+    schema = spark.range(1).schema
+    slow, fast = write_run(spark.range(2), out), write_run(spark.range(3), out)
+    register_table(spark, "t_slow", slow, schema)
+    register_table(spark, "t_slow", fast, schema)
+    release_run(spark, fast)
+    remove_old_runs(spark, out, fast, table="t_slow")
+    assert Path(slow).exists()  # its publisher is still at it
+    release_run(spark, slow)
+    remove_old_runs(spark, out, slow, table="t_slow")
+    assert spark.table("t_slow").count() == 3
+    remove_old_runs(spark, out, fast, table="t_slow")
+    assert [str(p) for p in Path(out).glob("run-*")] == [fast]
+    spark.sql("DROP TABLE t_slow")
+
+
+def test_replaced_runs_stay_for_a_while(spark, out):
+    first, second = write_run(spark.range(2), out), write_run(spark.range(3), out)
+    for run in (first, second):
+        release_run(spark, run)
+    remove_old_runs(spark, out, second, retain=3600)
+    assert Path(first).exists()
+    marker = f"{out}/_superseded/{Path(first).name}"
+    os.utime(marker, (0, 0))
+    remove_old_runs(spark, out, second, retain=3600)
+    assert not Path(first).exists() and not Path(marker).exists()
+    third = write_run(spark.range(4), out)
+    release_run(spark, third)
+    os.utime(third, (2e9, 2e9))
+    remove_old_runs(spark, out, second)  # without a table to say so, a newer run is no old one
+    assert Path(third).exists()
+
+
+def test_a_dead_publishers_run_is_removed_in_the_end(spark, out):
+    dead, live = write_run(spark.range(2), out), write_run(spark.range(3), out)
+    release_run(spark, live)
+    os.utime(dead, (0, 0))
+    remove_old_runs(spark, out, live)
+    assert Path(dead).exists()
+    os.utime(f"{out}/_publishing/{Path(dead).name}", (0, 0))
+    remove_old_runs(spark, out, live)
+    assert not Path(dead).exists()
+
+
+def sized(spark, n: int = 200_000):
+    """Sorted rows in 40 uneven tasks; the text keeps files from shrinking."""
+    rows = spark.range(n).selectExpr("id", "sha2(cast(id AS string), 256) AS text", "id % 7 AS file")
+    bounds = rows.repartitionByRange(40, F.sqrt("id")).sortWithinPartitions("id")
+    return bounds
+
+
+@pytest.mark.parametrize("target", [1 << 20, 3 << 20])
+def test_files_have_the_wanted_size_and_the_rows_their_order(spark, out, monkeypatch, target):
+    merged, widths = sinks._merged, []
+
+    def counted(rows, n, sort):
+        widths.append(len(rows.inputFiles()))
+        return merged(rows, n, sort)
+
+    monkeypatch.setattr(sinks, "_merged", counted)
+    df = sized(spark)
+    write_mart(df, out, file_bytes=target)
+    assert widths == [40]  # the last stage was as wide as its shuffle
+    files = sorted(data_files(out))
+    assert len(files) > 1
+    assert all(target / 2 <= f.stat().st_size <= 2 * target for f in files)
+    keys = [r.id for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert keys == list(range(200_000))
+    assert spark.read.parquet(out).columns == df.columns
+    write_mart(spark.read.parquet(out), f"{out}-again", file_bytes=target)
+    assert beside(out) == ["out", "out-again"]
+
+
+def test_merged_files_are_sorted_inside_if_asked(spark, out):
+    df = spark.range(5000).selectExpr("(id * 7919) % 5000 AS k").repartition(9).sortWithinPartitions("k")
+    run = write_run(df, out, num_files=2, sort=["k"])
+    files = data_files(run)
+    assert len(files) == 2
+    found = []
+    for file in files:
+        keys = [r.k for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
+        found += keys
+    assert sorted(found) == list(range(5000))
+    assert sorted(p.name for p in Path(out).iterdir()) == sorted(["_publishing", Path(run).name])
+    shutil.rmtree(out)
+    empty = write_run(df.limit(0), out, num_files=2, file_bytes=100)
+    assert spark.read.schema(df.schema).parquet(empty).count() == 0
