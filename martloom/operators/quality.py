@@ -79,27 +79,80 @@ def validate_rules(
 
     With a ``declared`` schema the rows of ``validate_schema`` come too.
 
-    All row rules share one pass without a shuffle of rows. Key rules first count
-    rows per key, so a hot key shrinks to one row per task before the shuffle.
+    All rules share one scan of ``df``: a row becomes an entry for each key rule, with its key, and
+    for each row rule that it violates. Entries are counted by rule and key, first in each map
+    task, so a hot key shrinks to one row per task before the shuffle. Keys of parents join
+    that grouping as entries that count nothing; a parent is scanned once for each rule that names it.
     """
     if not rules:
         raise ValueError("no rules given")
     names = [r.rule for r in rules]
     if twice := sorted({n for n in names if names.count(n) > 1}):
         raise ValueError(f"several rules are named {twice}")
-    row_rules = [r for r in rules if isinstance(r, (NotNull, InDomain))]
-    reports = []
-    if row_rules:
-        counted = df.agg(*[F.count_if(_violates(r)).alias(r.rule) for r in row_rules])
-        reports.append(counted.unpivot([], [r.rule for r in row_rules], "rule", "violations"))
-    for r in rules:
-        if isinstance(r, Unique):
-            reports.append(_report(r.rule, _surplus_rows(df, r)))
-        elif isinstance(r, HasParent):
-            reports.append(_report(r.rule, _orphan_rows(df, r)))
-    if declared is not None:
-        reports.append(validate_schema(df, declared))
-    return reduce(DataFrame.unionByName, reports)
+    report = _violations(df, rules)
+    return report if declared is None else report.unionByName(validate_schema(df, declared))
+
+
+def _violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    # Each key rule has key columns of its own, of its columns' types; other rules leave them NULL.
+    kinds = {
+        (k, place): df.select(column).schema[0].dataType
+        for k, rule in enumerate(rules)
+        for place, column in enumerate(_keys(rule))
+    }
+    names = {at: "key_{}_{}".format(*at) for at in kinds}
+
+    def entry(number: int, keys: Sequence[Column]) -> list[Column]:
+        given = {(number, place): key for place, key in enumerate(keys)}
+        return [
+            F.lit(number).alias("rule"),
+            *(given.get(at, F.lit(None).cast(kind)).alias(names[at]) for at, kind in kinds.items()),
+        ]
+
+    entries = []
+    for number, rule in enumerate(rules):
+        made = F.struct(*entry(number, [F.col(c) for c in _keys(rule)]))
+        if isinstance(rule, (NotNull, InDomain)):
+            made = F.when(_violates(rule), made)
+        entries.append(made)
+    found = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select(
+        "e.*", F.lit(1).cast("long").alias("n"), F.lit(False).alias("parent")
+    )
+    for number, rule in enumerate(rules):
+        if isinstance(rule, HasParent):
+            key = F.col(rule.parent_column)
+            parents = rule.parent.where(key.isNotNull()).select(
+                *entry(number, [key]), F.lit(0).cast("long").alias("n"), F.lit(True).alias("parent")
+            )
+            found = found.unionByName(parents)
+    per_key = found.groupBy("rule", *names.values()).agg(
+        F.sum("n").alias("n"), F.max("parent").alias("parent")
+    )
+    counted = per_key.agg(
+        *(
+            F.coalesce(F.sum(F.when(F.col("rule") == k, _surplus(rule))), F.lit(0)).alias(f"rule_{k}")
+            for k, rule in enumerate(rules)
+        )
+    )
+    rows = [
+        F.struct(F.lit(rule.rule).alias("rule"), F.col(f"rule_{k}").alias("violations"))
+        for k, rule in enumerate(rules)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def _keys(rule: Rule) -> list[str]:
+    if isinstance(rule, Unique):
+        return list(rule.columns)
+    return [rule.column] if isinstance(rule, HasParent) else []
+
+
+def _surplus(rule: Rule) -> Column:
+    """How many of the rows with a key violate the rule."""
+    n = F.col("n")
+    if isinstance(rule, Unique):
+        return n - 1
+    return F.when(F.col("parent"), 0).otherwise(n) if isinstance(rule, HasParent) else n
 
 
 def parse_typed(df: DataFrame, types: Mapping[str, str], tag: str = "failed") -> DataFrame:
@@ -162,22 +215,3 @@ def _refuse_clash(df: DataFrame, tag: str) -> None:
 def _violates(rule: NotNull | InDomain) -> Column:
     col = F.col(rule.column)
     return col.isNull() if isinstance(rule, NotNull) else ~col.isin(*rule.values)
-
-
-def _surplus_rows(df: DataFrame, rule: Unique) -> DataFrame:
-    per_key = df.groupBy(*rule.columns).agg((F.count(F.lit(1)) - 1).alias("surplus"))
-    return per_key.agg(F.sum("surplus").alias("violations"))
-
-
-def _orphan_rows(df: DataFrame, rule: HasParent) -> DataFrame:
-    # Grouping both sides by key needs no shuffle of its own: the join reuses it.
-    per_key = df.groupBy(F.col(rule.column).alias("child")).agg(F.count(F.lit(1)).alias("n"))
-    parents = rule.parent.select(F.col(rule.parent_column).alias("parent")).distinct()
-    orphans = per_key.join(parents, F.col("child") == F.col("parent"), "left_anti")
-    return orphans.agg(F.sum("n").alias("violations"))
-
-
-def _report(name: str, counted: DataFrame) -> DataFrame:
-    return counted.select(
-        F.lit(name).alias("rule"), F.coalesce("violations", F.lit(0)).alias("violations")
-    )

@@ -133,12 +133,13 @@ def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark):
     assert "1, Final" in final and "1, Partial" in partial
 
 
-def test_orphans_are_counted_per_key_before_the_join(spark, no_broadcast):
+def test_all_rules_are_counted_in_one_scan_and_one_shuffle(spark, no_broadcast):
     text = plan(catalogue()["validate_rules"](spark, SF_DIR))
-    orphan_rule = text[text.index("LeftAnti") :]
-    # One shuffle of the child keys serves both the grouping and the join.
-    child = orphan_rule[: orphan_rule.index("lineitem.parquet")]
-    assert exchanges(child) == ["hashpartitioning"] and "partial_count" in child
+    assert text.count("lineitem.parquet") == text.count("orders.parquet") == 1
+    assert "Join" not in text
+    # Keys are counted in the map tasks and shuffled once; then one row is left for each task.
+    assert exchanges(text) == ["SinglePartition", "hashpartitioning"]
+    assert text.index("partial_sum(n", text.index("hashpartitioning")) > 0
 
 
 @pytest.fixture(params=["0", "64MB"], ids=["sort", "hash"])

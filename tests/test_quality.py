@@ -55,6 +55,35 @@ def test_rules_on_an_empty_table(spark):
     assert dict(map(tuple, report.collect())) == {"key": 0, "duplicate": 0, "orphan": 0}
 
 
+def test_rules_share_one_scan_and_keep_key_types_apart(spark, tmp_path):
+    rows = [(k % 50, f"t{k % 9}", None if k % 10 == 0 else k % 4, float(k % 3)) for k in range(400)]
+    path, parent = f"{tmp_path}/checked", f"{tmp_path}/parent"
+    spark.createDataFrame(rows, "a int, b string, c int, d double").write.parquet(path)
+    # Parents of a wider type, repeated, and with a NULL that is no parent.
+    spark.createDataFrame([(k,) for k in [0, 1, 1, 2, None]], "p long").write.parquet(parent)
+    rules = [
+        Unique("a", ("a",)),
+        Unique("pair", ("b", "d")),
+        HasParent("c", "c", spark.read.parquet(parent), "p"),
+        HasParent("a in c", "a", spark.read.parquet(path), "c"),
+        NotNull("c there", "c"),
+        InDomain("b.known", "b", ("t0", "t1")),
+    ]
+    report = validate_rules(spark.read.parquet(path), rules)
+    children = {r[2] for r in rows} - {None}
+    assert dict(map(tuple, report.collect())) == {
+        "a": 350,
+        "pair": 400 - len({(r[1], r[3]) for r in rows}),
+        "c": sum(r[2] in (None, 3) for r in rows),
+        "a in c": sum(r[0] not in children for r in rows),
+        "c there": 40,
+        "b.known": sum(r[1] not in ("t0", "t1") for r in rows),
+    }
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    # The checked table is read once for all rules, and once as a parent; the other parent once.
+    assert plan.count("Relation [a") == 2 and plan.count("Relation [p") == 1
+
+
 def test_no_rules_is_an_error(spark):
     with pytest.raises(ValueError, match="no rules"):
         validate_rules(spark.range(1), [])
