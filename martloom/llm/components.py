@@ -7,23 +7,40 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import stored
 
+#: A key with more rows than this, or than a share of all rows, does not meet its rows in one task.
+LEAST_ROWS, MOST_KEYS = 100, 50_000
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with what ``per_key`` says of their key, an inner join in which no task gets a hot key.
+
+    ``per_key`` has a row for each key, with ``n``, how many of the ``total`` rows have it. Keys with
+    more than a ``MOST_KEYS``-th of twice all rows are fewer than that, so they are sent to every
+    task, and their rows stay where they are; the other keys' rows, few for each, are shuffled.
+    """
+    often = F.col("n") > max(LEAST_ROWS, total // MOST_KEYS)
+    hot = F.broadcast(per_key.where(often))
+    cold = rows.join(F.broadcast(per_key.where(often).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(per_key.where(~often), key)).drop("n")
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
     return (
-        both.join(least, "a")
+        join_per_key(both, least, "a", 2 * total)
         .where("b > a")
         .select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of these."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    others = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    linked = join_per_key(edges, least, "a", total).where("b <> m")
+    others = linked.select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -31,9 +48,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """node and root, the smallest node of its component, of every node of edges (a, b).
 
     Alternates large and small stars until nothing changes, then every node is linked to its root.
-    Each round is a stored table. Loops, repeated edges and either direction are
-    fine; NULL ends are ignored; no edges give no rows. Groups are only ever aggregated, so a
-    node with very many edges is not gathered in one place.
+    Each round is a stored table. Loops, repeated edges and either direction are fine;
+    NULL ends are ignored; no edges give no rows. A node's edges are aggregated in the tasks that
+    have them before any shuffle, and a node with very many edges meets what was found for it
+    in those tasks too, so it is not gathered in one place.
     """
     edges = stored(
         edges.where("a <> b")
@@ -49,7 +67,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == before or not now.n:
             break
         before = now
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        larger = stored(_large_star(edges, now.n), "edges")
+        edges = stored(_small_star(larger, now.n), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import byte_view, lower_ascii, ragged, slices, stored, with_id
-from martloom.llm.components import connected_components
+from martloom.llm.components import connected_components, join_per_key
 
 BITS = 64
 CODE_BITS = 15
@@ -295,8 +295,11 @@ def simhash_groups(
     rooted = classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
+    rooted = stored(rooted, "rooted")
+    smallest = rooted.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("n")
+    )
+    named = join_per_key(rooted, smallest, "root", rooted.count()).select("fp", "component_id")
     return marked.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
