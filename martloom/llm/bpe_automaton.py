@@ -14,12 +14,14 @@ looked up is kept in a transition table.
 
 Every prefix of a word has one accepted path. Encoding goes through the bytes of many words at
 once: a byte trie with failure links gives the tokens that end here, longest first, and the one
-whose arc leaves the state at its beginning is taken.
+whose arc leaves the state at its beginning is taken. Words of some thousand bytes, of which there
+are few, are gone through one at a time, with the same tables.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -35,6 +37,8 @@ from martloom.llm.common import byte_view, ragged, with_id
 #: How byte-level BPE splits text ahead of the merges. A fixed value of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = np.iinfo(np.int32).max
+#: Longer words are not worth a step over arrays for each byte.
+LONG_WORD = 2048
 
 
 def byte_characters() -> dict[str, int]:
@@ -150,6 +154,9 @@ class TokenAutomaton:
 
     def _remember(self, bits: int) -> None:
         self._bits = bits
+        self._long_arcs: dict[int, bool] = {}
+        self._lists = [x.tolist() for x in (self.made, self.from_arc, self.from_state)]
+        self._removed = dict(zip(self.removed.tolist(), self.removed_at.tolist(), strict=True))
         self._known = np.full(1 << bits, _EMPTY, np.uint64)
         self._there = np.zeros(1 << bits, bool)
 
@@ -220,6 +227,11 @@ class TokenAutomaton:
         counts = np.zeros(len(order), np.int64)
         found: list[np.ndarray] = []
         first = 0
+        while first < len(order) and lengths[order[first]] > LONG_WORD:
+            k = order[first]
+            found.append(self._encode_long(data[begins[k] : ends[k]]))
+            counts[k] = len(found[-1])
+            first += 1
         while first < len(order):
             # Words of like length, so that their table has at most some million places.
             longest = max(1, int(lengths[order[first]]))
@@ -268,6 +280,56 @@ class TokenAutomaton:
             ids[end[some] - step] = token
         return ids, counts
 
+    def _encode_long(self, word: np.ndarray) -> np.ndarray:
+        """The ids of one word, byte by byte."""
+        goto, row, longest, shorter, sizes = (
+            self.goto, self.row, self.longest, self.shorter, self.label_lengths
+        )
+        arcs = self._arcs_by_state()
+        last = array("i", [-1]) * (len(word) + 1)
+        node = 0
+        for i, byte in enumerate(word.tobytes(), 1):
+            node = goto[row[node], byte]
+            token = int(longest[node])
+            while True:
+                state = last[i - int(sizes[token])]
+                if state < 0:
+                    break  # the start has all arcs
+                key = state << 32 | token
+                there = arcs.get(key)
+                if there is None:
+                    there = arcs[key] = self._arc(state, token)
+                if there:
+                    break
+                token = int(shorter[token])
+            last[i] = token
+        out = []
+        i = len(word)
+        while i:
+            out.append(last[i])
+            i -= int(sizes[last[i]])
+        return np.array(out[::-1], np.int32)
+
+    def _arcs_by_state(self) -> dict[int, bool]:
+        """Arcs that long words have looked up, as many as there are slots for others."""
+        if len(self._long_arcs) > 1 << self._bits:
+            self._long_arcs.clear()
+        return self._long_arcs
+
+    def _arc(self, a: int, t: int) -> bool:
+        """``_looked_up`` for one arc."""
+        made, from_arc, from_state = self._lists
+        limit = _NEVER
+        while True:
+            if self._removed.get(a << 32 | t, _NEVER) < limit:
+                return False
+            if made[a] < 0 and made[t] < 0:
+                return True
+            if made[a] > made[t]:
+                limit, a = made[a], from_state[a]
+            else:
+                limit, t = made[t] + 1, from_arc[t]
+
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 

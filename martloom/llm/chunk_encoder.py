@@ -3,8 +3,10 @@
 The library's pre-tokenizers never join what stands on two sides of white space, nor a letter
 and the punctuation after it, so a text's ids are its chunks' ids one after another. Most chunks
 of a corpus repeat. Chunks are found and hashed many at a time; a bounded table in each Python worker
-keeps the ids of those seen (when full, of those seen again), and new ones go to the library
-together, a special token between them. Texts with special tokens or rare white space go to the library as they are.
+keeps the bytes and ids of those seen (when full, of those seen again), and new ones go to the library
+together, a special token between them. A hash only says where to look: a chunk gets the ids
+of another only if their bytes are equal, and of two chunks with one hash the second is
+encoded each time. Texts with special tokens or rare white space go to the library as they are.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from martloom.llm.common import SpanHasher, byte_view, ragged, slices
+from martloom.llm.common import byte_view, ragged, slices
+from martloom.llm.spans import hash_spans, lanes, same_spans
 
 
 #: Of these a second character makes a chunk white space; "" makes it a single space.
@@ -121,11 +124,13 @@ class ChunkEncoder:
     #: Bytes of text worked on at a time, new chunks after which the table is sorted anew, and
     #: chunks encoded at a time.
     GROUP, FRESH, TOGETHER = 1_000_000, 50_000, 2_000
+    #: Longer chunks are not kept; the table is emptied when its chunks have so many ids.
+    LONGEST, MOST_IDS = 1 << 12, 1 << 24
 
     def __init__(self, vocabulary: Vocabulary, most: int = 700_000) -> None:
         self.vocabulary, self.most = vocabulary, most
         self._open()
-        self.finder, self.hasher = ChunkFinder(vocabulary.keeps_space), SpanHasher()
+        self.finder = ChunkFinder(vocabulary.keeps_space)
         self.specials = [x.encode() for x in vocabulary.specials]
         self._clear()
 
@@ -146,20 +151,29 @@ class ChunkEncoder:
         self.begins = np.zeros(1 << 16, np.int32)
         self.lengths = np.zeros(1 << 16, np.int32)
         self.again = np.zeros(1 << 16, bool)  # entries that were looked up since they were made
+        #: Bytes of the entries one after another, with room for a lane; none of entries not in a table.
+        self.bytes = np.zeros(1 << 20, np.uint8)
+        self.byte_begins = np.zeros(1 << 16, np.int64)
+        self.byte_lengths = np.zeros(1 << 16, np.int32)
         self.ids = np.zeros(1 << 18, np.uint16 if self.vocabulary_size <= 1 << 16 else np.uint32)
-        self.entries = self.used = 0
+        self.entries = self.used = self.bytes_used = 0
 
     def _shrink(self) -> None:
         """Keep the entries that were looked up again; if those are too many, none."""
         keep = self.again[: self.entries].copy()
-        if 2 * keep.sum() > self.most:
+        if 2 * keep.sum() > self.most or 2 * self.lengths[: self.entries][keep].sum() > self.MOST_IDS:
             self._clear()
             return
         number = (np.cumsum(keep) - 1).astype(np.int32)
         tables = [(h[keep[e]], number[e[keep[e]]]) for h, e in self.tables]
         lengths = self.lengths[: self.entries][keep].astype(np.int64)
         ids = self.ids[ragged(self.begins[: self.entries][keep].astype(np.int64), lengths)]
-        self.entries, self.used = len(lengths), len(ids)
+        sizes = self.byte_lengths[: self.entries][keep].astype(np.int64)
+        held = self.bytes[ragged(self.byte_begins[: self.entries][keep], sizes)]
+        self.entries, self.used, self.bytes_used = len(lengths), len(ids), len(held)
+        self.bytes[: len(held)] = held
+        self.byte_begins[: self.entries] = np.cumsum(sizes) - sizes
+        self.byte_lengths[: self.entries] = sizes
         self.begins[: self.entries] = np.cumsum(lengths) - lengths
         self.lengths[: self.entries] = lengths
         self.again[:] = False
@@ -219,25 +233,57 @@ class ChunkEncoder:
                 out[hit] = entry[at[hit]]
         return out
 
-    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> np.ndarray:
-        """Encode and keep new chunks, given with sorted hashes; their entries."""
+    def _known(
+        self, hashes: np.ndarray, data: np.ndarray, lane: np.ndarray, at: np.ndarray, sizes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of the chunks with these sorted hashes, -1 where unknown, and where an entry with the
+        hash is another chunk's."""
+        entry = self._entry(hashes)
+        found = np.flatnonzero(entry >= 0)
+        held = entry[found]
+        equal = self.byte_lengths[held] == sizes[found]
+        found_equal, held = found[equal], held[equal]
+        view = np.ndarray((len(self.bytes) - 7,), "<u8", self.bytes, strides=(1,))
+        equal[equal] = same_spans(
+            (data, lane), at[found_equal], (self.bytes, view), self.byte_begins[held], sizes[found_equal]
+        )
+        other = np.zeros(len(hashes), bool)
+        other[found[~equal]] = True
+        return entry, other
+
+    def _encoded(self, chunks: list[str]) -> np.ndarray:
+        """Encode chunks and keep their ids; their entries."""
         first = self.entries
         for at in range(0, len(chunks), self.TOGETHER):
             some = chunks[at : at + self.TOGETHER]
             ids, lengths = self._chunk_ids(some)
             n = self.entries
             while n + len(some) > len(self.begins):
-                self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
-                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-                self.again = np.concatenate([self.again, np.zeros_like(self.again)])
+                for name in ("begins", "lengths", "again", "byte_begins", "byte_lengths"):
+                    setattr(self, name, _doubled(getattr(self, name)))
             while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+                self.ids = _doubled(self.ids)
             self.ids[self.used : self.used + len(ids)] = ids
             self.begins[n : n + len(some)] = self.used + np.cumsum(lengths) - lengths
             self.lengths[n : n + len(some)] = lengths
+            # Entries that are not in a table are not looked up.
+            self.byte_lengths[n : n + len(some)] = 0
             self.entries += len(some)
             self.used += len(ids)
-        entries = np.arange(first, self.entries, dtype=np.int32)
+        return np.arange(first, self.entries, dtype=np.int32)
+
+    def _learn(
+        self, hashes: np.ndarray, chunks: list[str], data: np.ndarray, at: np.ndarray, sizes: np.ndarray
+    ) -> np.ndarray:
+        """Encode new chunks and put them in the table, given with sorted hashes; their entries."""
+        entries = self._encoded(chunks)
+        size = int(sizes.sum())
+        while self.bytes_used + size + 8 > len(self.bytes):
+            self.bytes = _doubled(self.bytes)
+        self.bytes[self.bytes_used : self.bytes_used + size] = data[ragged(at, sizes)]
+        self.byte_begins[entries] = self.bytes_used + np.cumsum(sizes) - sizes
+        self.byte_lengths[entries] = sizes
+        self.bytes_used += size
         large, fresh = self.tables
         fresh = _merged(fresh, (hashes, entries))
         if len(fresh[0]) > self.FRESH:
@@ -245,16 +291,92 @@ class ChunkEncoder:
         self.tables = [large, fresh]
         return entries
 
+    def _hashes(
+        self, data: np.ndarray, lane: np.ndarray, begins: np.ndarray, sizes: np.ndarray
+    ) -> np.ndarray:
+        return hash_spans(data, lane, begins, sizes)
+
+    def _entries_of(self, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The entry of every chunk."""
+        lane = lanes(data)
+        hashes = self._hashes(data, lane, begins, sizes)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        new = np.ones(len(ranked), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        distinct, example = ranked[new], order[new]
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new) - 1
+        first = example[group]
+        odd = sizes != sizes[first]
+        again = np.flatnonzero(~odd & (first != np.arange(len(first))))
+        whole = (data, lane)
+        odd[again] = ~same_spans(whole, begins[again], whole, begins[first[again]], sizes[again])
+        at, lengths = begins[example], sizes[example]
+        entry, other = self._known(distinct, data, lane, at, lengths)
+        self.again[entry[(entry >= 0) & ~other]] = True
+        unknown = entry < 0
+        if self.entries + unknown.sum() > self.most or self.used > self.MOST_IDS:
+            self._shrink()
+            entry, other = self._known(distinct, data, lane, at, lengths)
+            unknown = entry < 0
+        raw = data.tobytes()
+
+        def texts(some: np.ndarray) -> list[str]:
+            spans = zip(begins[some].tolist(), (begins + sizes)[some].tolist(), strict=True)
+            return [raw[a:b].decode("utf-8", "replace") for a, b in spans]
+
+        kept = np.flatnonzero(unknown & (lengths <= self.LONGEST))
+        entry[kept] = self._learn(distinct[kept], texts(example[kept]), data, at[kept], lengths[kept])
+        apart = np.flatnonzero(other | (unknown & (lengths > self.LONGEST)))
+        entry[apart] = self._encoded(texts(example[apart]))
+        places = entry[group]
+        if odd.any():
+            places[odd] = self._encoded(texts(np.flatnonzero(odd)))
+        return places
+
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         return self.encode_bytes(*byte_view(pa.array(texts, pa.large_string())))
 
     def encode_bytes(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """The ids of each text of a byte view."""
-        out: list[np.ndarray] = []
-        for first, last in slices(starts, self.GROUP):
-            a = int(starts[first])
-            out += self._encode_some(data[a : int(starts[last])], starts[first : last + 1] - a)
-        return out
+        """The ids of each text of a byte view; a long text is encoded part by part."""
+        parts, owner = self._parts(data, starts)
+        found: list[np.ndarray] = []
+        for first, last in slices(parts, self.GROUP):
+            a = int(parts[first])
+            found += self._encode_some(data[a : int(parts[last])], parts[first : last + 1] - a)
+        if len(parts) == len(starts):
+            return found
+        ends = np.searchsorted(owner, np.arange(len(starts)))
+        return [
+            found[a] if b == a + 1 else np.concatenate(found[a:b])
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+        ]
+
+    def _parts(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where parts of texts begin, each of at most ``GROUP`` bytes if it can be, and their texts.
+
+        A text is cut ahead of a space between two plain ASCII characters: nothing that a
+        vocabulary does to a text, normal forms and special tokens included, reaches across.
+        """
+        owner = np.arange(len(starts) - 1)
+        cuts: list[int] = []
+        for k in np.flatnonzero(np.diff(starts) > self.GROUP).tolist():
+            at, end, size = int(starts[k]), int(starts[k + 1]), self.GROUP
+            while at + size < end:
+                some = data[at : at + size]
+                plain = (some > 32) & (some < 127)
+                places = np.flatnonzero((some[1:-1] == 32) & plain[:-2] & plain[2:])
+                if not len(places):
+                    size *= 2
+                    continue
+                at += int(places[-1]) + 1
+                cuts.append(at)
+                size = self.GROUP
+        if not cuts:
+            return starts, owner
+        place = np.searchsorted(starts, cuts, "right")
+        return np.insert(starts, place, cuts), np.insert(owner, place, owner[place - 1])
 
     def _as_they_are(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Texts with special tokens, and with rare white space where white space counts."""
@@ -279,27 +401,7 @@ class ChunkEncoder:
         if whole:
             done = np.isin(np.searchsorted(starts, begins, "right") - 1, list(whole))
             begins, ends = begins[~done], ends[~done]
-        hashes = self.hasher.spans(self.hasher.sums(data), begins, ends)
-        order = np.argsort(hashes)
-        ranked = hashes[order]
-        new = np.ones(len(ranked), bool)
-        new[1:] = ranked[1:] != ranked[:-1]
-        distinct, example = ranked[new], order[new]
-        entry = self._entry(distinct)
-        self.again[entry[entry >= 0]] = True
-        unknown = np.flatnonzero(entry < 0)
-        if self.entries + len(unknown) > self.most:
-            self._shrink()
-            entry = self._entry(distinct)
-            unknown = np.flatnonzero(entry < 0)
-        raw, at = data.tobytes(), example[unknown]
-        chunks = [
-            raw[a:b].decode("utf-8", "replace")
-            for a, b in zip(begins[at].tolist(), ends[at].tolist(), strict=True)
-        ]
-        entry[unknown] = self._learn(distinct[unknown], chunks)
-        places = np.empty(len(hashes), np.int32)
-        places[order] = entry[np.cumsum(new) - 1]
+        places = self._entries_of(data, begins, ends - begins)
         lengths = self.lengths[places].astype(np.int64)
         ids = self.ids[ragged(self.begins[places].astype(np.int64), lengths)].astype(np.uint32)
         after = np.concatenate([[0], np.cumsum(lengths)])
@@ -310,6 +412,10 @@ class ChunkEncoder:
         ]
 
 
+def _doubled(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([values, np.zeros_like(values)])
+
+
 def _merged(a, b):
     hashes, entries = (np.concatenate(x) for x in zip(a, b, strict=True))
     order = np.argsort(hashes, kind="stable")

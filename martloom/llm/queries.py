@@ -214,11 +214,11 @@ weighed AS (
 scored AS (
   SELECT doc_id, len(w) AS n_words, 2 * len(w) - CASE WHEN len(w) > 0 THEN 1 ELSE 0 END AS n_features,
     coalesce(weight, 0) AS weight,
-    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8)
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
       AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
   FROM docs LEFT JOIN weighed USING (d)),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
     count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
 SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
   CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank

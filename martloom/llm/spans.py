@@ -41,10 +41,11 @@ def hash_spans(
 ) -> np.ndarray:
     """XXH64 of every span; ``lane`` is ``lanes(data)``."""
     out = np.empty(len(begins), np.uint64)
-    order = np.argsort(lengths, kind="stable")
-    by_length = lengths[order]
-    short = int(np.searchsorted(by_length, _STRIPE))
-    at, left = begins[order[:short]].astype(np.int64), by_length[:short].astype(np.int64)
+    # Small numbers are sorted by counting.
+    by_length = np.minimum(lengths, _STRIPE).astype(np.uint8)
+    order = np.argsort(by_length, kind="stable")
+    short = int(np.searchsorted(by_length[order], _STRIPE))
+    at, left = (x[order[:short]].astype(np.int64) for x in (begins, by_length))
     h = left.astype(np.uint64) + (np.uint64(seed) + _P5)
     for k in range(0, _STRIPE - 8, 8):
         # Spans are sorted by length: those with another whole lane are the last ones.

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -20,10 +22,11 @@ from martloom.llm.bpe_automaton import (
     load_labels,
 )
 from martloom.llm.chunk_encoder import ChunkEncoder, byte_bpe, word_bpe
-from martloom.llm.common import scratch_dir
+from martloom.llm.common import byte_view, scratch_dir
 from martloom.llm.repair_grammar import compress, pack, unpack
+from martloom.llm.spans import hash_spans
 from martloom.llm.token_shards import read_stretch, read_token_shards, write_token_shards
-from tests.llm.data import edge_docs, empty_docs, texts
+from tests.llm.data import edge_docs, empty_docs, texts, words
 
 PIECES = [
     *" \n\t\r.,;:?!-'", "  ", "a", "B", "é", "É", "'s", "'RE", "1", "²", "\x1c", "\x85", "\xa0",
@@ -66,6 +69,89 @@ def test_a_full_table_starts_anew():
             assert found.tolist() == known.encode(text, add_special_tokens=False).ids
 
 
+def thue_morse(n: int, a: str, b: str) -> str:
+    """Two such texts with their letters changed have one polynomial hash modulo 2^64, any odd base."""
+    return "".join((a, b)[k.bit_count() & 1] for k in range(n))
+
+
+ENCODERS = [
+    ("byte_bpe_50k.json", lambda: ChunkEncoder(byte_bpe())),
+    ("word_bpe_49k.json", lambda: ChunkEncoder(word_bpe())),
+    ("byte_bpe_50k.json", lambda: AutomatonEncoder(byte_bpe())),
+]
+
+
+@pytest.mark.parametrize(("name", "make"), ENCODERS)
+@pytest.mark.parametrize("together", [True, False])
+def test_words_with_one_polynomial_hash_have_ids_of_their_own(name, make, together):
+    encoder, known = make(), library(name)
+    some = []
+    for n in (1024, 2048, 4096):
+        for letters in ("ab", "ba", "xq", "qx"):
+            some.append(f"one two {thue_morse(n, *letters)} three")
+    batches = [some] if together else [[x] for x in some]
+    found = [ids.tolist() for batch in batches for ids in encoder.encode(batch)]
+    assert found == [known.encode(x, add_special_tokens=False).ids for x in some]
+
+
+@pytest.mark.parametrize(("name", "make"), ENCODERS)
+@pytest.mark.parametrize("most", [700_000, 60])
+def test_chunks_with_one_hash_have_ids_of_their_own(name, make, most):
+    """Hashes cut to two bits: nearly all chunks meet others, in a batch and in the table."""
+    encoder, known = make(), library(name)
+    encoder.most, encoder.LONGEST = most, 12
+    encoder._hashes = lambda data, lane, begins, sizes: hash_spans(data, lane, begins, sizes) & np.uint64(3)
+    some = strange_texts(150) + [t or "" for i, t in texts() if i not in (12, 13)]
+    for at in range(0, len(some), 40):
+        for text, found in zip(some[at : at + 40], encoder.encode(some[at : at + 40]), strict=True):
+            assert found.tolist() == known.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize(("name", "make"), ENCODERS)
+def test_long_texts_are_encoded_part_by_part(name, make):
+    encoder, known = make(), library(name)
+    encoder.GROUP = 50
+    r = random.Random(6)
+    long = ["".join(r.choice([*PIECES, "word", " more", "x y"]) for _ in range(400)) for _ in range(60)]
+    some = ["", "short", *long, words(3, 200), "a b " * 50, "", "日本語" * 40, "x" * 300]
+    for text, found in zip(some, encoder.encode(some), strict=True):
+        assert found.tolist() == known.encode(text, add_special_tokens=False).ids
+    data, starts = byte_view(pa.array(some))
+    parts, owner = encoder._parts(data, starts)
+    assert len(parts) > len(starts) + 100
+    assert set(starts.tolist()) <= set(parts.tolist())
+    assert len(owner) == len(parts) - 1
+
+
+@pytest.mark.parametrize("text", ["a" * 5000, "ab" * 4000, "abcdefghij" * 700, thue_morse(8192, "a", "b")])
+def test_long_words_take_the_same_path(text):
+    known = library("byte_bpe_50k.json")
+    r = random.Random(len(text))
+    mixed = "".join(r.choice("etaoinshrdlu") for _ in range(20_000))
+    encoder = AutomatonEncoder(byte_bpe())
+    for word in (text, mixed, mixed[:2049], text + "é" * 2100):
+        assert encoder.encode([word])[0].tolist() == known.encode(word, add_special_tokens=False).ids
+
+
+def test_one_arc_is_looked_up_as_many_are():
+    automaton = AutomatonEncoder(byte_bpe()).automaton
+    r = np.random.default_rng(2)
+    state, token = r.integers(0, 50256, (2, 20_000))
+    many = automaton._looked_up(state, token)
+    assert [automaton._arc(int(a), int(t)) for a, t in zip(state, token, strict=True)] == many.tolist()
+    assert 0 < many.sum() < len(many)
+
+
+def test_a_long_word_takes_time_that_goes_with_its_length():
+    r = random.Random(4)
+    word = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    encoder = AutomatonEncoder(byte_bpe())
+    encoder.encode([word[:5000]])
+    began = time.perf_counter()
+    encoder.encode([word])
+    assert time.perf_counter() - began < 5
+
+
 def test_automaton_of_random_merges_accepts_what_bpe_makes():
     """Merges made up at random, with BPE done naively: merge after merge, left to right."""
     r = random.Random(9)
@@ -134,7 +220,7 @@ def test_grammar_round_trip_and_random_access(alphabet):
             assert shard.ids(a, b).tolist() == ids[a:b].tolist()
 
 
-def test_no_frequent_pair_is_left():
+def test_no_frequent_pair_is_left_of_random_ids():
     ids = np.random.default_rng(5).integers(0, 6, 4000).astype(np.uint32)
     grammar = compress(ids, 6, least=20, worth=0)
     left = grammar.sequence
