@@ -6,8 +6,9 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from martloom.llm import simhash_anchors
+from martloom.llm import simhash_anchors, substring_sketch
 from martloom.llm.components import connected_components
 from martloom.llm.simhash_anchors import (
     anchors,
@@ -178,7 +179,27 @@ def without_repeats(some: list[str | None], window: int) -> list[tuple[str, int,
     return out
 
 
-def test_repeated_windows_of_edge_rows(spark):
+@pytest.fixture(params=["broadcast", "partitioned"])
+def sketch(request, monkeypatch):
+    """The sketch as a broadcast, or left where its segments were merged."""
+    if request.param == "partitioned":
+        monkeypatch.setattr(substring_sketch, "MOST_BROADCAST", 0)
+        monkeypatch.setattr(substring_sketch, "sketch_segments", lambda docs: 8)
+    return request.param
+
+
+@pytest.fixture(params=["whole", "in stretches"])
+def cut(request, monkeypatch):
+    """Texts as they are, or gone through in stretches of some hundred bytes."""
+    if request.param != "whole":
+        monkeypatch.setattr(substring_sketch, "SLICE", 300)
+
+
+def in_order(rows) -> list[tuple]:
+    return sorted((r.doc.doc_id, r.kept, r.n_words, r.n_removed) for r in rows)
+
+
+def test_repeated_windows_of_edge_rows(spark, sketch, cut):
     rows = remove_repeated_windows(edge_docs(spark)).collect()
     some = texts()
     want = [(i, *x) for (i, _), x in zip(some, without_repeats([t for _, t in some], 35), strict=True)]
@@ -189,26 +210,131 @@ def test_repeated_windows_of_edge_rows(spark):
 
 
 @pytest.mark.parametrize(("seed", "vocabulary", "window"), [(0, 2, 5), (1, 3, 9), (2, 8, 4), (3, 2, 12)])
-def test_repeated_windows_of_very_repetitive_texts(spark, seed, vocabulary, window):
+def test_repeated_windows_of_very_repetitive_texts(spark, sketch, cut, seed, vocabulary, window):
     r = random.Random(seed)
-    some = [words(r.random(), r.randrange(60), vocabulary) for _ in range(60)]
-    some += [" ".join(["x"] * 50), " ".join(["p", "q"] * 30), " ".join(["p", "q", "r"] * 9)]
+    some = [words(r.random(), r.randrange(200), vocabulary) for _ in range(60)]
+    some += [" ".join(["x"] * 50), " ".join(["p", "q"] * 130), " ".join(["p", "q", "r"] * 9)]
     docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(5)
     rows = remove_repeated_windows(docs, window=window).collect()
-    want = [(i, *x) for i, x in enumerate(without_repeats(some, window))]
-    assert sorted((r.doc.doc_id, r.kept, r.n_words, r.n_removed) for r in rows) == want
+    assert in_order(rows) == [(i, *x) for i, x in enumerate(without_repeats(some, window))]
 
 
-def test_a_full_sketch_loses_nothing(spark, monkeypatch):
+def test_a_full_sketch_loses_nothing(spark, sketch, monkeypatch):
     """With far too few cells nearly all windows are suspects, and the result is the same."""
-    from martloom.llm import substring_sketch
-
-    monkeypatch.setattr(substring_sketch, "sketch_bits", lambda docs: 18)
     monkeypatch.setattr(
-        substring_sketch, "cells", lambda a, bits: ((a & np.uint64(1)) for _ in range(3))
+        substring_sketch, "cells", lambda a: ((a & np.uint64(1)).astype(np.int64) for _ in range(3))
     )
     some = [words(k % 50, 80) for k in range(70)]
     docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
     rows = remove_repeated_windows(docs).collect()
+    assert in_order(rows) == [(i, *x) for i, x in enumerate(without_repeats(some, 35))]
+
+
+def thue_morse(n: int, a: str, b: str) -> str:
+    return "".join((a, b)[k.bit_count() & 1] for k in range(n))
+
+
+def test_words_with_one_polynomial_hash_are_different_words(spark, sketch):
+    base = words(1, 34).split()
+    some = [
+        " ".join([*base[:k], thue_morse(n, *letters), *base[k:]])
+        for n in (1024, 2048)
+        for k in (0, 17, 34)
+        for letters in ("ab", "ba")
+    ]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(3)
     want = [(i, *x) for i, x in enumerate(without_repeats(some, 35))]
-    assert sorted((r.doc.doc_id, r.kept, r.n_words, r.n_removed) for r in rows) == want
+    assert in_order(remove_repeated_windows(docs).collect()) == want
+    assert all(n == 0 for *_, n in want)
+
+
+def test_kept_words_may_keep_their_white_space(spark, cut):
+    passage = "\n".join(words(5, 60).split())
+    some = [
+        f"  first line\n\n\tindented  twice\n{passage}\n\nafter\tit \n",
+        f"{words(6, 40)}\n\n{passage}",
+        f"{passage}  ",
+        " nothing \n repeated ",
+        "",
+        words(7, 90).replace(" ", "\n\n") + f" {passage} " + words(8, 90).replace(" ", "   "),
+    ]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(2)
+    rows = sorted(remove_repeated_windows(docs, keep_space=True).collect(), key=lambda r: r.doc.doc_id)
+    plain = without_repeats(some, 35)
+    for r, text, (kept, n_words, n_removed) in zip(rows, some, plain, strict=True):
+        assert (" ".join(r.kept.split()), r.n_words, r.n_removed) == (kept, n_words, n_removed)
+    assert [r.kept for r in rows][:5] == [
+        "first line\n\n\tindented  twice\nafter\tit \n",
+        f"{words(6, 40)}\n\n",
+        "",
+        "nothing \n repeated ",
+        "",
+    ]
+    assert rows[5].kept == words(7, 90).replace(" ", "\n\n") + " " + words(8, 90).replace(" ", "   ")
+
+
+def passed(spark, monkeypatch, n: int) -> float:
+    """The share of windows that stand alone and are suspects all the same."""
+    some = [words(k, 120, 100_000) for k in range(n)]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(4)
+    seen = []
+    store = substring_sketch.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        if name == "lone-windows":
+            seen.append(out.selectExpr("sum(size(alone)) AS n").first().n or 0)
+        return out
+
+    monkeypatch.setattr(substring_sketch, "stored", counted)
+    remove_repeated_windows(docs).count()
+    monkeypatch.setattr(substring_sketch, "stored", store)
+    return seen[0] / (n * (120 - 34))
+
+
+def test_lone_windows_pass_as_rarely_beyond_the_broadcast(spark, monkeypatch):
+    """With segments of 256 cells, of which two may be broadcast, both sizes are far beyond."""
+    monkeypatch.setattr(substring_sketch, "MOST_BROADCAST", 2)
+    monkeypatch.setattr(substring_sketch, "SEGMENT_BITS", 8)
+    small, large = (passed(spark, monkeypatch, n) for n in (300, 1200))
+    assert small < 0.05 and large < 0.05
+
+
+def test_hubs_are_split(spark, monkeypatch):
+    """One node has a third of all edges; none of its rows is shuffled by its key."""
+    from martloom.llm import components
+
+    n = 3000
+    edges = [(0, k) for k in range(1, n)] + [(10_000 + k, 10_001 + k) for k in range(0, 2 * n, 2)]
+    table = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    monkeypatch.setattr(components, "LEAST_ROWS", 50)
+    least = table.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    joined = components.join_per_key(table, least, "a", len(edges))
+    assert joined.count() == len(edges)
+    want = {a: min(y for x, y in edges if x == a) for a in (0, 10_000, 10_002)}
+    assert {r.a: r.m for r in joined.where(F.col("a").isin(0, 10_000, 10_002)).collect()} == want
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        cold = table.join(F.broadcast(least.where("n > 50").select("a")), "a", "left_anti")
+        assert cold.where("a = 0").count() == 0
+        plan = components.join_per_key(table, least, "a", len(edges))._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+        found = {r.node: r.root for r in connected_components(table).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {found[k] for k in range(n)} == {0}
+    assert all(found[10_000 + k] == 10_000 + k - k % 2 for k in range(2 * n))
+
+
+def test_one_component_may_hold_a_third_of_all_fingerprints(spark):
+    """A chain of fingerprints a bit apart, among others that are far from everything."""
+    r = np.random.default_rng(3)
+    chain, at = [], r.integers(0, 1 << 62)
+    for k in range(400):
+        chain.append(int(at))
+        at ^= 1 << int(r.integers(0, 62))
+    others = [int(x) for x in r.integers(0, 1 << 62, 800)]
+    table = spark.createDataFrame([(x,) for x in chain + others], "fp long").distinct()
+    found = {x.node: x.root for x in connected_components(near_fingerprints(table, 1)).collect()}
+    assert len({found[x] for x in chain}) == 1
