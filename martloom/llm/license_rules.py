@@ -1,15 +1,15 @@
 """Licence detection with ordered signature rules.
 
-A rule is a regular expression over a text's lower-cased words, joined by single spaces. Rules are
-made from hand-written licence names and hand-written ways to grant or tag a licence. A rule
-is tried only on texts that contain one of its keywords. Overlapping detections are settled by
-interval containment: one that lies inside another goes, and of two equal intervals the one
-whose rule comes first stays.
+A rule is a hand-written regular expression over a text's lower-cased words, joined by single
+spaces (``license_signatures``). It is tried only on texts that contain its keywords. Overlapping
+detections are settled by interval containment and priority: one that lies inside another goes; of
+two equal intervals, and of two that overlap in part, the one whose rule comes first stays.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import with_id
+from martloom.llm.license_signatures import signatures
 
 #: Phrases that are always looked for, and their labels. Fixed values.
 BASE = {
@@ -29,165 +30,26 @@ BASE = {
     "mit license": "mit",
 }
 
-#: label: (keywords, any of which is needed; what the licence is called before its version; versions).
-#: Names have a group of alternatives where people write them in several ways.
-NAMES: dict[str, tuple[str, str, str]] = {
-    "gpl": ("gpl", r"(?:gnu )?gpl", r"(?:v ?)?[123](?: 0)?|v[123]"),
-    "gpl-long": ("gnu", r"gnu general public licen[cs]e", r"[123](?: 0)?|v[123]"),
-    "lgpl": ("lgpl", r"(?:gnu )?lgpl", r"[23](?: [01])?|v[23]"),
-    "lgpl-long": ("lesser", r"(?:gnu )?lesser general public licen[cs]e", r"[23](?: [01])?|v[23]"),
-    "lgpl-library": ("library", r"gnu library general public licen[cs]e", r"2(?: 0)?"),
-    "agpl": ("agpl", r"(?:gnu )?agpl", r"3(?: 0)?|v3"),
-    "agpl-long": ("affero", r"(?:gnu )?affero general public licen[cs]e", r"[13](?: 0)?|v3"),
-    "gfdl": ("documentation", r"gnu free documentation licen[cs]e", r"1 [123]"),
-    "apache": ("apache", r"apache(?: software)?", r"1 [01]|2(?: 0)?|v2"),
-    "asl": ("asl", r"asl", r"2 0"),
-    "mit": ("mit", r"(?:the )?mit(?: expat| x11)?", r"0"),
-    "mit-expat": ("expat", r"expat", r""),
-    "x11": ("x11", r"x11", r""),
-    "bsd-2-clause": ("bsd|freebsd", r"(?:simplified bsd|free ?bsd|bsd 2 clause|two clause bsd|2 clause bsd)", r""),
-    "bsd-3-clause": ("bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)", r""),
-    "bsd-4-clause": ("bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)", r""),
-    "bsd-0-clause": ("0bsd", r"0bsd", r""),
-    "bsd": ("bsd", r"bsd(?: style)?", r""),
-    "isc": ("isc", r"isc", r""),
-    "mpl": ("mpl", r"mpl", r"1 [01]|2(?: 0)?"),
-    "mpl-long": ("mozilla", r"mozilla public", r"1 [01]|2(?: 0)?"),
-    "epl": ("epl", r"epl", r"[12] 0"),
-    "epl-long": ("eclipse", r"eclipse public", r"[12] 0"),
-    "edl": ("eclipse", r"eclipse distribution", r"1 0"),
-    "eupl": ("european|eupl", r"(?:european union public|eupl)", r"1 [012]"),
-    "cddl": ("cddl", r"cddl", r"1 [01]"),
-    "cddl-long": ("distribution", r"common development and distribution", r"1 [01]"),
-    "cpl": ("common|cpl", r"(?:common public|cpl)", r"1 0"),
-    "ipl": ("ibm", r"ibm public", r"1 0"),
-    "osl": ("open|osl", r"(?:open software|osl)", r"[123] 0"),
-    "afl": ("academic|afl", r"(?:academic free|afl)", r"[123] [01]"),
-    "artistic": ("artistic", r"(?:perl )?artistic", r"[12](?: 0)?"),
-    "perl": ("perl", r"same terms as perl itself", r""),
-    "zlib": ("zlib", r"(?:zlib libpng|zlib)", r""),
-    "libpng": ("libpng", r"libpng", r"2(?: 0)?"),
-    "boost": ("boost", r"(?:boost software|boost)", r"1 0"),
-    "bsl": ("business", r"business source", r"1 [01]"),
-    "sspl": ("sspl", r"sspl", r"1|v1"),
-    "sspl-long": ("server", r"server side public", r"1|v1"),
-    "elastic": ("elastic", r"elastic", r"2(?: 0)?|v2"),
-    "unlicense": ("unlicense", r"(?:the )?unlicense", r""),
-    "wtfpl": ("wtfpl", r"wtfpl", r"2(?: 0)?"),
-    "python": ("python|psf", r"(?:python software foundation|psf|python)", r"2(?: 0)?"),
-    "php": ("php", r"php", r"3 0[01]?"),
-    "ruby": ("ruby", r"ruby", r""),
-    "openssl": ("openssl", r"openssl", r""),
-    "curl": ("curl", r"curl", r""),
-    "ncsa": ("illinois", r"(?:university of illinois(?: ncsa)?(?: open source)?)", r""),
-    "postgresql": ("postgresql", r"postgresql", r""),
-    "ofl": ("ofl", r"(?:sil )?ofl", r"1 [01]"),
-    "ofl-long": ("font", r"(?:sil )?open font", r"1 [01]"),
-    "lppl": ("latex", r"latex project public", r"1 3[ac]?"),
-    "odbl": ("database|odbl", r"(?:open (?:data commons open )?database|odbl)", r"1 0"),
-    "odc-by": ("commons|odc", r"(?:open data commons attribution|odc by)", r"1 0"),
-    "pddl": ("pddl|dedication", r"(?:public domain dedication and licen[cs]e|pddl)", r"1 0"),
-    "cc0": ("cc0", r"(?:creative commons )?cc0", r"1 0"),
-    "cc-zero": ("zero", r"creative commons zero", r"1 0"),
-    "cc-by": ("cc", r"cc by", r"[1234](?: [05])?"),
-    "cc-by-sa": ("sa", r"cc by sa", r"[1234](?: [05])?"),
-    "cc-by-nc": ("nc", r"cc by nc", r"[1234](?: [05])?"),
-    "cc-by-nd": ("nd", r"cc by nd", r"[1234](?: [05])?"),
-    "cc-by-nc-sa": ("nc", r"cc by nc sa", r"[1234](?: [05])?"),
-    "cc-by-nc-nd": ("nc", r"cc by nc nd", r"[1234](?: [05])?"),
-    "cc-by-long": ("creative", r"creative commons attribution", r"[1234](?: [05])?"),
-    "cc-by-sa-long": ("creative", r"creative commons attribution share ?alike", r"[1234](?: [05])?"),
-    "cc-by-nc-long": ("creative", r"creative commons attribution non ?commercial", r"[1234](?: [05])?"),
-    "cc-by-nd-long": ("creative", r"creative commons attribution no ?deriv(?:ative)?s?", r"[1234](?: [05])?"),
-    "ms-pl": ("microsoft|ms", r"(?:microsoft public|ms pl)", r""),
-    "ms-rl": ("microsoft|ms", r"(?:microsoft reciprocal|ms rl)", r""),
-    "apsl": ("apple|apsl", r"(?:apple public source|apsl)", r"[12](?: 0)?"),
-    "intel": ("intel", r"intel open source", r""),
-    "nasa": ("nasa", r"nasa open source", r"1 3"),
-    "qpl": ("q|qpl", r"(?:q public|qpl)", r"1 0"),
-    "sleepycat": ("sleepycat", r"sleepycat", r""),
-    "w3c": ("w3c", r"w3c(?: software)?(?: notice)?", r""),
-    "vim": ("vim", r"vim", r""),
-    "upl": ("universal|upl", r"(?:universal permissive|upl)", r"1 0"),
-    "blueoak": ("oak", r"blue oak model", r"1 0(?: 0)?"),
-    "llama": ("llama", r"llama(?: [23])?(?: community)?", r""),
-    "openrail": ("openrail|rail", r"(?:bigscience |creativeml )?open ?rail(?: m)?", r""),
-    "nosa": ("nosa", r"nosa", r"1 3"),
-    "hippocratic": ("hippocratic", r"hippocratic", r"[123] [01]"),
-    "json": ("json", r"json", r""),
-    "beerware": ("beerware|beer", r"beer ?ware", r""),
-    "cecill": ("cecill", r"cecill(?: [bc])?", r"[12] [01]"),
-    "mulan": ("mulan", r"mulan (?:psl|permissive software)", r"[12]|v2"),
-    "ecl": ("educational", r"educational community", r"[12] 0"),
-    "public-domain": ("domain", r"public domain", r""),
-}
-
-#: How a licence is granted or named: (name of the form, pattern around {n}ame and {v}ersion, certainty).
-FORMS: tuple[tuple[str, str, float], ...] = (
-    (
-        "grant",
-        r"(?:(?:dual )?licen[cs]ed|released|distributed|available|published|provided|redistributed)"
-        r"(?: under| by| with| according to)(?: the)?(?: terms(?: and conditions)? of)?(?: the)?"
-        r" {n}(?: licen[cs]e)?{v}",
-        0.95,
-    ),
-    ("tag", r"spdx licen[cs]e identifier {n}{v}(?: or later| only)?", 0.99),
-    ("field", r"licen[cs]e(?:s| is| type| name)? {n}{v}", 0.85),
-    ("title", r"{n} (?:public )?licen[cs]e{v}", 0.8),
-)
-
-#: Forms of words that name no licence but keep rights or give them up.
-NOTICES: tuple[tuple[str, str, str, float], ...] = (
-    ("all-rights-reserved", "reserved", r"all rights reserved", 0.6),
-    ("proprietary", "proprietary", r"(?:proprietary and confidential|proprietary licen[cs]e)", 0.7),
-    ("public-domain", "domain", r"(?:dedicated to|released into|in) the public domain", 0.7),
-    ("gpl", "gpl", r"either version [123] of the licen[cs]e or at your option any later version", 0.9),
-    ("mit", "sublicense", r"use copy modify merge publish distribute sublicense and or sell", 0.9),
-    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright", 0.9),
-    ("isc", "copy", r"permission to use copy modify and or distribute this software for any purpose", 0.9),
-    ("apache", "apache", r"www apache org licenses(?: license 2 0)?", 0.9),
-    ("gpl", "gnu", r"www gnu org licenses(?: gpl)?(?: [123] 0)?", 0.8),
-    ("cc-by", "creativecommons", r"creativecommons org licenses by [1234] [05]", 0.9),
-    ("cc-by-sa", "creativecommons", r"creativecommons org licenses by sa [1234] [05]", 0.9),
-    ("cc-by-nc", "creativecommons", r"creativecommons org licenses by nc [1234] [05]", 0.9),
-    ("cc0", "creativecommons", r"creativecommons org publicdomain zero 1 0", 0.9),
-)
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keywords: tuple[bytes, ...]
+    #: Sets of words; a text needs all of one set.
+    keywords: tuple[frozenset[bytes], ...]
     pattern: bytes
     certainty: float
 
 
 def rules() -> list[Rule]:
-    """All rules, the one that wins a tie first: base phrases, then forms by certainty."""
-    found = [(label, phrase.split()[0], phrase, 0.8) for phrase, label in BASE.items()]
-    for _, usual, certainty in sorted(FORMS, key=lambda x: -x[2]):
-        for label, (keyword, name, versions) in NAMES.items():
-            form = usual
-            # After a space, or joined to the name, whose keywords then end in it: gplv3, apache2.
-            version = rf"(?:(?:(?: version| v)? |v?)(?:{versions}))?" if versions else ""
-            digits = sorted(set(re.findall(r"\d", versions)))
-            endings = ("", *digits, *(f"v{x}" for x in digits))
-            keyword = "|".join(k + x for k in keyword.split("|") for x in endings)
-            if name.endswith("licen[cs]e"):  # it is not said twice
-                form = form.replace(" (?:public )?licen[cs]e", "")
-            pattern = form.replace("{n}", name).replace("{v}", version)
-            for ending in ("-long", "-library"):
-                label = label.removesuffix(ending)
-            found.append((label, keyword, pattern, certainty))
-    found += NOTICES
+    """All rules in the order of their priority, base phrases first."""
+    base = [(label, 0.8, phrase.replace(" ", "+"), phrase) for phrase, label in BASE.items()]
     return [
         Rule(
             label,
-            tuple(keyword.encode().split(b"|")),
-            rf"(?<= )(?:{pattern})(?= )".encode(),
+            tuple(frozenset(k.split(b"+")) for k in keywords.encode().split(b"|")),
+            f"(?<= )(?:{pattern})(?= )".encode(),
             certainty,
         )
-        for label, keyword, pattern, certainty in found
+        for label, certainty, keywords, pattern in [*base, *signatures()]
     ]
 
 
@@ -207,29 +69,59 @@ class Scan:
 
 
 def settle(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, rule) detections without those inside another or equal to an earlier rule's."""
-    found.sort(key=lambda x: (x[0], -x[1], x[2]))
+    """(start, end, rule) detections that are left once no two overlap.
+
+    Those inside no other one are looked at by priority, and kept if they overlap none that was kept.
+    What lay only inside a detection that had to go gets its turn then.
+    """
     kept: list[tuple[int, int, int]] = []
-    for one in found:
-        if not kept or one[1] > kept[-1][1]:
-            kept.append(one)
+    left = sorted(set(found), key=lambda x: (x[0], -x[1], x[2]))
+    while left:
+        outer = []
+        for one in left:
+            if not outer or one[1] > outer[-1][1]:
+                outer.append(one)
+        for one in sorted(outer, key=lambda x: (x[2], x[0])):
+            at = bisect_left(kept, one)
+            before, after = kept[at - 1 : at], kept[at : at + 1]
+            if not (before and before[0][1] > one[0]) and not (after and after[0][0] < one[1]):
+                kept.insert(at, one)
+        gone = set(outer)
+        left = [x for x in left if x not in gone and not _covered(kept, x)]
     return kept
 
 
+def _covered(kept: list[tuple[int, int, int]], one: tuple[int, int, int]) -> bool:
+    """Whether a detection overlaps any of those kept, which are in order and apart."""
+    at = bisect_left(kept, (one[1],))
+    return at > 0 and kept[at - 1][1] > one[0]
+
+
 class Scanner:
-    """The rules by keyword. A rule is compiled when a text first has its keyword."""
+    """The rules by keyword. A rule is compiled when a text first has its keywords."""
 
     def __init__(self) -> None:
         self.rules = rules()
         self.compiled: dict[int, re.Pattern[bytes]] = {}
-        self.by_keyword: dict[bytes, list[int]] = {}
+        #: Of each set of keywords the longest word leads to the set and its rule.
+        self.by_keyword: dict[bytes, list[tuple[frozenset[bytes], int]]] = {}
         for k, rule in enumerate(self.rules):
-            for keyword in rule.keywords:
-                self.by_keyword.setdefault(keyword, []).append(k)
+            for keywords in rule.keywords:
+                first = max(keywords, key=lambda w: (len(w), w))
+                self.by_keyword.setdefault(first, []).append((keywords, k))
+
+    def gated(self, words: set[bytes]) -> set[int]:
+        """The rules whose keywords are among a text's words."""
+        return {
+            k
+            for w in self.by_keyword.keys() & words
+            for keywords, k in self.by_keyword[w]
+            if keywords <= words
+        }
 
     def _detections(self, line: bytes, words: list[bytes]) -> list[tuple[int, int, int]]:
         found = []
-        for k in {k for w in self.by_keyword.keys() & set(words) for k in self.by_keyword[w]}:
+        for k in self.gated(set(words)):
             if k not in self.compiled:
                 self.compiled[k] = re.compile(self.rules[k].pattern)
             found += [(m.start(), m.end(), k) for m in self.compiled[k].finditer(line)]
