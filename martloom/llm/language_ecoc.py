@@ -16,9 +16,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import SLICE, byte_view, hash_place, lower_ascii, rarely, with_id
+from martloom.llm.common import (
+    SLICE,
+    byte_view,
+    hash_place,
+    lower_ascii,
+    rarely,
+    stored,
+    with_id,
+)
 
 BUCKET_BITS = 14
+#: Texts that are laid out as a table of all their buckets at once.
+BLOCK_TEXTS = 512
 UNDETERMINED = "und"
 
 
@@ -71,17 +81,27 @@ def _most_alike(code: np.ndarray, block: int = 1024) -> int:
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bucket shares of each sampled text as two packed arrays."""
+    """Bucket shares of each sampled text as two packed arrays, and how many buckets it has."""
     for batch in batches:
-        data, starts = byte_view(batch.column(1))
+        data, starts = byte_view(batch.column(2))
         ids, shares = [], []
         for a, b in zip(starts[:-1], starts[1:], strict=True):
-            found, n = np.unique(trigram_buckets(data[a:b]), return_counts=True)
+            n = np.zeros(1 << BUCKET_BITS, np.int64)
+            for at in range(int(a), int(b), SLICE):
+                some = trigram_buckets(data[at : min(at + SLICE + 2, int(b))])
+                n += np.bincount(some, minlength=len(n))
+            found = np.flatnonzero(n)
+            n = n[found]
             ids.append(found.astype("<i4").tobytes())
             shares.append((n / max(1, n.sum())).astype("<f4").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(ids, pa.binary()), pa.array(shares, pa.binary())],
-            names=["lang", "ids", "shares"],
+            [
+                *batch.columns[:2],
+                pa.array(ids, pa.binary()),
+                pa.array(shares, pa.binary()),
+                pa.array([len(x) // 4 for x in ids], pa.int64()),
+            ],
+            names=["place", "lang", "ids", "shares", "n"],
         )
 
 
@@ -93,16 +113,21 @@ def train_language_model(
     *,
     per_language: int = 400,
     most_texts: int = 80_000,
+    most_buckets: int = 1 << 24,
     rounds: int = 80,
     margin: float = 0.05,
 ) -> LanguageModel:
     """Fit the bit classifiers on every value of ``lang``.
 
     Each gets at most ``per_language`` texts, or, of many languages, an equal part of
-    ``most_texts`` and one text at least. The sample is the rows with the smallest hashes of their
-    id, so it does not depend on how the table is partitioned; of an id's several texts in a
-    language the first in order is taken. Rows without text, language or id are not used. No
-    usable row: a model of no language, which calls every text undetermined.
+    ``most_texts`` and one text at least. Of long texts it gets fewer: the first whose buckets, eight
+    bytes each, are together an equal part of ``most_buckets``, and one at least. The sample is the rows
+    with the smallest hashes of their id, so it does not depend on how the table is partitioned; of
+    an id's several texts in a language the first in order is taken. Rows without text, language or
+    id are not used. No usable row: a model of no language, which calls every text undetermined.
+
+    The classifiers are fitted on the driver, in time that goes with the sample's buckets, the bits
+    (ten times the logarithm of the number of languages) and ``rounds``, not with the corpus.
     """
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
@@ -120,17 +145,24 @@ def train_language_model(
         .distinct()
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= per_language)
-        .select("id", "lang")
     )
     # At most per_language rows for each language, and most_texts or one for each in all.
-    sample = (
-        rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
-        .groupBy("id", "lang")
+    packed = stored(
+        rows.join(F.broadcast(chosen), ["id", "lang"])
+        .groupBy("id", "lang", "place")
         .agg(F.min("text").alias("text"))
-        .select("lang", "text")
-        .mapInArrow(_sparse, "lang string, ids binary, shares binary")
-        .collect()
+        .select("place", "lang", "text")
+        .mapInArrow(_sparse, "place int, lang string, ids binary, shares binary, n long"),
+        "sample",
+    )
+    each = most_buckets // max(1, counts.count())
+    so_far = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    few = (
+        packed.select("lang", "place", F.sum("n").over(so_far).alias("so_far"))
+        .where((F.col("so_far") <= each) | (F.col("place") == 1))
+        .select("lang", "place")
     )
+    sample = packed.join(F.broadcast(few), ["lang", "place"]).select("lang", "ids", "shares").collect()
     sample.sort(key=lambda r: (r.lang, r.ids, r.shares))
     languages = tuple(sorted({r.lang for r in sample}))
     code = codewords(len(languages)) if languages else np.zeros((0, 1), np.int8)
@@ -139,7 +171,9 @@ def train_language_model(
     ids = [np.frombuffer(r.ids, "<i4") for r in sample]
     shares = [np.frombuffer(r.shares, "<f4") for r in sample]
     weights, bias = _fit(ids, shares, code[which].astype(np.float64), rounds)
-    outputs = np.array([weights[i].T @ v + bias for i, v in zip(ids, shares, strict=True)])
+    outputs = np.array(
+        [v.astype(np.float64) @ weights[i] + bias for i, v in zip(ids, shares, strict=True)]
+    )
     trust = np.ones(code.shape)
     for k in range(len(languages)):
         right = (np.sign(outputs[which == k]) == code[k]).mean(0)
@@ -148,31 +182,44 @@ def train_language_model(
     return LanguageModel(languages, code, trust, weights.astype(np.float32), bias, margin)
 
 
-def _fit(ids, shares, target, rounds):
-    """Logistic regression of every bit at once by accelerated gradient steps."""
+def _fit(
+    ids: list[np.ndarray], shares: list[np.ndarray], target: np.ndarray, rounds: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Logistic regression of every bit at once by accelerated gradient steps.
+
+    Texts are laid out block by block as rows over all used buckets, so that a step is two products
+    of matrices whatever the number of bits.
+    """
     weights = np.zeros((1 << BUCKET_BITS, target.shape[1]))
     bias = np.zeros(target.shape[1])
     if not len(ids):
         return weights, bias
     lengths = np.array([len(i) for i in ids])
-    flat, value = np.concatenate(ids), np.concatenate(shares).astype(np.float64)
+    flat, value = np.concatenate(ids), np.concatenate(shares)
     idf = np.sqrt(len(ids) / (1 + np.bincount(flat, minlength=len(weights))))
-    row = np.repeat(np.arange(len(ids)), lengths)
-    value = value * idf[flat] * 10
+    value = (value * (idf[flat] * 10)).astype(np.float32)
     used, flat = np.unique(flat, return_inverse=True)
-    w = np.zeros((len(used), target.shape[1]))
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    table = np.zeros((min(BLOCK_TEXTS, len(ids)), len(used)), np.float32)
+    w = np.zeros((len(used), target.shape[1]), np.float32)
     ahead, ahead_bias, step = w, bias, 4.0
     for k in range(rounds):
-        out = np.stack(
-            [np.bincount(row, value * ahead[flat, j], len(ids)) for j in range(target.shape[1])], 1
-        )
-        miss = -target / (1 + np.exp(np.clip(target * (out + ahead_bias), -30, 30))) / len(ids)
-        slope = np.stack(
-            [np.bincount(flat, value * miss[row, j], len(used)) for j in range(target.shape[1])], 1
-        )
-        new, new_bias = ahead - step * (slope + 1e-5 * ahead), ahead_bias - step * miss.sum(0)
+        slope, slope_bias = 1e-5 * ahead, np.zeros(len(bias))
+        for at in range(0, len(ids), BLOCK_TEXTS):
+            texts = slice(at, min(at + BLOCK_TEXTS, len(ids)))
+            some = slice(ends[texts.start], ends[texts.stop])
+            spots = np.repeat(np.arange(texts.stop - at), lengths[texts]), flat[some]
+            table[spots] = value[some]
+            rows, wanted = table[: texts.stop - at], target[texts]
+            out = rows @ ahead + ahead_bias
+            miss = -wanted / (1 + np.exp(np.clip(wanted * out, -30, 30))) / len(ids)
+            slope += rows.T @ miss.astype(np.float32)
+            slope_bias += miss.sum(0)
+            table[spots] = 0
+        new, new_bias = ahead - np.float32(step) * slope, ahead_bias - step * slope_bias
         push = k / (k + 3)
-        ahead, ahead_bias = new + push * (new - w), new_bias + push * (new_bias - bias)
+        ahead = new + np.float32(push) * (new - w)
+        ahead_bias = new_bias + push * (new_bias - bias)
         w, bias = new, new_bias
     weights[used] = w * (idf[used] * 10)[:, None]
     return weights, bias

@@ -6,6 +6,10 @@ over hashed words and word beginnings minimises the class-prior-corrected risk
     prior * R(positive as toxic) + max(0, R(unlabelled as clean) - prior * R(positive as clean))
 
 whose second term, the risk on the clean texts, is kept from going below zero.
+
+Features that say a text is clean are left to the bias: weights are kept from going below zero
+too. With the few features that pass the screen a text is toxic for what is in it, never clean
+for what is in it besides.
 """
 
 from __future__ import annotations
@@ -21,19 +25,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.common import (
+    SLICE,
     SpanHasher,
     byte_view,
     hash_place,
     lower_ascii,
     rarely,
     runs,
-    slices,
+    stored,
     with_id,
+    word_slices,
 )
 
 BUCKET_BITS = 22
 #: A word's first so many bytes are features beside the whole word.
 BEGINNINGS = (4, 5, 6, 7)
+#: Bytes of words: ASCII letters and all of other characters.
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 
 @dataclass(frozen=True)
@@ -47,13 +56,13 @@ class ToxicityModel:
 def text_features(
     data: np.ndarray, starts: np.ndarray, hasher: SpanHasher
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text number, bucket, word hash or 0) of every word and word beginning, some texts at a time."""
+    """(text number, bucket, word hash or 0) of every word and word beginning, some words at a time."""
     shift = np.uint64(64 - BUCKET_BITS)
-    for first, last in slices(starts):
-        x = lower_ascii(data[starts[first] : starts[last]])
-        letter = ((x >= 97) & (x <= 122)) | (x >= 128)
-        begins, ends = runs(letter, starts[first : last + 1] - starts[first])
-        text = np.searchsorted(starts, begins + starts[first], "right") - 1
+    for first, edges, _ in word_slices(data, starts, _LETTER, 0, SLICE):
+        a = int(edges[0])
+        x = lower_ascii(data[a : int(edges[-1])])
+        begins, ends = runs(_LETTER[x], edges - a)
+        text = first + np.searchsorted(edges - a, begins, "right") - 1
         sums = hasher.sums(x)
         whole = hasher.spans(sums, begins, ends)
         yield text, (whole >> shift).astype(np.int64), whole
@@ -76,7 +85,8 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 buckets.append(bucket)
                 if len(word) > 1 and word[0]:
                     pairs = (word[:-1] * np.uint64(3) + word[1:]) * np.uint64(0x9E3779B97F4A7C15)
-                    least = int(pairs.min() >> np.uint64(1))
+                    low = int(pairs.min() >> np.uint64(1))
+                    least = min(least, low) if least else low
             packed.append(np.unique(np.concatenate(buckets)).astype("<i4").tobytes())
             likeness.append(least)
         yield pa.RecordBatch.from_arrays(
@@ -90,7 +100,10 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(sample: list, wanted: set) -> list[np.ndarray]:
-    """Bucket arrays of the wanted rows, one for each group of texts that share a min-hash."""
+    """Bucket arrays of the wanted rows, one for each group of texts that share a min-hash.
+
+    Copies of a text would count as so many independent witnesses of its words.
+    """
     seen, out = set(), []
     for r in sample:
         key = r.likeness or r.buckets
@@ -100,6 +113,18 @@ def _rows(sample: list, wanted: set) -> list[np.ndarray]:
     return out
 
 
+def _first_of(sizes: list, wanted: set, most: int) -> set:
+    """Of the wanted ids the first that have ``most`` features in all, and one at least."""
+    out, total = set(), 0
+    for r in sizes:
+        if r.id in wanted:
+            total += r.n
+            if out and total > most:
+                break
+            out.add(r.id)
+    return out
+
+
 def train_toxicity(
     docs: DataFrame,
     positives: DataFrame,
@@ -109,10 +134,15 @@ def train_toxicity(
     *,
     most_positive: int = 4000,
     most_unlabelled: int = 8000,
+    most_features: int = 1 << 25,
     rounds: int = 500,
 ) -> ToxicityModel:
     """Fit on at most ``most_positive`` toxic texts and ``most_unlabelled`` texts of any kind.
 
+    Of long texts it is fewer: of either sample the first whose distinct features, four bytes each, are
+    together ``most_features`` at most, and one text at least. Of texts in a sample that share the
+    smallest hash of their pairs of neighbouring words, as copies do, only one is learned from.
+
     ``positives`` has the ids (column ``id_col``) of confirmed toxic texts; ``prior`` is the share of
     toxic texts among all. Both samples are the rows with the smallest hashes of their ids, so
     they do not depend on partitions; of a repeated id's texts the first in order is taken. Without
@@ -133,17 +163,53 @@ def train_toxicity(
     chosen = docs.sparkSession.createDataFrame(
         [(x,) for x in sorted(p | u)], T.StructType([rows.schema["id"]])
     )
-    sample = (
+    packed = stored(
         rows.join(F.broadcast(chosen), "id", "left_semi")
         .groupBy("id")
         .agg(F.min("text").alias("text"))
-        .mapInArrow(_sample, with_id(rows, "id", "buckets binary, likeness long"))
-        .collect()
+        .mapInArrow(_sample, with_id(rows, "id", "buckets binary, likeness long")),
+        "sample",
+    )
+    sizes = packed.select("id", (F.octet_length("buckets") / 4).cast("long").alias("n"), hash_place("id").alias("h"))
+    sizes = sorted(sizes.collect(), key=lambda r: (r.h, r.id))
+    p, u = (_first_of(sizes, some, most_features) for some in (p, u))
+    wanted = docs.sparkSession.createDataFrame(
+        [(x,) for x in sorted(p | u)], T.StructType([rows.schema["id"]])
     )
+    sample = packed.join(F.broadcast(wanted), "id", "left_semi").collect()
     sample.sort(key=lambda r: (r.id, r.buckets))
     return fit(_rows(sample, p), _rows(sample, u), prior, rounds)
 
 
+def nn_gradient(
+    w: np.ndarray,
+    bias: float,
+    positive: tuple[np.ndarray, np.ndarray],
+    unlabelled: tuple[np.ndarray, np.ndarray],
+    n_p: int,
+    n_u: int,
+    prior: float,
+) -> tuple[np.ndarray, float, float]:
+    """The step's direction for weights and bias, and the risk on clean texts.
+
+    ``positive`` and ``unlabelled`` are (text, feature) pairs. While the risk on clean texts is not below
+    zero the direction is the gradient of the whole risk, else that of this part, uphill.
+    """
+    (row_p, col_p), (row_u, col_u) = positive, unlabelled
+    out_p = np.bincount(row_p, w[col_p], n_p) + bias
+    out_u = np.bincount(row_u, w[col_u], n_u) + bias
+    s_p, s_u = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (out_p, out_u))
+    clean_risk = np.logaddexp(0, out_u).mean() - prior * np.logaddexp(0, out_p).mean()
+    g_up = prior * (s_p - 1) / n_p
+    g_neg_p, g_neg_u = -prior * s_p / n_p, s_u / n_u
+    if clean_risk >= 0:
+        g_p, g_u = g_up + g_neg_p, g_neg_u
+    else:
+        g_p, g_u = -g_neg_p, -g_neg_u
+    slope = np.bincount(col_p, g_p[row_p], len(w)) + np.bincount(col_u, g_u[row_u], len(w))
+    return slope, float(g_p.sum() + g_u.sum()), float(clean_risk)
+
+
 def fit(
     positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 500
 ) -> ToxicityModel:
@@ -178,37 +244,30 @@ def fit(
     w, bias = np.zeros(len(buckets)), float(np.log(prior / (1 - prior)))
     speed, speed_bias = np.zeros(len(buckets)), 0.0
 
-    def sigmoid(x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
     for _ in range(rounds):
-        out_p = np.bincount(row_p, w[col_p], len(positive)) + bias
-        out_u = np.bincount(row_u, w[col_u], len(unlabelled)) + bias
-        s_p, s_u = sigmoid(out_p), sigmoid(out_u)
-        clean_risk = np.logaddexp(0, out_u).mean() - prior * np.logaddexp(0, out_p).mean()
-        g_up = prior * (s_p - 1) / len(positive)
-        g_neg_p, g_neg_u = -prior * s_p / len(positive), s_u / len(unlabelled)
-        if clean_risk >= 0:
-            g_p, g_u = g_up + g_neg_p, g_neg_u
-        else:  # back off the part that went below zero
-            g_p, g_u = -g_neg_p, -g_neg_u
-        slope = np.bincount(col_p, g_p[row_p], len(w)) + np.bincount(col_u, g_u[row_u], len(w))
+        slope, slope_bias, _ = nn_gradient(
+            w, bias, (row_p, col_p), (row_u, col_u), len(positive), len(unlabelled), prior
+        )
         speed = 0.9 * speed - 6.0 * (slope + 2e-5 * w)
-        speed_bias = 0.9 * speed_bias - 0.2 * (g_p.sum() + g_u.sum())
+        speed_bias = 0.9 * speed_bias - 0.2 * slope_bias
         w, bias = np.maximum(w + speed, 0), bias + speed_bias
     return ToxicityModel(buckets, w, bias, prior)
 
 
-def scores(data: np.ndarray, starts: np.ndarray, model: ToxicityModel, hasher: SpanHasher):
+def scores(
+    data: np.ndarray, starts: np.ndarray, model: ToxicityModel, hasher: SpanHasher
+) -> np.ndarray:
     """The chance that each text is toxic; each feature counts once a text."""
-    total = np.full(len(starts) - 1, model.bias)
+    n = len(starts) - 1
     known = np.zeros(1 << BUCKET_BITS, bool)
     known[model.buckets] = True
+    found = [np.zeros(0, np.int64)]
     for text, bucket, _ in text_features(data, starts, hasher):
         hit = known[bucket]
-        pairs = np.unique(text[hit] << BUCKET_BITS | bucket[hit])
-        weight = model.weights[np.searchsorted(model.buckets, pairs & ((1 << BUCKET_BITS) - 1))]
-        total += np.bincount(pairs >> BUCKET_BITS, weight, len(total))
+        found.append(np.unique(text[hit] << BUCKET_BITS | bucket[hit]))
+    pairs = np.unique(np.concatenate(found))
+    weight = model.weights[np.searchsorted(model.buckets, pairs & ((1 << BUCKET_BITS) - 1))]
+    total = model.bias + np.bincount(pairs >> BUCKET_BITS, weight, n)
     return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
