@@ -166,6 +166,26 @@ def recover_mart(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def break_off_swap(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Do what a publisher of ``df`` has done that dies between its two moves: a rehearsal."""
+    staging, previous = (f"{path.rstrip('/')}.{x}-{uuid.uuid4().hex}" for x in ("staging", "previous"))
+    df.write.parquet(staging)
+    _begin_swap(spark, path, previous, staging)
+    files, target = _files(spark, path)
+    _move(files, target, _files(spark, previous)[1])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of the data files of a parquet folder."""
+    files, folder = _files(spark, path)
+    return [s.getLen() for s in _listed(files, folder) if s.getPath().getName().startswith("part-")]
+
+
 def _age(files: JavaObject, path: JavaObject) -> float:
     """Seconds since a file was written; 0 if it has gone meanwhile."""
     try:
@@ -272,14 +292,14 @@ def _write(
     wide = f"{base}/_{name}-wide"
     try:
         df.write.parquet(wide)
-        files, folder = _files(spark, wide)
-        sizes = [s.getLen() for s in _listed(files, folder) if s.getPath().getName().startswith("part-")]
+        sizes = file_sizes(spark, wide)
         n = len(sizes)
         if file_bytes and any(not file_bytes / 2 <= x <= 2 * file_bytes for x in sizes):
             n = max(1, round(sum(sizes) / file_bytes))
         if num_files is not None:
             n = min(n, num_files)
         if n == len(sizes):
+            files, folder = _files(spark, wide)
             _move(files, folder, _files(spark, path)[1])
         else:
             _merged(spark.read.schema(df.schema).parquet(wide), n, sort).write.parquet(path)

@@ -26,7 +26,20 @@ from martloom.operators.quality import (
     parse_typed,
     validate_rules,
 )
-from martloom.operators.sinks import register_mart, report_path, scratch_dir, write_mart
+from martloom.operators.sinks import (
+    break_off_swap,
+    file_sizes,
+    path_exists,
+    recover_mart,
+    register_mart,
+    release_run,
+    remove_old_runs,
+    report_path,
+    scratch_dir,
+    table_location,
+    write_mart,
+    write_run,
+)
 from martloom.plans.marts import MARTS, mart_lineitems_core
 from martloom.sources.tables import read_table, table_path
 from martloom.sources.testdata import load
@@ -52,6 +65,7 @@ def catalogue() -> dict[str, Query]:
         "agg_count": agg_count,
         "agg_sum": agg_sum,
         "agg_sum_scale4": agg_sum_scale4,
+        "agg_sum_doubles": agg_sum_doubles,
         "agg_sum_int": agg_sum_int,
         "agg_conditional_count": agg_conditional_count,
         "agg_avg_mean": agg_avg_mean,
@@ -65,7 +79,10 @@ def catalogue() -> dict[str, Query]:
         "mart_lineitems_core": lineitems_core,
         "sink_overwrite_roundtrip": sink_overwrite_roundtrip,
         "sink_coalesce_roundtrip": sink_coalesce_roundtrip,
+        "sink_sized_roundtrip": sink_sized_roundtrip,
+        "sink_recovered_roundtrip": sink_recovered_roundtrip,
         **{f"serve_{m}": partial(serve, name=m) for m in MARTS},
+        "serve_repointed": serve_repointed,
         "validate_rules": lineitem_rules,
         "parse_typed": url_numbers,
         "parse_rejects": url_rejects,
@@ -216,6 +233,29 @@ def agg_sum_scale4(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def agg_sum_doubles(spark: SparkSession, base: str) -> DataFrame:
+    """Net prices as plain doubles with all their bits, in rows dealt out by a hash of their own.
+
+    The sums are those of the exact values; rounded to whole cents, so that an engine whose sums
+    depend on the order agrees.
+    """
+    net = Measure("net")
+    lines = read_table(spark, base, "lineitem").select(
+        "l_returnflag",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("net"),
+    )
+    return (
+        lines.repartition(7, F.xxhash64("net"))
+        .groupBy("l_returnflag")
+        .agg(*net.first())
+        .select(
+            "l_returnflag",
+            F.round(net.total, 2).alias("sum_net"),
+            F.round(net.average, 2).alias("avg_net"),
+        )
+    )
+
+
 def agg_sum_int(spark: SparkSession, base: str) -> DataFrame:
     part = read_table(spark, base, "part")
     return part.groupBy("p_type").agg(F.sum("p_size").alias("total_size"))
@@ -306,6 +346,52 @@ def sink_coalesce_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     return written.withColumn("n_files", files)
 
 
+def sink_sized_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Lines from many small tasks in files of half a MB, and whether all are near that size.
+
+    Their keys are in order, within files and from file to file.
+    """
+    target, size = f"{scratch_dir(spark)}/lines", 1 << 19
+    lines = read_table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    order = ("l_orderkey", "l_linenumber", "l_extendedprice")
+    write_mart(
+        lines.repartitionByRange(40, *order).sortWithinPartitions(*order),
+        target,
+        file_bytes=size,
+        inputs=[base],
+    )
+    sizes = file_sizes(spark, target)
+    fit = len(sizes) == 1 or all(size / 2 <= x <= 2 * size for x in sizes)
+    return spark.read.parquet(target).withColumn("files_fit", F.lit(int(fit)).cast("long"))
+
+
+def sink_recovered_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """The suppliers mart after a publisher died in the middle of replacing it, and whether it was."""
+    target = report_path(scratch_dir(spark), "suppliers")
+    write_mart(mart(spark, base, "suppliers"), target, inputs=[base])
+    break_off_swap(spark, mart(spark, base, "suppliers").limit(1), target)
+    recovered = recover_mart(spark, target)
+    return spark.read.parquet(target).withColumn("recovered", F.lit(int(recovered)).cast("long"))
+
+
+def serve_repointed(spark: SparkSession, base: str) -> DataFrame:
+    """The orders mart, served in place of an older run of it, which is gone."""
+    folder = scratch_dir(spark)
+    path, table = report_path(folder, "orders"), f"repointed_{folder.rsplit('/', 1)[-1]}"
+    built = mart(spark, base, "orders")
+    runs = []
+    for rows in (built.limit(7), built):
+        runs.append(write_run(rows, path, inputs=[base]))
+        register_mart(spark, "orders", runs[-1], table)
+        release_run(spark, runs[-1])
+        remove_old_runs(spark, path, runs[-1], table=table)
+    return spark.table(table).select(
+        *CONTRACTS["orders"].names,
+        F.lit(int(table_location(spark, table).endswith(runs[1]))).cast("long").alias("repointed"),
+        F.lit(int(not path_exists(spark, runs[0]))).cast("long").alias("old_run_removed"),
+    )
+
+
 def serve(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A mart written, registered as an external table and read from the catalog."""
     folder = scratch_dir(spark)

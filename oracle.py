@@ -170,6 +170,11 @@ SELECT l_returnflag, CAST(sum(
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) AS DECIMAL(18,4))
   ) AS DOUBLE) AS sum_amount
 FROM lineitem GROUP BY l_returnflag""",
+        "agg_sum_doubles": """
+SELECT l_returnflag, round(fsum(net), 2) AS sum_net, round(fsum(net) / count(net), 2) AS avg_net
+FROM (SELECT l_returnflag, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS net FROM lineitem)
+GROUP BY l_returnflag
+""",
         "agg_sum_int": """
 SELECT p_type, CAST(sum(p_size) AS BIGINT) AS total_size FROM part GROUP BY p_type""",
         "agg_conditional_count": """
@@ -203,7 +208,14 @@ FROM orders""",
         "mart_lineitems_core": MART_LINEITEMS_CORE,
         "sink_overwrite_roundtrip": MART_ORDERS,
         "sink_coalesce_roundtrip": f"SELECT *, CAST(4 AS BIGINT) AS n_files FROM ({MART_ORDERS})",
+        "sink_sized_roundtrip": """
+SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(1 AS BIGINT) AS files_fit FROM lineitem
+""",
+        "sink_recovered_roundtrip": f"SELECT *, CAST(1 AS BIGINT) AS recovered FROM ({MART_SUPPLIERS})",
         **{f"serve_{name}": sql for name, sql in MARTS.items()},
+        "serve_repointed": f"""
+SELECT *, CAST(1 AS BIGINT) AS repointed, CAST(1 AS BIGINT) AS old_run_removed FROM ({MART_ORDERS})
+""",
         "validate_rules": f"""
 WITH lineitem AS ({DAMAGED_LINES})
 SELECT 'lineitem_key_null' AS rule, count(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM lineitem

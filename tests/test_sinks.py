@@ -620,3 +620,29 @@ def test_merged_files_are_sorted_inside_if_asked(spark, out):
     shutil.rmtree(out)
     empty = write_run(df.limit(0), out, num_files=2, file_bytes=100)
     assert spark.read.schema(df.schema).parquet(empty).count() == 0
+
+
+@pytest.mark.parametrize("layout", ["runs", "flat"])
+def test_publishing_through_a_file_system_that_is_not_local(spark, tmp_path, layout):
+    """Paths that only Hadoop's file systems can resolve, as in an object store."""
+    (tmp_path / "marts").mkdir()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    lake = f"lake{layout}"
+    conf.set(f"fs.viewfs.mounttable.{lake}.link./raw", f"file://{SMALL}")
+    conf.set(f"fs.viewfs.mounttable.{lake}.link./marts", f"file://{tmp_path}/marts")
+    options = {"load": load, "database": "default", "layout": layout, "retain_seconds": 0}
+    names = ["suppliers", "orders"]
+    for _ in range(3):
+        statuses = run_marts(spark, f"viewfs://{lake}/raw", f"viewfs://{lake}/marts", marts=names, **options)
+        assert [s.error for s in statuses] == [None, None]
+    for status in statuses:
+        assert status.path.startswith(f"viewfs://{lake}/marts/{status.mart}_report")
+        expected = mart(spark, SMALL, status.mart)
+        assert spark.table(status.table).count() == expected.count()
+        assert table_location(spark, status.table) == status.path
+    if layout == "runs":
+        assert len(list((tmp_path / "marts" / "orders_report").glob("run-*"))) == 1
+    with pytest.raises(ValueError, match="overlaps"):
+        write_mart(spark.range(1), f"viewfs://{lake}/raw/orders.parquet", inputs=[f"viewfs://{lake}/raw"])
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
