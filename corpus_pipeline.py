@@ -73,9 +73,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the words of passages that occur elsewhere too."""
+    """All documents, without the words of passages that occur elsewhere too.
+
+    The other words keep the white space that follows them, line breaks and indentation too; what
+    stands ahead of a changed document's first word goes.
+    """
     rows = docs.select(_row(docs).alias("row"), F.col("doc_id"), F.col("text"))
-    cleaned = remove_repeated_windows(rows)
+    cleaned = remove_repeated_windows(rows, keep_space=True)
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept")).otherwise(F.col("doc.row.text"))
     n_chars = F.when(changed, F.length("kept").cast("long")).otherwise(F.col("doc.row.n_chars"))
