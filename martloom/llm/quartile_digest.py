@@ -189,11 +189,17 @@ def digest_documents(
     most two a task, are joined to finish the rows where tasks meet.
     """
     spark = docs.sparkSession
-    order = [F.col("id").desc_nulls_last(), F.xxhash64("text")]
+    # Rows that are alike differ in the number they were read with, so that many tasks can share them.
+    order = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("read")]
     walked = stored(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        docs.select(
+            F.col(id_col).alias("id"),
+            F.col(text_col).alias("text"),
+            F.monotonically_increasing_id().alias("read"),
+        )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .select("id", "text")
         .mapInArrow(_walk, with_id(docs, id_col, f"{RESULT}, part int, edge string, text string")),
         "digests",
     )

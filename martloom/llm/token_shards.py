@@ -85,10 +85,15 @@ def write_token_shards(
     NULL text is empty: the end id alone. NULL ids come first, and rows that share an id follow
     each other by their text's hash. No rows make an empty table. Other columns are not kept.
     """
-    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
-    docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartitionByRange(
-        *order
-    ).sortWithinPartitions(*order).mapInArrow(
+    # Rows that are alike differ in the number they were read with, so that many tasks can share them.
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text"), F.col("read")]
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.col(text_col).alias("text"),
+        F.monotonically_increasing_id().alias("read"),
+    )
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    dealt.mapInArrow(
         partial(_shards, vocabulary=vocabulary, end_id=end_id),
         T.StructType(
             [

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -10,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.llm import multiprobe_ann, quartile_digest
-from martloom.llm.common import byte_view
+from martloom.llm.chunk_encoder import byte_bpe
+from martloom.llm.common import byte_view, scratch_dir
 from martloom.llm.license_rules import BASE, Scanner, rules, scan_licenses, settle
 from martloom.llm.multiprobe_ann import Settings, Tables, nearest_neighbours, probe_order
 from martloom.llm.quartile_digest import (
@@ -23,6 +25,7 @@ from martloom.llm.quartile_digest import (
     likeness,
 )
 from martloom.llm.queries import queries
+from martloom.llm.token_shards import read_token_shards, write_token_shards
 from tests.conftest import SF_DIR
 from tests.llm.data import edge_docs, empty_docs, texts
 
@@ -420,6 +423,63 @@ def test_counts_do_not_depend_on_slices(monkeypatch):
     assert (bucket_counts(data, starts) == whole).all()
 
 
+def digest_by_hand(text: str) -> list[int]:
+    """The digest as it is described, triplet by triplet and bucket by bucket."""
+    raw = text.encode()
+    counts = [0] * BUCKETS
+    for k in range(len(raw) - 3):
+        for a, b, c, odd in quartile_digest.TRIPLETS:
+            key = raw[k + a] << 16 | raw[k + b] << 8 | raw[k + c]
+            counts[key * (odd * 65537 + 2) % (1 << 32) >> 24] += 1
+    ordered = sorted(counts)
+    q1, q2, q3 = (ordered[BUCKETS * k // 4 - 1] for k in (1, 2, 3))
+    quartiles = [(c > q1) + (c > q2) + (c > q3) for c in counts]
+    packed = [
+        sum(quartiles[4 * k + j] << 2 * j for j in range(4)) for k in range(BUCKETS // 4)
+    ]
+    mix = sum(c * (k + 1) for k, c in enumerate(counts)) + 31 * len(raw)
+    length = min(255, math.floor(12 * math.log2(1 + len(raw))))
+    return [mix % 251, length, q1 * 15 // max(1, q3) << 4 | q2 * 15 // max(1, q3), *packed]
+
+
+def difference_by_hand(a: list[int], b: list[int]) -> int:
+    total = int(a[0] != b[0]) + 2 * max(0, abs(a[1] - b[1]) - 1)
+    for shift in (0, 4):
+        total += 4 * max(0, abs((a[2] >> shift & 15) - (b[2] >> shift & 15)) - 1)
+    for x, y in zip(a[3:], b[3:], strict=True):
+        for shift in (0, 2, 4, 6):
+            apart = abs((x >> shift & 3) - (y >> shift & 3))
+            total += 6 if apart == 3 else apart
+    return min(total, FARTHEST)
+
+
+def test_digests_and_differences_equal_their_description():
+    some = [t or "" for i, t in texts() if i != 12] + ["é" * 30, "abcabcabd" * 99, "a", "abcd"]
+    found = digests(*byte_view(pa.array(some)))
+    by_hand = [digest_by_hand(t) for t in some]
+    assert found.tolist() == by_hand
+    for k in range(len(some)):
+        got = difference(found, np.roll(found, k, axis=0)).tolist()
+        assert got == [difference_by_hand(by_hand[j], by_hand[j - k]) for j in range(len(some))]
+
+
+def test_a_third_of_the_rows_may_be_alike(spark):
+    """They are dealt to several tasks, and each is the next document of another."""
+    same = "one and the same text, many times " * 4
+    docs = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1500 ELSE id END AS doc_id",
+        f"CASE WHEN id % 3 = 0 THEN '{same}' ELSE concat('text ', id, repeat(' word', id % 7)) END AS text",
+    )
+    rows = digest_documents(docs).where("doc_id = 1500").collect()
+    assert len(rows) == 1000
+    assert sum(r.near_next == 1.0 for r in rows) == 999
+    path = f"{scratch_dir(spark)}/alike"
+    write_token_shards(docs, path, byte_bpe(), end_id=2)
+    parts = spark.read.parquet(path).selectExpr("part", "explode(keys) AS k").where("k = 1500")
+    assert parts.select("part").distinct().count() > 1
+    assert read_token_shards(spark, path).where("doc_id = 1500").select("start").distinct().count() == 1000
+
+
 def test_difference_is_bounded_symmetric_and_zero_for_equals():
     r = np.random.default_rng(0)
     a, b = (r.integers(0, 256, (500, digests(*byte_view(pa.array(["x"]))).shape[1])).astype(np.uint8) for _ in "ab")
