@@ -57,13 +57,17 @@ class ArcLabels:
         self.begins = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
         self.bytes = np.frombuffer(b"".join(labels.get(t, b"") for t in range(n)), np.uint8)
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
+    def decode(self, ids: np.ndarray) -> bytes:
         """The labels of the arcs of a path, one after another."""
-        ids = ids.astype(np.int64)
-        return self.bytes[ragged(self.begins[ids], self.lengths[ids].astype(np.int64))]
+        out = []
+        for at in range(0, len(ids), 1 << 16):
+            some = ids[at : at + (1 << 16)].astype(np.int64)
+            places = ragged(self.begins[some], self.lengths[some].astype(np.int64))
+            out.append(self.bytes[places].tobytes())
+        return b"".join(out)
 
     def text(self, ids: np.ndarray) -> str:
-        return self.decode(ids).tobytes().decode("utf-8", "replace")
+        return self.decode(ids).decode("utf-8", "replace")
 
 
 class TokenAutomaton:
@@ -366,7 +370,7 @@ class AutomatonEncoder(ChunkEncoder):
     TOGETHER = 50_000
 
     def _open(self) -> None:
-        self.automaton, self.labels, self.special_ids = load_automaton(self.vocabulary.path)
+        self.automaton, self.labels, self.special_ids = load_automaton(self.vocabulary.file)
         self.vocabulary_size = len(self.automaton.label_lengths)
         self.split = regex.compile(PATTERN).findall
         either = "|".join(regex.escape(x) for x in self.special_ids)
@@ -409,7 +413,7 @@ def _encode(
 
 
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-    labels = load_labels(vocabulary.path)
+    labels = load_labels(vocabulary.file)
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             some = batch.slice(at, 1024)

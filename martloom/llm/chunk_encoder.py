@@ -38,24 +38,28 @@ class Vocabulary:
     ``word_end`` is what tokens that end a word have after their bytes.
     """
 
-    path: str
+    name: str
     separator: str
     specials: tuple[str, ...]
     keeps_space: bool
     word_end: str = ""
+    path: str | None = None
+
+    @property
+    def file(self) -> str:
+        """Where the file is on this machine: ``path`` if one was given."""
+        return self.path or public_tokenizers.path(self.name)
 
 
 def byte_bpe(path: str | None = None) -> Vocabulary:
     """Byte-level BPE."""
-    path = path or public_tokenizers.path("byte_bpe_50k.json")
-    return Vocabulary(path, "<|endoftext|>", ("<|endoftext|>",), True)
+    return Vocabulary("byte_bpe_50k.json", "<|endoftext|>", ("<|endoftext|>",), True, path=path)
 
 
 def word_bpe(path: str | None = None) -> Vocabulary:
     """BPE with word ends, in lower case."""
-    path = path or public_tokenizers.path("word_bpe_49k.json")
     specials = ("<|startoftext|>", "<|endoftext|>")
-    return Vocabulary(path, "<|startoftext|>", specials, False, "</w>")
+    return Vocabulary("word_bpe_49k.json", "<|startoftext|>", specials, False, "</w>", path)
 
 
 def _class(members: bytes) -> np.ndarray:
@@ -135,7 +139,7 @@ class ChunkEncoder:
         self._clear()
 
     def _open(self) -> None:
-        self.tokenizer = Tokenizer.from_file(self.vocabulary.path)
+        self.tokenizer = Tokenizer.from_file(self.vocabulary.file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.separator_id = self.tokenizer.token_to_id(self.vocabulary.separator)
@@ -300,11 +304,15 @@ class ChunkEncoder:
         """The entry of every chunk."""
         lane = lanes(data)
         hashes = self._hashes(data, lane, begins, sizes)
-        order = np.argsort(hashes)
-        ranked = hashes[order]
+        # Sorted by the high bits of the hash, whose low bits make room for the chunk's number.
+        low = np.uint64((1 << len(hashes).bit_length()) - 1)
+        ranked = np.sort((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64))
+        order = (ranked & low).astype(np.int64)
+        ranked &= ~low
         new = np.ones(len(ranked), bool)
         new[1:] = ranked[1:] != ranked[:-1]
-        distinct, example = ranked[new], order[new]
+        example = order[new]
+        distinct = hashes[example]
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
         first = example[group]
@@ -439,7 +447,7 @@ def _lowered(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def worker_encoder(vocabulary: Vocabulary, kind: type[ChunkEncoder] = ChunkEncoder) -> ChunkEncoder:
     """This Python process's encoder, kept between tasks."""
     kept = sys.modules.setdefault("_chunk_encoders", ModuleType("_chunk_encoders"))
-    name = f"{kind.__name__}_{vocabulary.path}"
+    name = f"{kind.__name__}_{vocabulary.file}"
     if not hasattr(kept, name):
         setattr(kept, name, kind(vocabulary))
     return getattr(kept, name)

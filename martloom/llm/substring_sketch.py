@@ -347,27 +347,35 @@ def _suspects(
             text = np.searchsorted(w.first, places, "right") - 1
             found.append((*finder.keys(w, places), first + text, ahead + places - w.first[text]))
             ahead += len(w.begins)
-        if not found:
-            continue
-        one, two, text, place = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((two, one))
-        one, two = one[order], two[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        head = np.flatnonzero(new)
-        count = np.minimum(np.diff(head, append=len(order)), 2)
-        text, place = text[order[head]], place[order[head]]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(one[head].view(np.int64)),
-                pa.array(two[head].view(np.int64)),
-                pa.array(count.astype(np.int8)),
-                ids.take(pa.array(text)),
-                pa.array(mark[text]),
-                pa.array(place.astype(np.int32)),
-            ],
-            names=["one", "two", "n", "id", "mark", "place"],
-        )
+            if sum(len(x[0]) for x in found) > 1 << 20:
+                yield _distinct(ids, mark, found)
+                found = []
+        if found:
+            yield _distinct(ids, mark, found)
+
+
+def _distinct(
+    ids: pa.Array, mark: np.ndarray, found: list[tuple[np.ndarray, ...]]
+) -> pa.RecordBatch:
+    one, two, text, place = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    head = np.flatnonzero(new)
+    count = np.minimum(np.diff(head, append=len(order)), 2)
+    text, place = text[order[head]], place[order[head]]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(one[head].view(np.int64)),
+            pa.array(two[head].view(np.int64)),
+            pa.array(count.astype(np.int8)),
+            ids.take(pa.array(text)),
+            pa.array(mark[text]),
+            pa.array(place.astype(np.int32)),
+        ],
+        names=["one", "two", "n", "id", "mark", "place"],
+    )
 
 
 def covered(w: Windows, repeated: np.ndarray, window: int) -> np.ndarray:
