@@ -85,21 +85,48 @@ def _layers(grammar: Grammar):
         first = last
 
 
-def _frequent(sequence: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the pairs that occur at least ``least`` times, most frequent first."""
-    wide = sequence.astype(np.uint64)
-    keys = wide[:-1] << np.uint64(32)
-    keys |= wide[1:]
-    keys.sort()
-    begins = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-    begins = np.concatenate([[0], begins])
-    counts = np.diff(begins, append=len(keys))
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    begins = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[begins], np.diff(begins, append=len(keys))
+
+
+def _pairs_at(sequence: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The pairs of neighbours that begin at some places, each place once."""
+    marked = np.zeros(len(sequence) + 1, bool)
+    marked[places] = True
+    at = np.flatnonzero(marked[: len(sequence) - 1])
+    return sequence[at].astype(np.uint64) << np.uint64(32) | sequence[at + 1]
+
+
+def _frequent(
+    keys: np.ndarray, counts: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that occur at least ``least`` times, most frequent first."""
     often = counts >= least
-    keys, counts = keys[begins[often]], counts[often]
+    keys, counts = keys[often], counts[often]
     order = np.lexsort((keys, -counts))
     return keys[order], counts[order]
 
 
+def _recounted(
+    keys: np.ndarray, counts: np.ndarray, lost: np.ndarray, new: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent pairs once some occurrences are gone and others are there.
+
+    Pairs without a new symbol only get rarer, so those that were not frequent need no count.
+    """
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    gone, times = _counted(lost)
+    at = np.minimum(np.searchsorted(keys, gone), max(0, len(keys) - 1))
+    known = keys[at] == gone
+    counts[at[known]] -= times[known]
+    more, more_counts = _counted(new)
+    return _frequent(np.concatenate([keys, more]), np.concatenate([counts, more_counts]), least)
+
+
 def _disjoint(keys: np.ndarray) -> np.ndarray:
     """The pairs that can be replaced together, taken greedily from the most frequent on.
 
@@ -143,30 +170,34 @@ def compress(
 ) -> Grammar:
     """Replace pairs until none occurs ``least`` times or a round saves less than ``worth``.
 
-    Each round takes the pairs at least ``share`` times as frequent as the most frequent one.
+    Each round takes the pairs at least ``share`` times as frequent as the most frequent one. All
+    pairs are counted once; then only those beside replaced ones.
     """
     sequence = ids.astype(np.uint32)
     lefts, rights = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
     lengths = np.ones(base, np.int64)
     top = base
-    while len(sequence) > 1:
-        keys, counts = _frequent(sequence, least)
-        if not len(keys):
-            break
+    keys, counts = _frequent(*_counted(_pairs_at(sequence, np.arange(len(sequence)))), least)
+    while len(keys):
         chosen = np.sort(_disjoint(keys[counts >= max(least, int(counts[0] * share))]))
         at, rule = _places(sequence, chosen, top)
         left = (chosen >> np.uint64(32)).astype(np.uint32)
         right = (chosen & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        # A place ahead of the first symbol is the last one of ``_pairs_at``, where no pair begins.
+        lost = _pairs_at(sequence, np.concatenate([at - 1, at, at + 1]))
         sequence[at] = (top + rule).astype(np.uint32)
         stay = np.ones(len(sequence), bool)
         stay[at + 1] = False
         sequence = sequence[stay]
+        made = at - np.arange(len(at))  # as many symbols ahead are gone
+        new = _pairs_at(sequence, np.concatenate([made - 1, made]))
         lefts.append(left)
         rights.append(right)
         lengths = np.concatenate([lengths, lengths[left] + lengths[right]])
         top += len(chosen)
         if len(at) < worth * len(sequence):
             break
+        keys, counts = _recounted(keys, counts, lost, new, least)
     return Grammar(
         base, np.concatenate(lefts), np.concatenate(rights), lengths[base:], sequence
     )

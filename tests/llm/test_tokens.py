@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from martloom.llm import repair_grammar
 from martloom.llm.bpe_automaton import (
     ArcLabels,
     AutomatonEncoder,
@@ -178,15 +180,15 @@ def test_automaton_of_random_merges_accepts_what_bpe_makes():
             found, counts = automaton.encode(data, np.array([0]), np.array([len(data)]))
             assert found.tolist() == want
             assert counts.tolist() == [len(want)]
-            assert ArcLabels(labels).decode(found).tobytes() == data.tobytes()
+            assert ArcLabels(labels).decode(found) == data.tobytes()
 
 
 def test_labels_decode_as_the_library():
-    labels, known = load_labels(byte_bpe().path), library("byte_bpe_50k.json")
+    labels, known = load_labels(byte_bpe().file), library("byte_bpe_50k.json")
     r = random.Random(1)
     for _ in range(200):
         ids = [r.randrange(50257) for _ in range(r.randrange(30))]
-        text = labels.decode(np.array(ids, np.uint32)).tobytes().decode("utf-8", "replace")
+        text = labels.text(np.array(ids, np.uint32))
         assert text == known.decode(ids, skip_special_tokens=False)
 
 
@@ -260,10 +262,40 @@ def test_no_documents_make_an_empty_table(spark):
 
 
 def test_no_frequent_pair_is_left():
-    from martloom.llm.repair_grammar import _frequent, compress
-
     r = np.random.default_rng(3)
     ids = np.minimum(r.zipf(1.3, 60_000), 3000).astype(np.uint32)
     grammar = compress(ids, 3001)
     assert (grammar.expand() == ids).all()
-    assert not len(_frequent(grammar.sequence, 16)[0])
+    pairs = Counter(zip(grammar.sequence[:-1].tolist(), grammar.sequence[1:].tolist(), strict=True))
+    assert max(pairs.values()) < 16
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 5, 60])
+def test_counts_kept_from_round_to_round_are_those_of_a_new_count(monkeypatch, alphabet):
+    r = np.random.default_rng(alphabet)
+    seen = []
+    recount, places = repair_grammar._recounted, repair_grammar._places
+
+    def placed(sequence, chosen, top):
+        at, rule = places(sequence, chosen, top)
+        after = sequence.copy()
+        after[at] = (top + rule).astype(np.uint32)
+        seen.append(np.delete(after, at + 1))
+        return at, rule
+
+    def counted(keys, counts, lost, new, least):
+        keys, counts = recount(keys, counts, lost, new, least)
+        left = seen[-1].tolist()
+        pairs = Counter((a << 32 | b) for a, b in zip(left[:-1], left[1:], strict=True))
+        want = {k: n for k, n in pairs.items() if n >= least}
+        assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == want
+        assert counts.tolist() == sorted(counts.tolist(), reverse=True)
+        return keys, counts
+
+    monkeypatch.setattr(repair_grammar, "_places", placed)
+    monkeypatch.setattr(repair_grammar, "_recounted", counted)
+    for n in (2, 3, 50, 4000):
+        ids = np.repeat(r.integers(0, alphabet, n), r.integers(1, 5, n)).astype(np.uint32)
+        grammar = compress(ids, alphabet, least=2, share=0.1)
+        assert (grammar.expand() == ids).all()
+    assert len(seen) > 8
