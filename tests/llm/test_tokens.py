@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martloom.llm import repair_grammar
+from martloom.llm import repair_grammar, token_shards
 from martloom.llm.bpe_automaton import (
     ArcLabels,
     AutomatonEncoder,
@@ -231,7 +231,10 @@ def test_no_frequent_pair_is_left_of_random_ids():
     assert counts[different].max() < 20
 
 
-def test_shards_hold_every_document_in_order(spark):
+@pytest.mark.parametrize("size", [1 << 19, 1000, 7])
+def test_shards_hold_every_document_in_order(spark, monkeypatch, size):
+    """With small shards, documents are cut into several."""
+    monkeypatch.setattr(token_shards, "SHARD_IDS", size)
     path = f"{scratch_dir(spark)}/shards"
     write_token_shards(edge_docs(spark), path, byte_bpe(), end_id=2)
     known = library("byte_bpe_50k.json")
@@ -249,6 +252,9 @@ def test_shards_hold_every_document_in_order(spark):
         at += len(ids)
         stream += ids.tolist()
     assert sorted(zlib.crc32(r.ids) for r in rows) == by_crc
+    shards = spark.read.parquet(path)
+    assert shards.agg(F.max("n_ids")).first()[0] < 2 * size
+    assert shards.where("more").isEmpty() == (size == 1 << 19)
     part = read_stretch(spark, path, 100, 900).orderBy("place").collect()
     assert [r.token_id for r in part] == stream[100:900]
     assert [r.place for r in part] == list(range(100, 900))
