@@ -62,12 +62,6 @@ def word_bpe(path: str | None = None) -> Vocabulary:
     return Vocabulary("word_bpe_49k.json", "<|startoftext|>", specials, False, "</w>", path)
 
 
-def _class(members: bytes) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[list(members)] = True
-    return out
-
-
 def _rare_space(data: np.ndarray) -> np.ndarray:
     """Where white space outside ASCII begins (Unicode's White_Space in UTF-8)."""
     found = []
@@ -86,26 +80,29 @@ class ChunkFinder:
 
     def __init__(self, keeps_space: bool) -> None:
         self.keeps_space = keeps_space
-        self.space = _class(b" \t\n\v\f\r")
-        self.letter = _class(bytes([*range(65, 91), *range(97, 123)]))
-        self.mark = _class(b".,;:!?")
+        #: 1: white space; 2: ASCII letter; 4: plain punctuation.
+        self.kind = np.zeros(256, np.uint8)
+        self.kind[list(b" \t\n\v\f\r")] = 1
+        self.kind[[*range(65, 91), *range(97, 123)]] = 2
+        self.kind[list(b".,;:!?")] = 4
 
     def find(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        space = self.space[data]
+        kind = self.kind[data]
+        space = (kind & 1).view(bool)
         edge = np.zeros(n + 1, bool)
         edge[starts] = True
         # A chunk begins where white space and other text meet ...
         cut = np.ones(n, bool)
-        cut[1:] = space[1:] != space[:-1]
+        np.not_equal(space[1:], space[:-1], out=cut[1:])
         cut |= edge[:-1]
         # ... and between a letter (ASCII or Latin-1) and plain punctuation.
-        letter = self.letter[data]
-        wide = np.zeros(n, bool)
-        wide[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-        cut[1:] |= (letter | wide)[:-1] & self.mark[data[1:]]
+        cut[1:] |= ((kind[:-1] << 1) & kind[1:] & 4) != 0
+        wide = np.flatnonzero(data[:-2] == 0xC3)
+        wide = wide[(data[wide + 1] != 0x97) & (data[wide + 1] != 0xB7)] + 2
+        cut[wide[kind[wide] == 4]] = True
         if self.keeps_space:
             # The last white space before a word is a chunk of its own, joined to the word if a space.
             last = np.zeros(n, bool)
