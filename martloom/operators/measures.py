@@ -149,7 +149,10 @@ class Measure:
             return self._checked("sum") / float(10**self.decimals)
         if not self.doubles:
             return F.col(self._part("rest")).cast("double")
-        added = _from_digits([self._checked(p) for p in self._sums])
+        digits = [self._checked(p) for p in self._sums]
+        # Of values of one sign no more than half of a digit's sum is taken off by the next ones.
+        one_sign = (F.col(self._part("min")) >= 0) | (F.col(self._part("max")) <= 0)
+        added = F.when(one_sign, _added_up(digits)).otherwise(_from_digits(digits))
         total = added + F.coalesce(self._part("rest"), F.lit(0.0))
         return F.when(F.col(self._part("n")) > 0, total)
 
@@ -170,6 +173,14 @@ class Measure:
         return f"{self.column}__{what}"
 
 
+def _added_up(sums: list[Column]) -> Column:
+    """A number given by sums of digits, added as doubles from the lowest on."""
+    value = F.lit(0.0)
+    for digit in sums:
+        value = value * F.lit(2.0**-_DIGIT_BITS) + digit.cast("double")
+    return value * F.lit(2.0 ** _PLACES[-1])
+
+
 def _from_digits(sums: list[Column]) -> Column:
     """The double next to a number given by sums of digits, from the lowest on.
 
