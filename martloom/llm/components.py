@@ -11,17 +11,29 @@ from martloom.llm.common import stored
 LEAST_ROWS, MOST_KEYS = 100, 50_000
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, total: int) -> DataFrame:
-    """``rows`` with what ``per_key`` says of their key, an inner join in which no task gets a hot key.
+def join_per_key(
+    rows: DataFrame, per_key: DataFrame, key: str, spread: str, total: int
+) -> DataFrame:
+    """``rows`` with what ``per_key`` says of their key, in a join in which no task gets a hot key.
 
-    ``per_key`` has a row for each key, with ``n``, how many of the ``total`` rows have it. Keys with
-    more than a ``MOST_KEYS``-th of twice all rows are fewer than that, so they are sent to every
-    task, and their rows stay where they are; the other keys' rows, few for each, are shuffled.
+    ``per_key`` has a row for each key, with ``n``, how many of the ``total`` rows have it. Of keys
+    with more than a ``MOST_KEYS``-th of all rows there are fewer than ``MOST_KEYS``, so they are sent to
+    every task; their rows are spread by another column, the other keys' rows, few for each, meet
+    their key's row in the shuffle.
     """
+    said = [c for c in per_key.columns if c not in (key, "n")]
     often = F.col("n") > max(LEAST_ROWS, total // MOST_KEYS)
-    hot = F.broadcast(per_key.where(often))
-    cold = rows.join(F.broadcast(per_key.where(often).select(key)), key, "left_anti")
-    return rows.join(hot, key).unionByName(cold.join(per_key.where(~often), key)).drop("n")
+    hot = per_key.where(often).select(
+        key, *(F.col(c).alias(f"hot_{c}") for c in said), F.lit(True).alias("hot")
+    )
+    is_hot = F.coalesce("hot", F.lit(False))
+    marked = rows.join(F.broadcast(hot), key, "left").withColumns(
+        {"hot": is_hot, "meets": F.when(is_hot, F.col(spread)).otherwise(F.col(key))}
+    )
+    cold = per_key.where(~often).select(F.lit(False).alias("hot"), F.col(key).alias("meets"), *said)
+    return marked.join(cold, ["hot", "meets"], "left").select(
+        *rows.columns, *(F.coalesce(f"hot_{c}", c).alias(c) for c in said)
+    )
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:
@@ -29,7 +41,7 @@ def _large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
     return (
-        join_per_key(both, least, "a", 2 * total)
+        join_per_key(both, least, "a", "b", 2 * total)
         .where("b > a")
         .select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         .distinct()
@@ -39,7 +51,7 @@ def _large_star(edges: DataFrame, total: int) -> DataFrame:
 def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of these."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-    linked = join_per_key(edges, least, "a", total).where("b <> m")
+    linked = join_per_key(edges, least, "a", "b", total).where("b <> m")
     others = linked.select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 

@@ -299,7 +299,7 @@ def simhash_groups(
     smallest = rooted.groupBy("root").agg(
         F.min("least").alias("component_id"), F.count("*").alias("n")
     )
-    named = join_per_key(rooted, smallest, "root", rooted.count()).select("fp", "component_id")
+    named = join_per_key(rooted, smallest, "root", "fp", rooted.count()).select("fp", "component_id")
     return marked.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
