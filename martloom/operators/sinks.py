@@ -10,6 +10,7 @@ import atexit
 import posixpath
 import shutil
 import tempfile
+import threading
 import time
 import uuid
 from collections.abc import Iterable, Sequence
@@ -34,6 +35,9 @@ PUBLISHING, SUPERSEDED = "_publishing", "_superseded"
 SWAP_SECONDS, LEASE_SECONDS = 600.0, 86_400.0
 
 
+_CREATING = threading.Lock()
+
+
 class PublishError(OSError):
     """A folder could not be replaced; the message says where old and new files are."""
 
@@ -118,13 +122,16 @@ def _journal(path: str) -> str:
 
 
 def _begin_swap(spark: SparkSession, path: str, previous: str, staging: str) -> None:
-    """Write the journal; while another publisher's is there, wait for it to end its swap."""
+    """Write the journal; while another publisher's is there (FileAlreadyExists,
+    AlreadyBeingCreated), wait for it to end its swap."""
     files, journal = _files(spark, _journal(path))
     while True:
         try:
-            out = files.create(journal, False)
-        except Py4JJavaError:
-            if not files.exists(journal):
+            # A local file system looks and creates in two steps; others do it in one.
+            with _CREATING:
+                out = files.create(journal, False)
+        except Py4JJavaError as failure:
+            if "Already" not in failure.java_exception.getClass().getSimpleName():
                 raise
             if _age(files, journal) > SWAP_SECONDS:
                 recover_mart(spark, path)
