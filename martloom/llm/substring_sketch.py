@@ -423,6 +423,7 @@ class LongText:
     def __init__(self) -> None:
         self.ahead = self.n_words = self.n_removed = self.pending = 0
         self.kept: list[bytes] = []
+        self.last_gone = False
 
     def add(
         self, w: Windows, repeated: np.ndarray, gone: np.ndarray, window: int, last: bool, keep_space: bool
@@ -433,7 +434,8 @@ class LongText:
         starts = np.flatnonzero(repeated)
         reach = max(int(starts[-1]) + window if len(starts) else 0, self.pending)
         self.pending = max(0, reach - n)
-        kept, words, removed = _kept(w.until(n), gone[:n], keep_space)
+        kept, words, removed = _kept(w.until(n), gone[:n], keep_space, whole=False)
+        self.last_gone = bool(gone[n - 1]) if n else self.last_gone
         self.kept.append(kept[0].as_buffer().to_pybytes())
         self.n_words += int(words[0])
         self.n_removed += int(removed[0])
@@ -441,14 +443,16 @@ class LongText:
 
     def whole(self, keep_space: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         text = b"".join(self.kept) if keep_space else b" ".join(x for x in self.kept if x)
+        if self.last_gone:
+            text = text.rstrip(b" \t\n\v\f\r")
         counts = np.array([self.n_words]), np.array([self.n_removed])
         return pa.array([text.decode()], pa.large_string()), *counts
 
 
 def _kept(
-    w: Windows, gone: np.ndarray, keep_space: bool
+    w: Windows, gone: np.ndarray, keep_space: bool, whole: bool = True
 ) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The words that stay, how many there were, and how many go, of every text.
+    """The words that stay, how many there were, and how many go, of every text or part of one.
 
     Words are joined by one space or, if ``keep_space``, each has the white space that follows it.
     """
@@ -461,6 +465,11 @@ def _kept(
         until = np.append(w.begins[1:], len(w.data))
         last = w.first[1:][n_words > 0] - 1
         until[last] = w.text_ends[n_words > 0]
+        if whole:
+            # Nothing follows the last word that stays if those after it go.
+            stay = np.flatnonzero(~gone)[np.cumsum(left)[left > 0] - 1]
+            cut = gone[(w.first[1:] - 1)[left > 0]]
+            until[stay[cut]] = w.ends[stay[cut]]
         begins, lengths = w.begins[~gone], (until - w.begins)[~gone]
         joined = w.data[ragged(begins, lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -507,8 +516,8 @@ def remove_repeated_windows(
     """doc (a struct of all columns but the text), kept (text), n_words and n_removed of each row.
 
     Words are what stands between ASCII white space, unchanged; kept words are joined by one
-    space or, if ``keep_space``, have the white space that follows them in the text. Whole texts are
-    read. NULL and empty texts have no words. Repeated rows are copies of each other, so all their
+    space or, if ``keep_space``, have the white space that follows them in the text, but for the last one
+    if words after it go. Whole texts are read. NULL and empty texts have no words. Repeated rows are copies of each other, so all their
     windows are repeated and go. NULL ids are ids like any other, an empty table gives no rows,
     and other columns come back untouched in ``doc`` whatever their names.
     """
