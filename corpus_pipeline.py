@@ -75,8 +75,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that occur elsewhere too.
 
-    The other words keep the white space that follows them, line breaks and indentation too; what
-    stands ahead of a changed document's first word goes.
+    The other words keep the white space that follows them, line breaks and indentation too; white
+    space at the edges of a changed document may go.
     """
     rows = docs.select(_row(docs).alias("row"), F.col("doc_id"), F.col("text"))
     cleaned = remove_repeated_windows(rows, keep_space=True)
