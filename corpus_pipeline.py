@@ -1,15 +1,19 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes what its predecessor kept and, but for the last, returns the columns of documents.
+A stage called by itself leaves the session with batches of a few MB to Python, if it had no size for them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.chunk_encoder import word_bpe
-from martloom.llm.common import documents, scratch_dir
+from martloom.llm.common import BATCH_BYTES, bound_batches, documents, scratch_dir
 from martloom.llm.language_ecoc import has_letter, language_of, train_language_model
 from martloom.llm.pattern_packing import pack_documents
 from martloom.llm.simhash_anchors import simhash_groups
@@ -29,6 +33,21 @@ def _fields(docs: DataFrame, struct: str, **new: Column) -> list[Column]:
     return [new.get(c, F.col(f"{struct}.`{c}`")).alias(c) for c in docs.columns]
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    """Whole texts go to Python a few MB at a time, also when the result is written."""
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+@_in_small_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not scored as toxic; without labels to learn from, all."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -36,6 +55,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity_of(F.col("text"), model) < TOXIC_FROM)
 
 
+@_in_small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter in their text, ``lang`` being what their text is told to be.
 
@@ -52,6 +72,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.select(_fields(docs, "row", lang=lang))
 
 
+@_in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, of these the smallest text hash."""
     identity = F.struct(F.col("doc_id"), F.xxhash64("text").alias("mark"))
@@ -72,6 +93,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return numbered.where("copy = 1").select("row.*")
 
 
+@_in_small_batches
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that occur elsewhere too.
 
@@ -86,6 +108,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return cleaned.select(_fields(docs, "doc.row", text=text, n_chars=n_chars))
 
 
+@_in_small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document, with its token ids and its place in a training sequence."""
     return pack_documents(docs, word_bpe(), end_id=1, keep_ids=True)
@@ -107,7 +130,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each stage's result stored before the next."""
     base = scratch_dir(spark)
     docs = documents(spark, sf_dir)
-    for n, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(path := f"{base}/{n}-{name}")
-        docs = spark.read.parquet(path)
+    bounded = bound_batches(spark)
+    try:
+        for n, (name, stage) in enumerate(STAGES):
+            stage(spark, docs, sf_dir).write.parquet(path := f"{base}/{n}-{name}")
+            docs = spark.read.parquet(path)
+    finally:
+        if bounded:
+            spark.conf.unset(BATCH_BYTES[0])
     return docs

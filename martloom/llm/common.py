@@ -16,11 +16,24 @@ from martloom.operators.sinks import scratch_dir
 #: Bytes of text that one numpy step works on; bounds a task's memory whatever a text's length.
 SLICE = 1 << 19
 
+#: Rows go to a Python worker in batches of some 4 MB. Spark's own limit is 64 MB, several times over
+#: for each task: as it is written and read in the JVM, and as it is read and cut in the worker.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bound_batches(spark: SparkSession) -> bool:
+    """Whether batches to Python get ``BATCH_BYTES`` here: not if the deployer or caller set a size."""
+    key, size = BATCH_BYTES
+    if spark.conf.get(key, None) is not None:
+        return False
+    spark.conf.set(key, size)
+    return True
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id's decimal text modulo ``folds``; NULL for a NULL id."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -5,11 +5,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from martloom.llm.common import BATCH_BYTES
 from martloom.llm.queries import queries
 from tests.conftest import SF_DIR
 from tests.llm.data import CLASHES, edge_docs, empty_docs, texts, words
@@ -187,3 +189,37 @@ def test_stages_of_no_documents(spark, tmp_path):
     )
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert WORD.findall("") == []
+
+
+def _largest_batch(session):
+    """Bytes of the largest batch of 40 MB of text that one task's worker gets."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    texts = session.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("text"))
+    return texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_send_whole_texts_to_python_a_few_megabytes_at_a_time(spark, folder, name):
+    session = spark.newSession()
+    docs = session.read.parquet(f"{folder}/documents.parquet")
+    dict(corpus_pipeline.STAGES)[name](session, docs, folder)
+    assert _largest_batch(session) < 5 << 20
+
+
+def test_a_size_of_batches_that_the_caller_set_stays(spark, folder):
+    session = spark.newSession()
+    session.conf.set(BATCH_BYTES[0], "12m")
+    docs = session.read.parquet(f"{folder}/documents.parquet")
+    corpus_pipeline.near_duplicates(session, docs, folder)
+    assert session.conf.get(BATCH_BYTES[0]) == "12m"
+    assert _largest_batch(session) > 11 << 20
+
+
+def test_the_pipeline_leaves_the_size_of_batches_as_it_was(spark, folder):
+    session = spark.newSession()
+    corpus_pipeline.run(session, folder)
+    assert session.conf.get(BATCH_BYTES[0], None) is None
